@@ -1,0 +1,305 @@
+"""Spark side of the derivation."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator, Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quayside.sources import SCHEMAS
+
+LIVE_FROM = "2000-06-01"
+ARCHIVE_TO = "2000-07-15"
+
+
+def text(column: str) -> Column:
+    return F.col(column).cast("string")
+
+
+def tagged(prefix: str, column: Column | str) -> Column:
+    column = F.col(column) if isinstance(column, str) else column
+    return F.concat(F.lit(prefix), column.cast("string"))
+
+
+def hours_after(stamp: str, hours: Column) -> Column:
+    return F.col(stamp) + F.make_dt_interval(hours=hours)
+
+
+class SampleTables(Mapping[str, DataFrame]):
+    """``tables["inventory"]`` derives the named warehouse table from ``<folder>/*.parquet``."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark = spark
+        self._folder = folder.rstrip("/")
+
+    def base(self, name: str) -> DataFrame:
+        """One of the test tables."""
+        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in VIEWS:
+            raise KeyError(name)
+        rows = VIEWS[name](self)
+        return rows.select(*(F.col(field.name).cast(field.dataType) for field in SCHEMAS[name]))
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(VIEWS)
+
+    def __len__(self) -> int:
+        return len(VIEWS)
+
+
+def _transactions(tables: SampleTables) -> DataFrame:
+    lines, orders = tables.base("lineitem"), tables.base("orders")
+    number = F.col("l_linenumber")
+    code = (
+        F.when(F.col("l_returnflag") == "R", "Receipt")
+        .when(F.col("l_returnflag") == "A", "Putaway")
+        .when(F.col("l_returnflag") == "N", "Shipment")
+    )
+    condition = (
+        F.when(F.col("l_linestatus") == "O", "PPACK").when(number.isin(1, 3), "KIT").otherwise("STD")
+    )
+    place = (
+        F.when(number.between(1, 3), tagged("TR-", number)).when(number == 4, "KIT-1").otherwise("BULK")
+    )
+    group = F.when(F.col("o_orderpriority") < "3", "800").otherwise("700")
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        text("l_partkey").alias("sku_id"),
+        code.alias("code"),
+        F.when(number == 6, "S2").otherwise("S1").alias("site_id"),
+        F.when(F.col("l_discount") == 0.1, "C2").otherwise("C1").alias("client_id"),
+        condition.alias("condition_id"),
+        hours_after("l_shipdate", number).alias("dstamp"),
+        F.col("l_quantity").alias("update_qty"),
+        tagged("T", F.col("l_orderkey") % 500).alias("tag_id"),
+        place.alias("from_loc_id"),
+        F.when(number != 7, tagged("S", "l_suppkey")).alias("supplier_id"),
+        tagged("C", "o_custkey").alias("customer_id"),
+        text("l_orderkey").alias("reference_id"),
+        F.concat(group, text("l_linenumber")).alias("work_group"),
+        F.when(F.col("o_orderstatus") == "F", "SHP-A").otherwise("SHP-B").alias("consignment"),
+        F.concat_ws("-", tagged("CT", "l_orderkey"), text("l_linenumber")).alias("container_id"),
+        F.lit("EA").alias("v_unit_of_measure"),
+        number.alias("v_sales_multiple"),
+    )
+
+
+def _live(tables: SampleTables) -> DataFrame:
+    return _transactions(tables).filter(F.col("dstamp") >= LIVE_FROM)
+
+
+def _archive(tables: SampleTables) -> DataFrame:
+    quantity = F.col("update_qty")
+    corrected = F.when(quantity > 45, quantity + 1).otherwise(quantity)
+    return _transactions(tables).filter(F.col("dstamp") < ARCHIVE_TO).withColumn("update_qty", corrected)
+
+
+def _sku_properties(tables: SampleTables) -> DataFrame:
+    gate = F.col("p_size") % 5
+    own = F.struct(
+        F.lit("S1").alias("site_id"),
+        F.when(gate == 1, "E3").when(gate == 2, "H9").when(gate > 2, "G1").alias("gate_id"),
+        (F.col("p_size") % 4 + 1).alias("sales_multiple"),
+    )
+    other = F.struct(F.lit("S2").alias("site_id"), F.lit("E3").alias("gate_id"), F.lit(2).alias("sales_multiple"))
+    sites = F.when(F.col("p_size") <= 10, F.array(own, other)).otherwise(F.array(own))
+    return tables.base("part").select(
+        text("p_partkey").alias("sku_id"),
+        F.lit("C1").alias("client_id"),
+        F.col("p_retailprice").alias("standard_cost"),
+        F.inline(sites),
+    )
+
+
+def _prepack_mat_codes(tables: SampleTables) -> DataFrame:
+    return tables.base("part").select(
+        text("p_partkey").alias("sku_id"),
+        F.when(F.col("p_size") % 2 == 0, "S1").otherwise("S2").alias("site_id"),
+        F.lit("C1").alias("client_id"),
+        tagged("PK", "p_size").alias("prepack_code"),
+    )
+
+
+def _prepack_materials(tables: SampleTables) -> DataFrame:
+    steps = tables.base("part").withColumn("sequence_num", F.explode(F.array(F.lit(1), F.lit(2))))
+    return steps.select(
+        text("p_partkey").alias("sku_id"),
+        F.lit("S1").alias("site_id"),
+        F.lit("C1").alias("client_id"),
+        "sequence_num",
+        tagged("M", F.col("p_size") * F.col("sequence_num")).alias("material_sku_id"),
+    )
+
+
+def _address(tables: SampleTables) -> DataFrame:
+    once = F.array(F.struct(F.lit("C1").alias("client_id"), F.col("s_name").alias("name")))
+    again = F.struct(F.lit("C2").alias("client_id"), F.concat("s_name", F.lit(" bis")).alias("name"))
+    entries = F.when(F.col("s_nationkey") == 1, F.array_append(once, again)).otherwise(once)
+    suppliers = (
+        tables.base("supplier")
+        .filter(F.col("s_nationkey") != 0)
+        .select(tagged("S", "s_suppkey").alias("address_id"), F.inline(entries))
+    )
+    customers = (
+        tables.base("customer")
+        .filter(F.col("c_nationkey") != 0)
+        .select(tagged("C", "c_custkey").alias("address_id"), F.lit("C1").alias("client_id"), F.col("c_name").alias("name"))
+    )
+    return suppliers.unionByName(customers)
+
+
+def _sku(tables: SampleTables) -> DataFrame:
+    return tables.base("part").select(
+        text("p_partkey").alias("sku_id"),
+        F.when(F.col("p_size") == 50, "C2").otherwise("C1").alias("client_id"),
+        F.col("p_name").alias("description"),
+        (F.col("p_size") / 10).alias("each_weight"),
+        (F.col("p_size") / 100).alias("each_volume"),
+        F.when(F.col("p_type") == "PROMO", "HZ1").alias("hazmat_id"),
+    )
+
+
+def _inventory(tables: SampleTables) -> DataFrame:
+    here = (F.col("l_linestatus") == "O") & (F.col("l_linenumber") != 6)
+    return tables.base("lineitem").select(
+        text("l_partkey").alias("sku_id"),
+        F.when(here, "S1").otherwise("S2").alias("site_id"),
+        tagged("L", "l_suppkey").alias("location_id"),
+        F.col("l_quantity").alias("qty_on_hand"),
+    )
+
+
+def _location(tables: SampleTables) -> DataFrame:
+    place = F.col("s_suppkey")
+    zone = F.when(place % 3 == 0, "DOCK-A").when(place % 3 == 1, "DOCK-B").otherwise("BULK")
+    own = F.struct(
+        F.lit("S1").alias("site_id"),
+        F.when(place % 2 == 0, "ShipDock").otherwise("Bin").alias("loc_type"),
+        zone.alias("work_zone"),
+    )
+    other = F.struct(
+        F.lit("S2").alias("site_id"), F.lit("Bin").alias("loc_type"), F.lit("REMOTE").alias("work_zone")
+    )
+    sites = F.when(place % 5 == 0, F.array(own, other)).otherwise(F.array(own))
+    prefix = F.when(place % 10 == 9, "X").otherwise("L")
+    return tables.base("supplier").select(
+        F.concat(prefix, text("s_suppkey")).alias("location_id"), F.inline(sites)
+    )
+
+
+def _order_header(tables: SampleTables) -> DataFrame:
+    priority = F.col("o_orderpriority")
+    dock = F.when(priority == "5-LOW", "SCRAP").when(priority != "4-NOT SPECIFIED", "DOCK1")
+    return tables.base("orders").select(
+        text("o_orderkey").alias("order_id"),
+        F.lit("C1").alias("client_id"),
+        hours_after("o_orderdate", F.lit(30)).alias("ship_by_date"),
+        dock.alias("ship_dock"),
+        priority.alias("order_type"),
+        F.when(F.col("o_orderstatus") == "P", "Y").otherwise("N").alias("user_def_chk_6"),
+    )
+
+
+def _order_line(tables: SampleTables) -> DataFrame:
+    return tables.base("lineitem").select(
+        text("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line_id"),
+        tagged("CRM", "l_orderkey").alias("user_def_type_1"),
+        F.col("l_linenumber").alias("user_def_num_3"),
+        tagged("D", "l_orderkey").alias("v_dealer_ord_no"),
+        F.col("l_linenumber").alias("v_dealer_ord_line_no"),
+        F.col("l_quantity").alias("qty_ordered"),
+        F.col("l_extendedprice").alias("v_export_line_value"),
+        F.lit("EUR").alias("user_def_type_3"),
+    )
+
+
+def _move_task(tables: SampleTables) -> DataFrame:
+    order, number = F.col("l_orderkey"), F.col("l_linenumber")
+    loose = F.col("l_returnflag") == "N"
+    return tables.base("lineitem").select(
+        (order * 10 + number).alias("key"),
+        F.when(F.col("l_linestatus") == "O", "S1").otherwise("S2").alias("site_id"),
+        F.lit("C1").alias("client_id"),
+        text("l_orderkey").alias("task_id"),
+        number.alias("line_id"),
+        text("l_partkey").alias("sku_id"),
+        tagged("C", order % 1500).alias("customer_id"),
+        hours_after("l_shipdate", number).alias("dstamp"),
+        F.col("l_quantity").alias("qty_to_move"),
+        F.when(loose, "Released").otherwise("Hold").alias("status"),
+        F.lit("WZ1").alias("work_zone"),
+        tagged("P", order % 300).alias("pallet_id"),
+        F.lit("8001").alias("work_group"),
+        tagged("CS", order % 20).alias("consignment"),
+        tagged("L", F.col("l_partkey") % 100).alias("from_loc_id"),
+        F.lit("STAGE").alias("to_loc_id"),
+        tagged("L", "l_suppkey").alias("final_loc_id"),
+        F.when(~loose, tagged("CT", "l_orderkey")).alias("container_id"),
+    )
+
+
+def _order_container(tables: SampleTables) -> DataFrame:
+    order = F.col("o_orderkey")
+    return tables.base("orders").select(
+        text("o_orderkey").alias("order_id"),
+        F.lit("C1").alias("client_id"),
+        tagged("CT", "o_orderkey").alias("container_id"),
+        tagged("P", order % 300).alias("pallet_id"),
+        F.when(order % 3 == 0, "S2").otherwise("S1").alias("v_site_id"),
+        hours_after("o_orderdate", order % 24).alias("dstamp"),
+        tagged("7", F.col("o_custkey") % 8).alias("v_container_type"),
+        F.when(F.col("o_orderstatus") == "F", "Sent").otherwise("Open").alias("v_infoship_status"),
+        (order % 90).alias("pallet_weight"),
+        (order % 700).alias("pallet_volume"),
+        F.lit("CAR").alias("v_carrier_id"),
+        F.when(order % 7 != 0, tagged("TRL", order % 20)).alias("v_trailer_id"),
+        F.lit("STD").alias("v_service_level"),
+        F.lit("ROAD").alias("v_dispatch_method"),
+        F.lit(120).alias("v_width"),
+        F.lit(80).alias("v_height"),
+        F.lit(100).alias("v_depth"),
+    )
+
+
+def _load_list_items(tables: SampleTables) -> DataFrame:
+    return tables.base("nation").select(
+        tagged("P", F.col("n_nationkey") * 10).alias("pallet_id"), tagged("LL", "n_nationkey").alias("list_id")
+    )
+
+
+def _consignment_trailer(tables: SampleTables) -> DataFrame:
+    return tables.base("nation").select(
+        F.lit("S1").alias("site_id"),
+        tagged("CS", "n_nationkey").alias("consignment"),
+        tagged("TRL", "n_nationkey").alias("trailer_id"),
+        tagged("D", "n_regionkey").alias("dock_door_id"),
+    )
+
+
+def _pallet_config(tables: SampleTables) -> DataFrame:
+    return tables.base("region").select(
+        tagged("7", "r_regionkey").alias("config_id"), (F.col("r_regionkey") + 1).alias("weight")
+    )
+
+
+VIEWS: dict[str, Callable[[SampleTables], DataFrame]] = {
+    "inventory_transaction": _live,
+    "inventory_transaction_archive": _archive,
+    "v_sku_properties": _sku_properties,
+    "v_prepack_mat_codes": _prepack_mat_codes,
+    "v_prepack_materials": _prepack_materials,
+    "address": _address,
+    "sku": _sku,
+    "inventory": _inventory,
+    "location": _location,
+    "move_task": _move_task,
+    "order_header": _order_header,
+    "order_line": _order_line,
+    "order_container": _order_container,
+    "v_load_list_items": _load_list_items,
+    "consignment_trailer": _consignment_trailer,
+    "pallet_config": _pallet_config,
+}
