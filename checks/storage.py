@@ -1,0 +1,112 @@
+"""Sources and sinks: written to a new scratch folder, read back, compared with the plain table.
+
+Reading over JDBC has no query here: it needs a database that all executors can reach.
+"""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks.registry import check
+from checks.reports import CARTONS_SQL, STOCK_WEIGHT_SQL, offload_sql, report, with_archive
+from quayside import jobs
+from quayside.operators import since, union_distinct
+from quayside.sample import ARGUMENTS
+from quayside.sample.arguments import SINCE
+from quayside.session import scratch
+from quayside.sinks import write_snapshot
+from quayside.sources import ParquetTables, write_by_month
+
+
+def read_back(spark: SparkSession, path: str, sep: str, like: DataFrame) -> DataFrame:
+    """A snapshot with the column types of the frame it was written from."""
+    return spark.read.schema(like.schema).csv(path, header=True, sep=sep, escape='"', nullValue="")
+
+
+@check(
+    "scan_table",
+    "SELECT sku_id, site_id, location_id, CAST(qty_on_hand AS DOUBLE) AS qty_on_hand FROM inventory",
+)
+def scan_table(tables):
+    root = scratch(tables.spark, "tables")
+    tables["inventory"].write.parquet(f"{root}/inventory")
+    return ParquetTables(tables.spark, root)["inventory"]
+
+
+@check(
+    "scan_live_archive",
+    """SELECT sku_id, tag_id, code, strftime(dstamp, '%Y-%m-%d %H:%M:%S') AS moved, CAST(update_qty AS DOUBLE) AS update_qty
+         FROM inventory_transaction WHERE dstamp >= DATE '1999-01-01'
+       UNION
+       SELECT sku_id, tag_id, code, strftime(dstamp, '%Y-%m-%d %H:%M:%S'), CAST(update_qty AS DOUBLE)
+         FROM inventory_transaction_archive WHERE dstamp >= DATE '1999-01-01'""",
+)
+def scan_live_archive(tables):
+    root = scratch(tables.spark, "history")
+    tables["inventory_transaction"].write.parquet(f"{root}/inventory_transaction")
+    write_by_month(tables["inventory_transaction_archive"], f"{root}/inventory_transaction_archive")
+    stored = ParquetTables(tables.spark, root)
+    live, archive = (
+        since(stored[name], SINCE).select(
+            "sku_id", "tag_id", "code", F.col("dstamp").cast("string").alias("moved"), "update_qty"
+        )
+        for name in ("inventory_transaction", "inventory_transaction_archive")
+    )
+    return union_distinct(live, archive)
+
+
+@check("sink_csv_semicolon", with_archive(offload_sql))
+def sink_csv_semicolon(tables):
+    path, rows = scratch(tables.spark, "offload"), report("offload", tables)
+    write_snapshot(rows, path, sep=";")
+    return read_back(tables.spark, path, ";", rows)
+
+
+@check("sink_csv_comma", STOCK_WEIGHT_SQL)
+def sink_csv_comma(tables):
+    path, rows = scratch(tables.spark, "stock_weight"), report("stock_weight", tables)
+    write_snapshot(rows, path, sep=",")
+    return read_back(tables.spark, path, ",", rows)
+
+
+@check("sink_snapshot", CARTONS_SQL)
+def sink_snapshot(tables):
+    path, rows = scratch(tables.spark, "cartons"), report("cartons", tables)
+    write_snapshot(report("cartons", tables, types=["70", "75"]), path)
+    write_snapshot(rows, path)
+    return read_back(tables.spark, path, ";", rows)
+
+
+@check(
+    "multi_output_job",
+    f"""SELECT 'offload' AS report, "YYMM" AS month, "SKU_ID" AS item, "UPDATE_QTY" AS amount
+         FROM ({with_archive(offload_sql)})
+       UNION ALL
+       SELECT 'cartons', "YYMM", "TYPES", CAST("QTY" AS DOUBLE) FROM ({CARTONS_SQL})""",
+)
+def multi_output_job(tables):
+    out = scratch(tables.spark, "reports")
+    jobs.run(tables, {name: ARGUMENTS[name] for name in ("offload", "cartons")}, out)
+    offload = read_back(tables.spark, f"{out}/offload", ";", report("offload", tables))
+    cartons = read_back(tables.spark, f"{out}/cartons", ";", report("cartons", tables))
+    return offload.select(
+        F.lit("offload").alias("report"),
+        F.col("YYMM").alias("month"),
+        F.col("SKU_ID").alias("item"),
+        F.col("UPDATE_QTY").cast("double").alias("amount"),
+    ).union(cartons.select(F.lit("cartons"), "YYMM", "TYPES", F.col("QTY").cast("double")))
+
+
+@check(
+    "empty_result",
+    """SELECT 'YYMM;DATES;TYPES;STATUS;QTY' AS line
+       UNION
+       SELECT v_container_type FROM order_container WHERE dstamp >= DATE '2100-01-01'""",
+)
+def empty_result(tables):
+    path = scratch(tables.spark, "empty")
+    write_snapshot(report("cartons", tables, since=date(2100, 1, 1)), path)
+    return tables.spark.read.text(path).select(F.col("value").alias("line")).distinct()

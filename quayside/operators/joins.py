@@ -1,11 +1,14 @@
 """Joins that plain ``DataFrame.join`` does not spell out.
 
-No broadcast hints here: Spark broadcasts a side by its estimated or measured size, else
-shuffles both, and splits hot keys at run time (``quayside.session``).
+No broadcast hints here: Spark broadcasts a side by its estimated or measured size, else shuffles
+both sides and splits hot keys at run time (``quayside.session``). It can split a key only where
+both sides come straight from a shuffle made for that join, and only on a side that is not
+looked up. The helpers below see to both.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
@@ -18,9 +21,11 @@ NULL_SLOTS = 512
 def keep_listed(rows: DataFrame, column: str, listed: DataFrame) -> DataFrame:
     """Rows whose ``column`` is among the values of the one-column frame ``listed``.
 
-    A semi join needs no distinct list.
+    A semi join needs no distinct list, but a value listed over and over must not travel over
+    and over: each task first drops its own repeats.
     """
-    return rows.join(listed.toDF(column), column, "left_semi")
+    once_per_task = listed.toDF(column).select(column, F.spark_partition_id()).distinct()
+    return rows.join(once_per_task.select(column), column, "left_semi")
 
 
 def lookup(rows: DataFrame, dimension: DataFrame, on: dict[str, str]) -> DataFrame:
@@ -40,7 +45,7 @@ def lookup(rows: DataFrame, dimension: DataFrame, on: dict[str, str]) -> DataFra
     return marked.join(dimension, [*match, F.col("_complete")], "left").drop("_key", "_complete")
 
 
-def single_value(rows: DataFrame, key: str, value: str, *more: Column) -> DataFrame:
+def single_value(rows: DataFrame, keys: Sequence[str], value: str, *more: Column) -> DataFrame:
     """One row per key with its only ``value`` and ``ambiguous``, true if there is more than one.
 
     A NULL counts as a value of its own. ``checked_value`` turns the pair into a result. ``more``
@@ -48,7 +53,7 @@ def single_value(rows: DataFrame, key: str, value: str, *more: Column) -> DataFr
     """
     low, high, known = F.min(value), F.max(value), F.count(value)
     several = F.coalesce(low != high, F.lit(False)) | ((known > 0) & (known < F.count("*")))
-    return rows.groupBy(key).agg(low.alias(value), several.alias("ambiguous"), *more)
+    return rows.groupBy(*keys).agg(low.alias(value), several.alias("ambiguous"), *more)
 
 
 def checked_value(key: str, value: str) -> Column:
@@ -63,8 +68,9 @@ def single_value_lookup(rows: DataFrame, key: str, table: DataFrame, table_key:
     """Add ``value`` of the matching key: NULL without a match, an error with two different ones.
 
     A scalar subquery would do the same, but its join cannot split a hot key. Here the looked-up
-    side has one row per key, and the join is an ordinary left one.
+    side has one row per key, and the join is an ordinary left one. The key is looked up through
+    an expression: Spark would take the column as already shuffled by the grouping.
     """
-    singles = single_value(table, table_key, value)
-    found = lookup(rows, singles.withColumnRenamed(table_key, "_found"), {key: "_found"})
-    return found.select(*rows.columns, checked_value(key, value).alias(value))
+    singles = single_value(table, [table_key], value)
+    found = singles.select(F.concat(table_key, F.lit("")).alias("_found"), value, "ambiguous")
+    return lookup(rows, found, {key: "_found"}).select(*rows.columns, checked_value(key, value).alias(value))

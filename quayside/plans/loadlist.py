@@ -110,16 +110,19 @@ def _dock_moves(
         "final_loc_id",
     )
     places = scope(tables["location"], site_id=site).select(
-        F.col("location_id").alias("final_loc_id"), F.col("work_zone").alias("dock_zone"), "loc_type"
+        "site_id", F.col("location_id").alias("final_loc_id"), F.col("work_zone").alias("dock_zone"), "loc_type"
     )
     is_dock = (F.col("loc_type") == loc_type) & F.col("dock_zone").isin(*zones)
     # Grouped by place, one table answers both questions: is this a dock, and what is its zone.
-    docks = single_value(places, "final_loc_id", "dock_zone", F.bool_or(is_dock).alias("is_dock"))
+    # Grouping by site as well makes the join shuffle the docks by place anew, so that Spark can
+    # split the moves of a busy dock.
+    summary = single_value(places, ["site_id", "final_loc_id"], "dock_zone", F.bool_or(is_dock).alias("is_dock"))
+    docks = summary.filter("is_dock").select("final_loc_id", "dock_zone", "ambiguous")
     orders = scope(tables["order_header"], client_id=client).filter(not_in("ship_dock", excluded_docks))
     items = scope(tables["sku"], client_id=client)
     properties = scope(tables["v_sku_properties"], site_id=site, client_id=client)
     return (
-        moves.join(docks.filter("is_dock").drop("is_dock"), "final_loc_id")
+        moves.join(docks, "final_loc_id")
         .join(orders.select("order_id", "ship_by_date", "ship_dock", "order_type", "user_def_chk_6"), "order_id")
         .join(tables["order_line"], ["order_id", "line_id"])
         .join(items.select("sku_id", "each_weight", "each_volume", "hazmat_id"), "sku_id")

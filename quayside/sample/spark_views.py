@@ -30,12 +30,15 @@ class SampleTables(Mapping[str, DataFrame]):
     """``tables["inventory"]`` derives the named warehouse table from ``<folder>/*.parquet``."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark = spark
+        self.spark = spark
         self._folder = folder.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        """One of the test tables."""
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        """One of the test tables, its schema read once."""
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self._opened[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in VIEWS:
@@ -184,9 +187,16 @@ def _location(tables: SampleTables) -> DataFrame:
     )
     sites = F.when(place % 5 == 0, F.array(own, other)).otherwise(F.array(own))
     prefix = F.when(place % 10 == 9, "X").otherwise("L")
-    return tables.base("supplier").select(
+    shelves = tables.base("supplier").select(
         F.concat(prefix, text("s_suppkey")).alias("location_id"), F.inline(sites)
     )
+    transit = tables.base("region").select(
+        tagged("TR-", "r_regionkey").alias("location_id"),
+        F.lit("S1").alias("site_id"),
+        F.lit("Transit").alias("loc_type"),
+        F.when(F.col("r_regionkey") <= 2, "RECEIVE").otherwise("REPACK").alias("work_zone"),
+    )
+    return shelves.unionByName(transit)
 
 
 def _order_header(tables: SampleTables) -> DataFrame:

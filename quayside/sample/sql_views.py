@@ -75,7 +75,10 @@ VIEWS: dict[str, str] = {
          CASE s_suppkey % 3 WHEN 0 THEN 'DOCK-A' WHEN 1 THEN 'DOCK-B' ELSE 'BULK' END AS work_zone
     FROM supplier
   UNION ALL
-  SELECT 'L' || s_suppkey, 'S2', 'Bin', 'REMOTE' FROM supplier WHERE s_suppkey % 5 = 0""",
+  SELECT 'L' || s_suppkey, 'S2', 'Bin', 'REMOTE' FROM supplier WHERE s_suppkey % 5 = 0
+  UNION ALL
+  SELECT 'TR-' || r_regionkey, 'S1', 'Transit', CASE WHEN r_regionkey <= 2 THEN 'RECEIVE' ELSE 'REPACK' END
+    FROM region""",
     "order_header": """
   SELECT CAST(o_orderkey AS VARCHAR) AS order_id, 'C1' AS client_id,
          o_orderdate + INTERVAL 30 HOUR AS ship_by_date,

@@ -7,13 +7,20 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-SETTINGS = {
+REQUIRED = {
     # A zero divisor and an ambiguous lookup must fail the job, not yield NULL.
     "spark.sql.ansi.enabled": "true",
     # Instants, if a source delivers them, are cut to days and months in one fixed zone.
     "spark.sql.session.timeZone": "UTC",
-    # Join sides are broadcast by measured size, hot join keys are split at run time. The last
-    # setting splits them also where a further join or distinct on the same key follows.
+}
+
+TUNING = {
+    # A scan counts for eight times its file size when Spark decides what is small enough to
+    # broadcast: parquet files unpack to about that. The limit is meant in unpacked bytes.
+    "spark.sql.sources.fileCompressionFactor": "8",
+    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    # Joins are planned again by measured sizes, and hot join keys are split. The last setting
+    # splits them also where a further join or grouping on the same key follows.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -21,9 +28,12 @@ SETTINGS = {
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply ``SETTINGS`` to a running session and return it."""
-    for key, value in SETTINGS.items():
+    """Apply ``REQUIRED``, and what of ``TUNING`` the session does not set itself; return the session."""
+    for key, value in REQUIRED.items():
         spark.conf.set(key, value)
+    for key, value in TUNING.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -33,8 +43,7 @@ def scratch(spark: SparkSession, label: str) -> str:
     It lies under ``spark.checkpoint.dir``. Only a local session, whose tasks all run on this
     machine, may go without that setting.
     """
-    conf = spark.sparkContext.getConf()
-    shared = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
