@@ -1,0 +1,254 @@
+"""One key holds a third of the rows or more, and no table is small enough to broadcast."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from quayside import plans
+from quayside.operators import keep_listed, lookup, single_value_lookup
+from quayside.sample import ARGUMENTS
+from quayside.sources import SCHEMAS
+
+ROWS = 24_000
+KEYS = 600
+
+
+@pytest.fixture(autouse=True)
+def large_scale_in_small(settings):
+    """Thresholds brought down so that test data count as large."""
+    settings(
+        **{
+            "spark__sql__autoBroadcastJoinThreshold": "-1",
+            "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+            "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20KB",
+            "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
+            "spark__sql__adaptive__advisoryPartitionSizeInBytes": "16KB",
+            "spark__sql__adaptive__coalescePartitions__minPartitionSize": "1KB",
+        }
+    )
+
+
+@pytest.fixture
+def hot(spark):
+    """Frame of ``rows`` rows with the given columns; ``hot_key(prefix)`` repeats one key in half of them."""
+
+    def make(name: str, columns: dict, rows: int = ROWS):
+        frame = spark.range(0, rows, 1, 16)
+        values = [
+            (columns[f.name] if f.name in columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in SCHEMAS[name]
+        ]
+        return frame.select(*values)
+
+    return make
+
+
+def hot_key(prefix: str):
+    return F.concat(F.lit(prefix), F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % KEYS).cast("string"))
+
+
+def each_key(prefix: str):
+    return F.concat(F.lit(prefix), F.col("id").cast("string"))
+
+
+def joins(rows) -> list[str]:
+    """The joins of the final plan, after running it."""
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return re.findall(r"(?:SortMerge|ShuffledHash|BroadcastHash|BroadcastNestedLoop)Join.*|CartesianProduct.*", plan)
+
+
+def split(found: list[str], key: str) -> bool:
+    return any(key in join and "skew=true" in join for join in found)
+
+
+def same(value):
+    """One value on all rows that Spark does not know to be constant, like a stored column."""
+    return F.when(F.col("id") >= 0, F.lit(value))
+
+
+def moment():
+    return same("2022-03-05 10:00:00")
+
+
+
+def test_prepack_in_splits_a_hot_item(hot):
+    moves = {
+        "sku_id": hot_key("K"),
+        "code": same("Receipt"),
+        "site_id": same("S1"),
+        "client_id": same("C1"),
+        "condition_id": same("KIT"),
+        "dstamp": moment(),
+        "update_qty": same(6),
+        "tag_id": each_key("T"),
+        "from_loc_id": same("A"),
+        "supplier_id": hot_key("S"),
+    }
+    own = {"sku_id": each_key("K"), "site_id": same("S1"), "client_id": same("C1")}
+    tables = {
+        "inventory_transaction": hot("inventory_transaction", moves),
+        "inventory_transaction_archive": hot("inventory_transaction_archive", moves),
+        "v_sku_properties": hot("v_sku_properties", {**own, "gate_id": same("E3"), "sales_multiple": same(2)}, KEYS),
+        "v_prepack_mat_codes": hot("v_prepack_mat_codes", {**own, "prepack_code": same("P")}, KEYS),
+        "v_prepack_materials": hot(
+            "v_prepack_materials", {**own, "sequence_num": same(1), "material_sku_id": same("M")}, KEYS
+        ),
+        "address": hot("address", {"address_id": each_key("S"), "name": same("N")}, KEYS),
+    }
+    rows = plans.prepack_in(tables, **ARGUMENTS["prepack_in"])
+    found = joins(rows)
+    assert split(found, "sku_id")
+    assert split(found, "_key")
+    assert rows.count() == ROWS
+
+
+def test_prepack_out_splits_a_hot_item_and_a_hot_party(hot):
+    own = {"sku_id": each_key("K"), "site_id": same("S1"), "client_id": same("C1")}
+    moves = {
+        "sku_id": hot_key("K"),
+        "code": same("Shipment"),
+        "site_id": same("S1"),
+        "client_id": same("C1"),
+        "dstamp": moment(),
+        "update_qty": same(6),
+        "supplier_id": hot_key("S"),
+        "customer_id": hot_key("S"),
+        "container_id": each_key("B"),
+        "work_group": same("8001"),
+        "consignment": same("SHP-A"),
+    }
+    tables = {
+        "inventory_transaction": hot("inventory_transaction", moves),
+        "sku": hot("sku", {**own, "description": same("D")}, KEYS),
+        "v_sku_properties": hot("v_sku_properties", {**own, "standard_cost": same(2)}, KEYS),
+        "address": hot("address", {"address_id": each_key("S"), "client_id": same("C1"), "name": same("N")}, KEYS),
+    }
+    rows = plans.prepack_out(tables, **ARGUMENTS["prepack_out"])
+    found = joins(rows)
+    assert all(split(found, key) for key in ("sku_id", "supplier_id", "customer_id")), found
+    assert rows.count() == ROWS
+
+
+def test_stock_weight_splits_a_hot_item_and_a_hot_place(hot):
+    stock = {"sku_id": hot_key("K"), "site_id": same("S1"), "location_id": hot_key("L"), "qty_on_hand": F.col("id")}
+    tables = {
+        "inventory": hot("inventory", stock),
+        "sku": hot("sku", {"sku_id": each_key("K"), "client_id": same("C1")}, KEYS),
+        "location": hot("location", {"location_id": each_key("L"), "work_zone": same("Z")}, KEYS),
+    }
+    rows = plans.stock_weight(tables, **ARGUMENTS["stock_weight"])
+    found = joins(rows)
+    assert split(found, "sku_id") and split(found, "_key"), found
+    assert rows.filter("WORK_ZONE = 'Z'").count() == ROWS
+
+
+def test_gate_putaway_sums_a_hot_item_before_joining(hot):
+    moves = {
+        "sku_id": hot_key("K"),
+        "code": same("Putaway"),
+        "site_id": same("S1"),
+        "dstamp": moment(),
+        "update_qty": same(1),
+        "from_loc_id": same("TR-1"),
+    }
+    copies = {"sku_id": same("K0"), "gate_id": same("E3")}
+    tables = {
+        "inventory_transaction": hot("inventory_transaction", moves),
+        "inventory_transaction_archive": hot("inventory_transaction_archive", moves, 0),
+        "v_sku_properties": hot("v_sku_properties", copies, 5_000),
+    }
+    rows = plans.gate_putaway(tables, **ARGUMENTS["gate_putaway"]).collect()
+    # Joined row by row this would be 12,000 x 5,000 pairs.
+    assert [(row["YYMM"], row["SKU_ID"], int(row["UPDATE_QTY"])) for row in rows] == [(2203, "K0", ROWS // 2 * 5_000)]
+
+
+def test_loadlist_splits_hot_docks_orders_and_items(hot):
+    boxed = F.col("id") % 2 == 0
+    here = {"site_id": same("S1"), "client_id": same("C1")}
+    moves = {
+        **here,
+        "key": F.col("id"),
+        "task_id": hot_key("O"),
+        "line_id": F.col("id"),
+        "sku_id": hot_key("K"),
+        "dstamp": moment(),
+        "qty_to_move": same(3),
+        "pallet_id": same("P0"),
+        "consignment": same("CS0"),
+        "final_loc_id": hot_key("L"),
+        "container_id": F.when(boxed, each_key("B")),
+    }
+    boxes = {
+        "order_id": same("O0"),
+        "client_id": same("C1"),
+        "v_site_id": same("S1"),
+        "container_id": each_key("B"),
+        "pallet_id": same("P0"),
+        "v_container_type": same("71"),
+        "v_trailer_id": same("T0"),
+    }
+    docks = {
+        "location_id": each_key("L"),
+        "site_id": same("S1"),
+        "loc_type": same("ShipDock"),
+        "work_zone": same("DOCK-A"),
+    }
+    orders = {
+        "order_id": each_key("O"),
+        "client_id": same("C1"),
+        "ship_by_date": moment(),
+        "ship_dock": same("DOCK1"),
+    }
+    tables = {
+        "move_task": hot("move_task", moves),
+        "order_header": hot("order_header", orders, KEYS),
+        "order_line": hot("order_line", {"order_id": hot_key("O"), "line_id": F.col("id")}),
+        "order_container": hot("order_container", boxes),
+        "location": hot("location", docks, KEYS),
+        "sku": hot("sku", {**here, "sku_id": each_key("K")}, KEYS),
+        "v_sku_properties": hot("v_sku_properties", {**here, "sku_id": each_key("K")}, KEYS),
+        "v_load_list_items": hot("v_load_list_items", {"pallet_id": same("P0"), "list_id": same("LL")}, 1),
+        "consignment_trailer": hot(
+            "consignment_trailer", {**here, "consignment": same("CS0"), "trailer_id": same("T0")}, 1
+        ),
+        "pallet_config": hot("pallet_config", {"config_id": same("71"), "weight": same(20)}, 1),
+    }
+    rows = plans.loadlist(tables, **ARGUMENTS["loadlist"])
+    found = joins(rows)
+    for key in ("final_loc_id", "[order_id", "sku_id", "trailer_consignment", "list_pallet", "config_id"):
+        assert split(found, key), (key, found)
+    counts = {(row["Table"], row["Tare"] is None): row["count"] for row in rows.groupBy("Table", "Tare").count().collect()}
+    assert counts == {("MT", True): ROWS // 2, ("MC", False): ROWS // 2}
+
+
+def test_semi_join_with_hot_keys_on_both_sides(spark):
+    rows = spark.range(0, ROWS, 1, 16).select(hot_key("K").alias("key"), "id")
+    listed = spark.range(0, ROWS, 1, 16).select(hot_key("K").alias("other"))
+    kept = keep_listed(rows, "key", listed)
+    found = joins(kept)
+    assert split(found, "key"), found
+    assert kept.count() == ROWS
+
+
+def test_scalar_lookup_of_a_hot_key(spark):
+    rows = spark.range(0, ROWS, 1, 16).select(hot_key("K").alias("key"), "id")
+    values = spark.range(0, KEYS, 1, 16).select(each_key("K").alias("other"), F.lit("Z").alias("zone"))
+    looked_up = single_value_lookup(rows, "key", values, "other", "zone")
+    found = joins(looked_up)
+    assert split(found, "_key"), found
+    assert looked_up.filter("zone = 'Z'").count() == ROWS
+
+
+def test_null_keys_are_spread_without_any_split(spark, settings):
+    settings(
+        spark__sql__adaptive__enabled="false",
+        spark__sql__join__preferSortMergeJoin="true",
+    )
+    rows = spark.range(0, ROWS, 1, 16).select(F.lit(None).cast("string").alias("key"), "id")
+    looked_up = lookup(rows, spark.range(KEYS).select(each_key("K").alias("other")), {"key": "other"})
+    per_task = looked_up.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(row["count"] for row in per_task) == ROWS
+    assert max(row["count"] for row in per_task) < ROWS / 4
