@@ -28,14 +28,15 @@ def write_snapshot(
     """Replace the CSV folder ``path`` by the current rows.
 
     Each part file starts with the header, so does the only one of an empty report. Fields are
-    quoted only where needed, quotes are doubled, NULL is an empty field, spaces stay.
-    ``compact`` evens out the part files by size with one more shuffle: a small report becomes
-    one file, a large one stays in several.
+    quoted only where needed, quotes are doubled, NULL is an empty field, spaces stay, line breaks
+    in a field become ``line_end``. ``compact`` evens out the part files by size with one more
+    shuffle: a small report becomes one file, a large one stays in several.
     """
     text = plain_text(rows)
     if compact:
         text = text.hint("rebalance")
-    text.write.mode("overwrite").csv(
+    # The comment sign is one that never occurs: a row starting with it would be quoted.
+    text.write.mode("overwrite").option("comment", "\x01").csv(
         path,
         header=True,
         sep=sep,

@@ -16,7 +16,8 @@ from quayside.sources import SCHEMAS  # noqa: E402
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")

@@ -1,0 +1,382 @@
+"""Reports on a few hand-made rows each."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import ArithmeticException, PySparkException
+
+from quayside import plans
+from quayside.plans import headers
+from quayside.sample import ARGUMENTS
+
+NOON = datetime(2022, 3, 5, 12, 30, 15)
+OWN = {"site_id": "S1", "client_id": "C1"}
+
+
+# --- prepack_in ------------------------------------------------------------------------------
+
+RECEIPT = {
+    **OWN, "sku_id": "K1", "code": "Receipt", "condition_id": "KIT", "dstamp": NOON, "update_qty": Decimal(6),
+    "tag_id": "T1", "from_loc_id": "A", "supplier_id": "S9",
+}
+
+
+def prepack_tables(table, live=(), archive=(), properties=None, address=()):
+    properties = properties or [{**OWN, "sku_id": "K1", "gate_id": "E3", "sales_multiple": Decimal(4)}]
+    return {
+        "inventory_transaction": table("inventory_transaction", *live),
+        "inventory_transaction_archive": table("inventory_transaction_archive", *archive),
+        "v_sku_properties": table("v_sku_properties", *properties),
+        "v_prepack_mat_codes": table("v_prepack_mat_codes", {**OWN, "sku_id": "K1", "prepack_code": "PK"}),
+        "v_prepack_materials": table(
+            "v_prepack_materials",
+            {**OWN, "sku_id": "K1", "sequence_num": 1, "material_sku_id": "M1"},
+            {**OWN, "sku_id": "K1", "sequence_num": 2, "material_sku_id": "M2"},
+        ),
+        "address": table("address", *address),
+    }
+
+
+def prepack_in(tables):
+    return plans.prepack_in(tables, **ARGUMENTS["prepack_in"])
+
+
+def test_prepack_in_row(table):
+    rows = prepack_in(prepack_tables(table, live=[RECEIPT], address=[{"address_id": "S9", "client_id": "C7", "name": "Nine"}]))
+    assert rows.columns == headers.PREPACK_IN
+    assert [tuple(row) for row in rows.collect()] == [
+        ("K1", "PK", "M1", "KIT", date(2022, 3, 5), 202203, 1.5, "T1", "E3", "A", "S9", "Nine")
+    ]
+
+
+def test_prepack_in_merges_equal_rows_of_live_and_archive(table):
+    later_that_day = {**RECEIPT, "dstamp": datetime(2022, 3, 5, 23, 59, 59), "supplier_id": None}
+    tables = prepack_tables(table, live=[RECEIPT, {**RECEIPT, "supplier_id": None}], archive=[RECEIPT, later_that_day])
+    assert sorted((row["SUPPLIER_ID"] or "", row["NAME"]) for row in prepack_in(tables).collect()) == [("", None), ("S9", None)]
+    assert plans.prepack_in_live(tables, **ARGUMENTS["prepack_in"]).count() == 2
+    assert plans.prepack_in_archive(tables, **ARGUMENTS["prepack_in"]).count() == 2
+
+
+def test_prepack_in_multiplies_by_addresses_and_sites(table):
+    properties = [
+        {**OWN, "sku_id": "K1", "gate_id": "E3", "sales_multiple": Decimal(4)},
+        {"site_id": "S2", "client_id": "C1", "sku_id": "K1", "gate_id": "H9", "sales_multiple": Decimal(2)},
+        {"site_id": "S1", "client_id": "C2", "sku_id": "K1", "gate_id": "G1", "sales_multiple": Decimal(2)},
+        {"site_id": "S1", "client_id": "C1", "sku_id": "K1", "gate_id": None, "sales_multiple": Decimal(0)},
+    ]
+    address = [{"address_id": "S9", "client_id": c, "name": n} for c, n in (("C1", "Nine"), ("C2", "Neuf"))]
+    rows = prepack_in(prepack_tables(table, live=[RECEIPT], properties=properties, address=address))
+    assert sorted((row["Gare"], row["UV"], row["NAME"]) for row in rows.collect()) == [
+        ("E3", 1.5, "Neuf"), ("E3", 1.5, "Nine"), ("H9", 3.0, "Neuf"), ("H9", 3.0, "Nine"),
+    ]
+
+
+def test_prepack_in_fails_on_zero_multiple(table):
+    zero = [{**OWN, "sku_id": "K1", "gate_id": "E3", "sales_multiple": Decimal(0)}]
+    with pytest.raises(ArithmeticException, match="DIVIDE_BY_ZERO"):
+        prepack_in(prepack_tables(table, live=[RECEIPT], properties=zero)).collect()
+
+
+@pytest.mark.parametrize(
+    "change",
+    [{"site_id": "S2"}, {"client_id": "C2"}, {"code": "Putaway"}, {"condition_id": "STD"}, {"condition_id": None}, {"sku_id": "K2"}],
+)
+def test_prepack_in_leaves_out(table, change):
+    assert prepack_in(prepack_tables(table, live=[{**RECEIPT, **change}])).count() == 0
+
+
+# --- prepack_out -----------------------------------------------------------------------------
+
+SHIPMENT = {
+    **OWN, "sku_id": "K1", "code": "Shipment", "dstamp": NOON, "update_qty": Decimal(6), "supplier_id": "S9",
+    "customer_id": "C8", "reference_id": "R1", "work_group": "8001", "consignment": "SHP-A", "container_id": "B1",
+    "v_unit_of_measure": "EA", "v_sales_multiple": Decimal(2),
+}
+
+
+def shipment_tables(table, live=(), archive=(), address=None):
+    address = address or [
+        {"address_id": "S9", "client_id": "C1", "name": "Nine"},
+        {"address_id": "C8", "client_id": "C1", "name": "Eight"},
+        {"address_id": "C8", "client_id": "C2", "name": "Not this one"},
+    ]
+    return {
+        "inventory_transaction": table("inventory_transaction", *live),
+        "inventory_transaction_archive": table("inventory_transaction_archive", *archive),
+        "sku": table("sku", {"sku_id": "K1", "client_id": "C1", "description": "Bolt"}),
+        "v_sku_properties": table("v_sku_properties", {**OWN, "sku_id": "K1", "standard_cost": Decimal("9.5")}),
+        "address": table("address", *address),
+    }
+
+
+def prepack_out(tables, **changes):
+    return plans.prepack_out(tables, **{**ARGUMENTS["prepack_out"], **changes})
+
+
+def test_prepack_out_row(table):
+    rows = prepack_out(shipment_tables(table, live=[SHIPMENT, SHIPMENT]))
+    assert rows.columns == headers.PREPACK_OUT
+    assert [tuple(row) for row in rows.collect()] == [
+        (date(2022, 3, 5), "S9", "Nine", "C8", "Eight", "K1", "R1", "Bolt", Decimal("9.5"), Decimal(6), "EA", Decimal(2), "B1")
+    ]
+
+
+def test_prepack_out_archive_is_optional(table):
+    tables = shipment_tables(table, live=[SHIPMENT], archive=[SHIPMENT, {**SHIPMENT, "container_id": "B2"}])
+    assert prepack_out(tables).count() == 1
+    assert prepack_out(tables, include_archive=True).count() == 2
+
+
+@pytest.mark.parametrize(
+    "change",
+    [{"supplier_id": None}, {"customer_id": "C9"}, {"work_group": "7008"}, {"work_group": None}, {"consignment": "SHP-B"}, {"sku_id": "K2"}],
+)
+def test_prepack_out_leaves_out(table, change):
+    assert prepack_out(shipment_tables(table, live=[{**SHIPMENT, **change}])).count() == 0
+
+
+# --- gate_putaway and offload ----------------------------------------------------------------
+
+PUTAWAY = {
+    **OWN, "sku_id": "K1", "code": "Putaway", "dstamp": NOON, "update_qty": Decimal(6), "from_loc_id": "TR-1", "tag_id": "T1",
+}
+
+
+def putaway_tables(table, live=(), archive=()):
+    return {
+        "inventory_transaction": table("inventory_transaction", *live),
+        "inventory_transaction_archive": table("inventory_transaction_archive", *archive),
+        "v_sku_properties": table(
+            "v_sku_properties",
+            {"sku_id": "K1", "site_id": "S1", "client_id": "C1", "gate_id": "E3"},
+            {"sku_id": "K1", "site_id": "S2", "client_id": "C2", "gate_id": "E3"},
+            {"sku_id": "K1", "site_id": "S2", "client_id": "C1", "gate_id": "H9"},
+            {"sku_id": "K1", "site_id": "S3", "client_id": "C1", "gate_id": "G1"},
+            {"sku_id": "K1", "site_id": "S4", "client_id": "C1", "gate_id": None},
+        ),
+        "location": table(
+            "location",
+            {"location_id": "TR-1", "site_id": "S1", "work_zone": "RECEIVE"},
+            {"location_id": "TR-1", "site_id": "S1", "work_zone": "RECEIVE"},
+            {"location_id": "KIT-1", "site_id": "S2", "work_zone": "RECEIVE"},
+        ),
+    }
+
+
+def quantities(rows, *columns):
+    return sorted(tuple(int(row[c]) if c == "UPDATE_QTY" else row[c] for c in columns) for row in rows.collect())
+
+
+def test_gate_putaway_counts_a_move_per_item_row(table):
+    rows = plans.gate_putaway(putaway_tables(table, live=[PUTAWAY, PUTAWAY]), **ARGUMENTS["gate_putaway"])
+    assert rows.columns == headers.GATE_PUTAWAY
+    assert quantities(rows, *headers.GATE_PUTAWAY) == [
+        (2203, "Putaway", "K1", 12, "TR-1", "H9"), (2203, "Putaway", "K1", 24, "TR-1", "E3"),
+    ]
+
+
+def test_equal_sums_merge_and_different_sums_stay(table):
+    other_day = {**PUTAWAY, "dstamp": datetime(2022, 3, 31, 23, 59, 59)}
+    april = {**PUTAWAY, "dstamp": datetime(2022, 4, 1)}
+    tables = putaway_tables(table, live=[PUTAWAY, other_day, april], archive=[{**PUTAWAY, "update_qty": Decimal(12)}, april, april])
+    rows = plans.offload(tables, **ARGUMENTS["offload"])
+    assert rows.columns == headers.OFFLOAD
+    assert quantities(rows, "YYMM", "UPDATE_QTY") == [(2203, 12), (2204, 6), (2204, 12)]
+    gates = plans.gate_putaway(tables, **ARGUMENTS["gate_putaway"]).filter("GATE_ID = 'H9'")
+    assert quantities(gates, "YYMM", "UPDATE_QTY") == [(2203, 12), (2204, 6), (2204, 12)]
+
+
+def test_offload_groups_null_tags_together(table):
+    tables = putaway_tables(table, live=[{**PUTAWAY, "tag_id": None}] * 2, archive=[{**PUTAWAY, "tag_id": None}])
+    rows = plans.offload(tables, **ARGUMENTS["offload"])
+    assert quantities(rows, "TAG_ID", "UPDATE_QTY") == [(None, 6), (None, 12)]
+
+
+def test_offload_by_zone(table):
+    kit = {**PUTAWAY, "from_loc_id": "KIT-1"}
+    tables = putaway_tables(table, live=[PUTAWAY, kit])
+    arguments = {"site": "S1", "since": date(2022, 1, 1)}
+    by_zone = plans.offload(tables, zones=["RECEIVE"], **arguments)
+    assert quantities(by_zone, "FROM_LOC_ID", "UPDATE_QTY") == [("TR-1", 6)]
+    both = plans.offload(tables, from_locs=["KIT-1"], zones=["RECEIVE"], **arguments)
+    assert both.count() == 0
+    with pytest.raises(ValueError, match="from_locs"):
+        plans.offload(tables, **arguments)
+
+
+@pytest.mark.parametrize("change", [{"site_id": "S2"}, {"code": "Receipt"}, {"from_loc_id": "X"}, {"dstamp": datetime(1998, 12, 31, 23, 59)}])
+def test_putaway_leaves_out(table, change):
+    tables = putaway_tables(table, live=[{**PUTAWAY, **change}])
+    assert plans.offload(tables, **ARGUMENTS["offload"]).count() == 0
+    assert plans.gate_putaway(tables, **ARGUMENTS["gate_putaway"]).count() == 0
+
+
+# --- cartons and stock_weight ----------------------------------------------------------------
+
+
+def test_cartons(table):
+    box = {"client_id": "C9", "v_site_id": "S1", "dstamp": NOON, "v_container_type": "71", "v_infoship_status": None}
+    boxes = table(
+        "order_container", box, {**box, "dstamp": datetime(2022, 3, 5, 1)}, {**box, "dstamp": datetime(2022, 3, 6)},
+        {**box, "v_container_type": "79"}, {**box, "v_site_id": "S2"}, {**box, "dstamp": datetime(1998, 12, 31)},
+    )
+    rows = plans.cartons({"order_container": boxes}, **ARGUMENTS["cartons"])
+    assert rows.columns == headers.CARTONS
+    assert sorted(tuple(row) for row in rows.collect()) == [
+        (2203, date(2022, 3, 5), "71", None, 2), (2203, date(2022, 3, 6), "71", None, 1),
+    ]
+
+
+def test_stock_weight_keeps_repeats_and_unknown_places(table):
+    stock = {"sku_id": "K1", "site_id": "S1", "location_id": "L1", "qty_on_hand": Decimal(5)}
+    tables = {
+        "inventory": table(
+            "inventory", stock, stock, {**stock, "location_id": "L2"}, {**stock, "location_id": None},
+            {**stock, "sku_id": "K2"}, {**stock, "site_id": "S2"},
+        ),
+        "sku": table("sku", {"sku_id": "K1", "client_id": "C1", "each_weight": Decimal("0.5")}, {"sku_id": "K2", "client_id": "C2"}),
+        "location": table(
+            "location",
+            {"location_id": "L1", "site_id": "S1", "work_zone": "A"},
+            {"location_id": "L1", "site_id": "S2", "work_zone": "B"},
+        ),
+    }
+    rows = plans.stock_weight(tables, **ARGUMENTS["stock_weight"])
+    assert rows.columns == headers.STOCK_WEIGHT
+    assert sorted((row["LOCATION_ID"] or "", row["WORK_ZONE"] or "") for row in rows.collect()) == [
+        ("", ""), ("L1", "A"), ("L1", "A"), ("L1", "B"), ("L1", "B"), ("L2", ""),
+    ]
+
+
+# --- loadlist --------------------------------------------------------------------------------
+
+LOOSE = {
+    **OWN, "key": 7, "task_id": "O1", "line_id": 1, "sku_id": "K1", "customer_id": "C8", "dstamp": NOON,
+    "qty_to_move": Decimal(3), "status": "Released", "work_zone": "WZ", "pallet_id": "P1", "work_group": "8001",
+    "consignment": "CS1", "from_loc_id": "A", "to_loc_id": "B", "final_loc_id": "D1",
+}
+BOXED = {**LOOSE, "key": 8, "container_id": "B1"}
+BOX = {
+    "order_id": "O1", "client_id": "C1", "container_id": "B1", "pallet_id": "P1", "v_site_id": "S1",
+    "v_container_type": "71", "pallet_weight": Decimal(80), "pallet_volume": Decimal(250), "v_carrier_id": "CAR",
+    "v_trailer_id": "TR1", "v_service_level": "STD", "v_dispatch_method": "ROAD", "v_width": 120, "v_height": 80,
+    "v_depth": 100,
+}
+DOCK = {"location_id": "D1", "site_id": "S1", "loc_type": "ShipDock", "work_zone": "DOCK-A"}
+
+
+def loadlist_tables(table, moves, boxes=(BOX,), places=(DOCK,), lists=(), orders=None):
+    header = {
+        "order_id": "O1", "client_id": "C1", "ship_by_date": datetime(2022, 3, 7, 18), "ship_dock": "DOCK1",
+        "order_type": "RUSH", "user_def_chk_6": "N",
+    }
+    line = {
+        "order_id": "O1", "line_id": 1, "user_def_type_1": "CRM1", "user_def_num_3": 10, "v_dealer_ord_no": "DO",
+        "v_dealer_ord_line_no": 2, "qty_ordered": Decimal(5), "v_export_line_value": Decimal("1.25"), "user_def_type_3": "EUR",
+    }
+    item = {"sku_id": "K1", "client_id": "C1", "each_weight": Decimal("0.5"), "each_volume": Decimal("0.1"), "hazmat_id": "HZ"}
+    return {
+        "move_task": table("move_task", *moves),
+        "order_header": table("order_header", *(orders or [header])),
+        "order_line": table("order_line", line),
+        "order_container": table("order_container", *boxes),
+        "location": table("location", *places),
+        "sku": table("sku", item),
+        "v_sku_properties": table("v_sku_properties", {**OWN, "sku_id": "K1", "sales_multiple": Decimal(4)}),
+        "v_load_list_items": table("v_load_list_items", *lists),
+        "consignment_trailer": table(
+            "consignment_trailer", {"site_id": "S1", "consignment": "CS1", "trailer_id": "TR1", "dock_door_id": None}
+        ),
+        "pallet_config": table("pallet_config", {"config_id": "71", "weight": Decimal(20)}),
+    }
+
+
+def loadlist(tables):
+    return plans.loadlist(tables, **ARGUMENTS["loadlist"])
+
+
+def both_ways(tables):
+    """The report, checked to be the set union of its two kinds."""
+    rows = loadlist(tables)
+    kinds = [plans.loadlist_open, plans.loadlist_container]
+    parts = [kind(tables, **ARGUMENTS["loadlist"]) for kind in kinds]
+    assert all(part.schema.simpleString() == rows.schema.simpleString() for part in parts)
+    got = sorted((tuple(row) for row in rows.collect()), key=repr)
+    assert got == sorted({tuple(row) for part in parts for row in part.collect()}, key=repr)
+    return got
+
+
+def test_loadlist_rows(table):
+    tables = loadlist_tables(table, [LOOSE, LOOSE, BOXED], lists=[{"pallet_id": "P1", "list_id": "LL1"}])
+    rows = loadlist(tables)
+    assert rows.columns == headers.LOADLIST
+    boxed, loose = sorted(both_ways(tables), key=lambda row: row[1])
+    assert loose == (
+        None, "MT", "7", "C8", "O1", 1, "CRM1", 10, "DO", 2, date(2022, 3, 5), "12:30:15", date(2022, 3, 7), "K1",
+        Decimal(5), Decimal(3), Decimal(4), None, "N", "Released", "WZ", "P1", "8001", "CS1", "A", "B", "RUSH",
+        None, None, None, None, None, None, None, None, None, None, Decimal("3.75"), "EUR", "HZ", None, "DOCK1",
+        Decimal("1.5"), Decimal("0.5"), Decimal("0.1"), None, "D1", "DOCK-A", "02/01/2022 08:00:00",
+    )
+    assert boxed == (
+        "B1", "MC", "8", "C8", "O1", 1, "CRM1", 10, "DO", 2, date(2022, 3, 5), "12:30:15", date(2022, 3, 7), "K1",
+        Decimal(5), Decimal(3), Decimal(4), "LL1", "N", "Released", "WZ", "P1", "8001", "CS1", "A", "B", "RUSH",
+        "71", Decimal(80), 0.25, "CAR", "TR1", "STD", "ROAD", 120, 80, 100, Decimal("3.75"), "EUR", "HZ", None,
+        "DOCK1", Decimal("1.5"), Decimal("0.5"), Decimal("0.1"), Decimal(20), "D1", "DOCK-A", "02/01/2022 08:00:00",
+    )
+
+
+def test_two_load_lists_give_two_rows_for_a_boxed_move_only(table):
+    lists = [{"pallet_id": "P1", "list_id": name} for name in ("LL1", "LL2")]
+    rows = both_ways(loadlist_tables(table, [LOOSE, BOXED], lists=lists))
+    assert sorted((row[1], row[17] or "") for row in rows) == [("MC", "LL1"), ("MC", "LL2"), ("MT", "")]
+
+
+@pytest.mark.parametrize(
+    "boxes",
+    [
+        [],
+        [{**BOX, "pallet_id": "P2"}],
+        [{**BOX, "v_site_id": "S2"}],
+        [{**BOX, "v_trailer_id": None}],
+        [{**BOX, "v_trailer_id": "TR9"}],
+    ],
+)
+def test_a_boxed_move_without_box_or_trailer_is_left_out(table, boxes):
+    rows = both_ways(loadlist_tables(table, [LOOSE, BOXED], boxes=boxes))
+    assert [row[1] for row in rows] == ["MT"]
+
+
+def test_boxes_off_the_trailer_add_no_rows(table):
+    boxes = [BOX, {**BOX, "v_trailer_id": None}, {**BOX, "v_trailer_id": "TR9"}, {**BOX, "v_container_type": "99"}]
+    rows = both_ways(loadlist_tables(table, [BOXED], boxes=boxes))
+    assert sorted((row[27], row[45]) for row in rows) == [("71", Decimal(20)), ("99", None)]
+
+
+def test_only_docks_of_the_zones_count(table):
+    places = [
+        DOCK,
+        {**DOCK, "location_id": "D2", "work_zone": "BULK"},
+        {**DOCK, "location_id": "D3", "loc_type": "Bin"},
+        {**DOCK, "location_id": "D4", "site_id": "S2"},
+        {**DOCK, "location_id": "D5", "loc_type": None},
+    ]
+    moves = [{**LOOSE, "final_loc_id": f"D{number}"} for number in range(1, 6)] + [{**LOOSE, "final_loc_id": None}]
+    assert [row[46] for row in both_ways(loadlist_tables(table, moves, places=places))] == ["D1"]
+
+
+def test_one_zone_twice_is_one_row_and_two_zones_are_an_error(table):
+    assert len(both_ways(loadlist_tables(table, [LOOSE, BOXED], places=[DOCK, DOCK]))) == 2
+    two_zones = loadlist_tables(table, [LOOSE], places=[DOCK, {**DOCK, "loc_type": "Bin", "work_zone": "BULK"}])
+    with pytest.raises(PySparkException, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
+        loadlist(two_zones).collect()
+    elsewhere = [DOCK, {**DOCK, "location_id": "D2"}, {**DOCK, "location_id": "D2", "work_zone": "BULK"}]
+    assert len(both_ways(loadlist_tables(table, [LOOSE], places=elsewhere))) == 1
+
+
+@pytest.mark.parametrize("dock", ["SCRAP", "RETURN", None])
+def test_excluded_and_unknown_ship_docks(table, dock):
+    orders = [{"order_id": "O1", "client_id": "C1", "ship_by_date": NOON, "ship_dock": dock}]
+    assert both_ways(loadlist_tables(table, [LOOSE, BOXED], orders=orders)) == []

@@ -21,6 +21,7 @@ def large_scale_in_small(settings):
     """Thresholds brought down so that test data count as large."""
     settings(
         **{
+            "spark__sql__shuffle__partitions": "8",
             "spark__sql__autoBroadcastJoinThreshold": "-1",
             "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
             "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20KB",
