@@ -1,7 +1,6 @@
 """The warehouse tables derived from order-processing test tables (``FIXTURES.md``)."""
 
 from quayside.sample.arguments import ARGUMENTS
-from quayside.sample.spark_views import SampleTables
-from quayside.sample.sql_views import with_views
+from quayside.sample.tables import SampleTables, with_views
 
 __all__ = ["ARGUMENTS", "SampleTables", "with_views"]
