@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,9 +17,7 @@ MONTH_FOLDER = "yymm"
 
 def scope(rows: DataFrame, **owner: str) -> DataFrame:
     """Rows of one site, client, or whichever columns are named: ``scope(df, site_id="S1")``."""
-    for column, value in owner.items():
-        rows = rows.filter(F.col(column) == value)
-    return rows
+    return rows.filter(reduce(and_, (F.col(column) == value for column, value in owner.items())))
 
 
 def since(rows: DataFrame, start: date | Column, stamp: str = "dstamp") -> DataFrame:

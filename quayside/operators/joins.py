@@ -38,7 +38,7 @@ def lookup(rows: DataFrame, dimension: DataFrame, on: dict[str, str]) -> DataFra
     """
     first = next(iter(on))
     complete = reduce(and_, (F.col(key).isNotNull() for key in on))
-    slot = F.pmod(F.xxhash64(*rows.columns), F.lit(NULL_SLOTS)).cast("string")
+    slot = F.expr(f"CAST(pmod(xxhash64(*), {NULL_SLOTS}) AS STRING)")
     spread = F.when(complete, F.col(first)).otherwise(F.concat(F.lit("\0"), slot))
     marked = rows.withColumns({"_key": spread, "_complete": complete})
     match = [F.col("_key" if key == first else key) == F.col(other) for key, other in on.items()]

@@ -49,7 +49,8 @@ def loadlist(
     read and shuffled once, not once per kind.
     """
     moves = _dock_moves(tables, site, client, loc_type, zones, excluded_docks)
-    return _finished(_with_containers(moves, tables, site, client, keep_open=True), as_of)
+    packed = _with_containers(moves, tables, site, client, keep_open=True)
+    return _finished(_with_items(packed, tables, site, client), as_of)
 
 
 def loadlist_open(
@@ -64,7 +65,8 @@ def loadlist_open(
     """Moves without container alone; what a container would add is NULL."""
     moves = _dock_moves(tables, site, client, loc_type, zones, excluded_docks)
     nulls = {name: F.lit(None).cast(kind) for name, kind in CONTAINER_COLUMNS.items()}
-    return _finished(moves.filter(F.col("container_id").isNull()).withColumns(nulls), as_of)
+    loose = moves.filter(F.col("container_id").isNull()).withColumns(nulls)
+    return _finished(_with_items(loose, tables, site, client), as_of)
 
 
 def loadlist_container(
@@ -78,8 +80,8 @@ def loadlist_container(
 ) -> DataFrame:
     """Moves with container alone."""
     moves = _dock_moves(tables, site, client, loc_type, zones, excluded_docks)
-    moves = moves.filter(F.col("container_id").isNotNull())
-    return _finished(_with_containers(moves, tables, site, client, keep_open=False), as_of)
+    packed = _with_containers(moves.filter(F.col("container_id").isNotNull()), tables, site, client, keep_open=False)
+    return _finished(_with_items(packed, tables, site, client), as_of)
 
 
 def _dock_moves(
@@ -90,7 +92,10 @@ def _dock_moves(
     zones: Sequence[str],
     excluded_docks: Sequence[str],
 ) -> DataFrame:
-    """Moves that end at a dock of the zones, with their order, order line and item."""
+    """Moves that end at a dock of the zones, with their order.
+
+    The joins that drop moves come first, those that multiply them (``_with_items``) last.
+    """
     moves = scope(tables["move_task"], site_id=site, client_id=client).select(
         "container_id",
         "key",
@@ -119,14 +124,8 @@ def _dock_moves(
     summary = single_value(places, ["site_id", "final_loc_id"], "dock_zone", F.bool_or(is_dock).alias("is_dock"))
     docks = summary.filter("is_dock").select("final_loc_id", "dock_zone", "ambiguous")
     orders = scope(tables["order_header"], client_id=client).filter(not_in("ship_dock", excluded_docks))
-    items = scope(tables["sku"], client_id=client)
-    properties = scope(tables["v_sku_properties"], site_id=site, client_id=client)
-    return (
-        moves.join(docks, "final_loc_id")
-        .join(orders.select("order_id", "ship_by_date", "ship_dock", "order_type", "user_def_chk_6"), "order_id")
-        .join(tables["order_line"], ["order_id", "line_id"])
-        .join(items.select("sku_id", "each_weight", "each_volume", "hazmat_id"), "sku_id")
-        .join(properties.select("sku_id", "sales_multiple"), "sku_id")
+    return moves.join(docks, "final_loc_id").join(
+        orders.select("order_id", "ship_by_date", "ship_dock", "order_type", "user_def_chk_6"), "order_id"
     )
 
 
@@ -164,6 +163,17 @@ def _with_containers(
     return lookup(rows, tares, {"v_container_type": "config_id"})
 
 
+def _with_items(moves: DataFrame, tables: Mapping[str, DataFrame], site: str, client: str) -> DataFrame:
+    """Add order line and item."""
+    items = scope(tables["sku"], client_id=client)
+    properties = scope(tables["v_sku_properties"], site_id=site, client_id=client)
+    return (
+        moves.join(tables["order_line"], ["order_id", "line_id"])
+        .join(items.select("sku_id", "each_weight", "each_volume", "hazmat_id"), "sku_id")
+        .join(properties.select("sku_id", "sales_multiple"), "sku_id")
+    )
+
+
 def _finished(rows: DataFrame, as_of: datetime | None) -> DataFrame:
     """The report's columns, each different row once, under the report's header."""
     columns = rows.select(

@@ -40,10 +40,10 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch(spark: SparkSession, label: str) -> str:
     """Path of a new, not yet existing folder that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``. Only a local session, whose tasks all run on this
-    machine, may go without that setting.
+    It lies under the session's checkpoint folder. Only a local session, whose tasks all run on
+    this machine, may go without one.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
