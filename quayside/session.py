@@ -26,14 +26,24 @@ TUNING = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+SHUFFLE_CUTS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+CUTS_PER_CORE = 3
+
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply ``REQUIRED``, and what of ``TUNING`` the session does not set itself; return the session."""
+    """Apply ``REQUIRED``, and what of ``TUNING`` the session does not set itself; return the session.
+
+    Shuffles are cut finely enough for all cores to begin with; small pieces are put together
+    again by measured size.
+    """
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
     for key, value in TUNING.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
+    if spark.conf.get(SHUFFLE_CUTS, None) is None:
+        cuts = CUTS_PER_CORE * spark.sparkContext.defaultParallelism
+        spark.conf.set(SHUFFLE_CUTS, str(max(cuts, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     return spark
 
 
