@@ -1,4 +1,8 @@
-"""Open moves to the shipping docks, with and without container."""
+"""Open moves to the shipping docks, with and without container.
+
+Each different row counts once, so repeats among the joined rows are dropped before the joins:
+a repeated key then multiplies its moves by different rows only, not by copies.
+"""
 
 from __future__ import annotations
 
@@ -124,9 +128,8 @@ def _dock_moves(
     summary = single_value(places, ["site_id", "final_loc_id"], "dock_zone", F.bool_or(is_dock).alias("is_dock"))
     docks = summary.filter("is_dock").select("final_loc_id", "dock_zone", "ambiguous")
     orders = scope(tables["order_header"], client_id=client).filter(not_in("ship_dock", excluded_docks))
-    return moves.join(docks, "final_loc_id").join(
-        orders.select("order_id", "ship_by_date", "ship_dock", "order_type", "user_def_chk_6"), "order_id"
-    )
+    orders = orders.select("order_id", "ship_by_date", "ship_dock", "order_type", "user_def_chk_6").distinct()
+    return moves.join(docks, "final_loc_id").join(orders, "order_id")
 
 
 def _with_containers(
@@ -154,13 +157,13 @@ def _with_containers(
     lists = tables["v_load_list_items"].select(F.col("pallet_id").alias("list_pallet"), "list_id")
     tares = tables["pallet_config"].select("config_id", F.col("weight").alias("tare"))
 
-    rows = lookup(moves, boxes, {"order_id": "box_order", "container_id": "box", "pallet_id": "box_pallet"})
-    rows = lookup(rows, trailers, {"consignment": "trailer_consignment", "v_trailer_id": "trailer"})
+    rows = lookup(moves, boxes.distinct(), {"order_id": "box_order", "container_id": "box", "pallet_id": "box_pallet"})
+    rows = lookup(rows, trailers.distinct(), {"consignment": "trailer_consignment", "v_trailer_id": "trailer"})
     on_trailer = F.col("trailer").isNotNull()
     rows = rows.filter(F.col("container_id").isNull() | on_trailer if keep_open else on_trailer)
     packed_pallet = F.when(F.col("container_id").isNotNull(), F.col("pallet_id"))
-    rows = lookup(rows.withColumn("packed_pallet", packed_pallet), lists, {"packed_pallet": "list_pallet"})
-    return lookup(rows, tares, {"v_container_type": "config_id"})
+    rows = lookup(rows.withColumn("packed_pallet", packed_pallet), lists.distinct(), {"packed_pallet": "list_pallet"})
+    return lookup(rows, tares.distinct(), {"v_container_type": "config_id"})
 
 
 def _with_items(moves: DataFrame, tables: Mapping[str, DataFrame], site: str, client: str) -> DataFrame:
@@ -168,9 +171,9 @@ def _with_items(moves: DataFrame, tables: Mapping[str, DataFrame], site: str, cl
     items = scope(tables["sku"], client_id=client)
     properties = scope(tables["v_sku_properties"], site_id=site, client_id=client)
     return (
-        moves.join(tables["order_line"], ["order_id", "line_id"])
-        .join(items.select("sku_id", "each_weight", "each_volume", "hazmat_id"), "sku_id")
-        .join(properties.select("sku_id", "sales_multiple"), "sku_id")
+        moves.join(tables["order_line"].distinct(), ["order_id", "line_id"])
+        .join(items.select("sku_id", "each_weight", "each_volume", "hazmat_id").distinct(), "sku_id")
+        .join(properties.select("sku_id", "sales_multiple").distinct(), "sku_id")
     )
 
 

@@ -26,7 +26,8 @@ def prepack_in(
     """Each different receipt row of the ``history`` tables once.
 
     The tables are put together before the joins, not after: the set union of the joined tables
-    has the same rows, and items and names are shuffled once.
+    has the same rows, and items and names are shuffled once. Likewise, repeats among items and
+    names are dropped before they multiply receipts.
     """
     receipts = _receipts(tables[history[0]], site, client, conditions, code)
     for name in history[1:]:
@@ -35,12 +36,13 @@ def prepack_in(
     properties = scope(tables["v_sku_properties"], client_id=client).filter(F.col("gate_id").isNotNull())
     codes = scope(tables["v_prepack_mat_codes"], site_id=site, client_id=client)
     materials = scope(tables["v_prepack_materials"], site_id=site, client_id=client)
-    names = tables["address"].selectExpr("address_id AS named_id", "name")
+    materials = materials.filter(F.col("sequence_num") == 1)
+    names = tables["address"].selectExpr("address_id AS named_id", "name").distinct()
 
     packed = (
-        receipts.join(properties.select("sku_id", "gate_id", "sales_multiple"), "sku_id")
-        .join(codes.select("sku_id", "prepack_code"), "sku_id")
-        .join(materials.filter(F.col("sequence_num") == 1).select("sku_id", "material_sku_id"), "sku_id")
+        receipts.join(properties.select("sku_id", "gate_id", "sales_multiple").distinct(), "sku_id")
+        .join(codes.select("sku_id", "prepack_code").distinct(), "sku_id")
+        .join(materials.select("sku_id", "material_sku_id").distinct(), "sku_id")
     )
     rows = (
         lookup(packed, names, {"supplier_id": "named_id"})

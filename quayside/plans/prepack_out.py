@@ -21,15 +21,18 @@ def prepack_out(
     include_archive: bool = False,
     code: str = "Shipment",
 ) -> DataFrame:
-    """Each different shipment row once; a shipment lacking any of the joined data is left out."""
+    """Each different shipment row once; a shipment lacking any of the joined data is left out.
+
+    Repeats among the joined rows are dropped before they multiply shipments.
+    """
     shipments = _shipments(tables["inventory_transaction"], site, client, work_group_prefix, consignment, code)
     if include_archive:
         archive = tables["inventory_transaction_archive"]
         shipments = shipments.union(_shipments(archive, site, client, work_group_prefix, consignment, code))
 
-    items = scope(tables["sku"], client_id=client).select("sku_id", "description")
-    costs = scope(tables["v_sku_properties"], site_id=site, client_id=client).select("sku_id", "standard_cost")
-    parties = scope(tables["address"], client_id=client)
+    items = scope(tables["sku"], client_id=client).select("sku_id", "description").distinct()
+    costs = scope(tables["v_sku_properties"], site_id=site, client_id=client).select("sku_id", "standard_cost").distinct()
+    parties = scope(tables["address"], client_id=client).select("address_id", "name").distinct()
     suppliers = parties.selectExpr("address_id AS supplier_id", "name AS supplier")
     customers = parties.selectExpr("address_id AS customer_id", "name AS customer")
 

@@ -225,6 +225,32 @@ def test_loadlist_splits_hot_docks_orders_and_items(hot):
     assert counts == {("MT", True): ROWS // 2, ("MC", False): ROWS // 2}
 
 
+def test_copies_of_joined_rows_do_not_multiply(hot):
+    """Half of every joined table is one row: joined as they are, each receipt would come 3,000 ^ 3 times."""
+    copies = 6_000
+    own = {"sku_id": hot_key("K"), "site_id": same("S1"), "client_id": same("C1")}
+    moves = {
+        "sku_id": same("K0"),
+        "code": same("Receipt"),
+        "site_id": same("S1"),
+        "client_id": same("C1"),
+        "condition_id": same("KIT"),
+        "dstamp": moment(),
+        "update_qty": same(6),
+        "tag_id": each_key("T"),
+    }
+    tables = {
+        "inventory_transaction": hot("inventory_transaction", moves, 500),
+        "v_sku_properties": hot("v_sku_properties", {**own, "gate_id": same("E3"), "sales_multiple": same(2)}, copies),
+        "v_prepack_mat_codes": hot("v_prepack_mat_codes", {**own, "prepack_code": same("P")}, copies),
+        "v_prepack_materials": hot(
+            "v_prepack_materials", {**own, "sequence_num": same(1), "material_sku_id": same("M")}, copies
+        ),
+        "address": hot("address", {"address_id": hot_key("S"), "name": same("N")}, copies),
+    }
+    assert plans.prepack_in_live(tables, **ARGUMENTS["prepack_in"]).count() == 500
+
+
 def test_semi_join_with_hot_keys_on_both_sides(spark):
     rows = spark.range(0, ROWS, 1, 16).select(hot_key("K").alias("key"), "id")
     listed = spark.range(0, ROWS, 1, 16).select(hot_key("K").alias("other"))
