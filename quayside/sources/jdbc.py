@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.sources.schemas import SCHEMAS, conform
+from quayside.sources.schemas import MOMENT, SCHEMAS, conform
 
 # Tables that grow with the business; one connection must not read such a table whole.
 GROWING = (
@@ -25,7 +25,9 @@ GROWING = (
 class Split:
     """Cut of a table into ``parts`` equal ranges of a number, date or date-time column.
 
-    The bounds only place the cuts: the first and last range are open, no row is left out.
+    The bounds only place the cuts: the first and last range are open, no row is left out. Spark
+    writes date-time bounds as plain text; a database that needs them in another format can be
+    told so with the connection option ``sessionInitStatement``. Numbers need nothing.
     """
 
     column: str
@@ -48,6 +50,10 @@ class JdbcTables(Mapping[str, DataFrame]):
 
     ``connection`` holds the JDBC options for url, driver, user and password. ``splits`` names
     the cut per table and must cover each ``GROWING`` table in use.
+
+    Date-times are read as instants: not every dialect can filter on zone-less ones. The driver
+    reads them in the zone of the JVM, so that has to be the session's: start driver and
+    executors with ``-Duser.timezone=UTC``.
     """
 
     spark: SparkSession
@@ -62,7 +68,10 @@ class JdbcTables(Mapping[str, DataFrame]):
             raise KeyError(name)
         if name in GROWING and name not in self.splits:
             raise ValueError(f"{name} needs a Split to be read in parallel")
-        types = ", ".join(f"{column.name} {column.dataType.simpleString()}" for column in SCHEMAS[name])
+        types = ", ".join(
+            f"{column.name} {'timestamp' if column.dataType == MOMENT else column.dataType.simpleString()}"
+            for column in SCHEMAS[name]
+        )
         cut = self.splits[name].options() if name in self.splits else {}
         table = f"{self.schema}.{name}" if self.schema else name
         return {**self._common(), **cut, "dbtable": table, "customSchema": types}
@@ -79,9 +88,19 @@ class JdbcTables(Mapping[str, DataFrame]):
         return self.spark.read.format("jdbc").options(**self.query_options(statement)).load()
 
     def _common(self) -> dict[str, str]:
-        return {**self.connection, "fetchsize": str(self.fetch_size), "preferTimestampNTZ": "true"}
+        return {**self.connection, "fetchsize": str(self.fetch_size)}
+
+    def check_zone(self) -> None:
+        """Fail if date-times would be read in another zone than the session's."""
+        time = self.spark._jvm.java
+        session = time.time.ZoneId.of(self.spark.conf.get("spark.sql.session.timeZone"))
+        machine = time.util.TimeZone.getDefault().toZoneId()
+        if not session.getRules().equals(machine.getRules()):
+            raise RuntimeError(f"the JVM runs in zone {machine}, the session in {session}: set -Duser.timezone")
 
     def __getitem__(self, name: str) -> DataFrame:
+        if MOMENT in (column.dataType for column in SCHEMAS[name]):
+            self.check_zone()
         return conform(self.spark.read.format("jdbc").options(**self.options(name)).load(), name)
 
     def __iter__(self) -> Iterator[str]:
