@@ -1,7 +1,8 @@
 """Open moves to the shipping docks, with and without container.
 
-Each different row counts once, so repeats among the joined rows are dropped before the joins:
-a repeated key then multiplies its moves by different rows only, not by copies.
+Each different row counts once, so copies are dropped before they multiply: those in the small tables
+before they are joined, those among the moves before the order lines are joined. The large order
+tables are left as they are, as grouping them first would shuffle each once more.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from quayside.functions import day, number_text, ratio, run_stamp, time_text
 from quayside.operators import checked_value, lookup, named, not_in, scope, single_value
 from quayside.plans.headers import LOADLIST
 
+# Tags of the two kinds of moves.
 OPEN_TAG = "MT"
 CONTAINER_TAG = "MC"
 
@@ -49,8 +51,8 @@ def loadlist(
     """Moves without container (tag MT) and with container (tag MC), each different row once.
 
     Both kinds go through the same outer joins: a move without container finds nothing and keeps
-    NULLs, a move whose container or trailer is missing is dropped afterwards. So each table is
-    read and shuffled once, not once per kind.
+    NULLs, a move whose container or trailer is missing is dropped afterwards. So the tables are
+    read once, not once per kind.
     """
     moves = _dock_moves(tables, site, client, loc_type, zones, excluded_docks)
     packed = _with_containers(moves, tables, site, client, keep_open=True)
@@ -128,7 +130,7 @@ def _dock_moves(
     summary = single_value(places, ["site_id", "final_loc_id"], "dock_zone", F.bool_or(is_dock).alias("is_dock"))
     docks = summary.filter("is_dock").select("final_loc_id", "dock_zone", "ambiguous")
     orders = scope(tables["order_header"], client_id=client).filter(not_in("ship_dock", excluded_docks))
-    orders = orders.select("order_id", "ship_by_date", "ship_dock", "order_type", "user_def_chk_6").distinct()
+    orders = orders.select("order_id", "ship_by_date", "ship_dock", "order_type", "user_def_chk_6")
     return moves.join(docks, "final_loc_id").join(orders, "order_id")
 
 
@@ -157,7 +159,7 @@ def _with_containers(
     lists = tables["v_load_list_items"].select(F.col("pallet_id").alias("list_pallet"), "list_id")
     tares = tables["pallet_config"].select("config_id", F.col("weight").alias("tare"))
 
-    rows = lookup(moves, boxes.distinct(), {"order_id": "box_order", "container_id": "box", "pallet_id": "box_pallet"})
+    rows = lookup(moves, boxes, {"order_id": "box_order", "container_id": "box", "pallet_id": "box_pallet"})
     rows = lookup(rows, trailers.distinct(), {"consignment": "trailer_consignment", "v_trailer_id": "trailer"})
     on_trailer = F.col("trailer").isNotNull()
     rows = rows.filter(F.col("container_id").isNull() | on_trailer if keep_open else on_trailer)
@@ -168,12 +170,24 @@ def _with_containers(
 
 def _with_items(moves: DataFrame, tables: Mapping[str, DataFrame], site: str, client: str) -> DataFrame:
     """Add order line and item."""
-    items = scope(tables["sku"], client_id=client)
-    properties = scope(tables["v_sku_properties"], site_id=site, client_id=client)
+    lines = tables["order_line"].select(
+        "order_id",
+        "line_id",
+        "user_def_type_1",
+        "user_def_num_3",
+        "v_dealer_ord_no",
+        "v_dealer_ord_line_no",
+        "qty_ordered",
+        "v_export_line_value",
+        "user_def_type_3",
+    )
+    items = scope(tables["sku"], client_id=client).select("sku_id", "each_weight", "each_volume", "hazmat_id")
+    properties = scope(tables["v_sku_properties"], site_id=site, client_id=client).select("sku_id", "sales_multiple")
     return (
-        moves.join(tables["order_line"].distinct(), ["order_id", "line_id"])
-        .join(items.select("sku_id", "each_weight", "each_volume", "hazmat_id").distinct(), "sku_id")
-        .join(properties.select("sku_id", "sales_multiple").distinct(), "sku_id")
+        moves.distinct()
+        .join(lines, ["order_id", "line_id"])
+        .join(items.distinct(), "sku_id")
+        .join(properties.distinct(), "sku_id")
     )
 
 
