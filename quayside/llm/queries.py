@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, lines, mixing, quality, simhash
+from quayside.llm import decontaminate, licenses, lines, mixing, quality, simhash, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.graded(docs, model, keep_grade=2)
     tails = [F.get("tails", F.lit(j)).alias(f"p_at_least_{j + 1}") for j in range(2)]
     return found.select("doc_id", "expected_grade", *tails, "keep")
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of each document, with their compressed sizes and differences in wording."""
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.withColumns({"missing": F.array_join("missing", " "), "added": F.array_join("added", " ")})
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each line of each document."""
+    return tokens.section_counts(table(spark, sf_dir, "documents"))
