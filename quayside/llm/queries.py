@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, licenses, lines, mixing, quality, simhash, tokens
+from quayside.llm import decontaminate, langid, licenses, lines, mixing, mtree, quality, scoring, simhash, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,3 +74,42 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of each line of each document."""
     return tokens.section_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten vectors with the largest integer inner product for each hundredth vector."""
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, factor=1024)
+
+
+ORACLES["op3_topk_search"] = """
+WITH rows AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+                FROM embeddings
+               WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT vec_id, unnest(range(len(v))) AS at, unnest(v) AS x FROM rows),
+scores AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+             FROM parts AS q JOIN parts AS c ON q.at = c.at AND q.vec_id <> c.vec_id
+            WHERE q.vec_id % 100 = 0 GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of each document: documents rated good against all."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    good = labels.where("quality = 1 AND toxic = 0").select(F.col("doc_id").alias("good_id")).distinct()
+    marked = docs.join(good, docs["doc_id"] == good["good_id"], "left").select(docs["text"], F.col("good_id").isNotNull().alias("target"))
+    return scoring.score(docs, scoring.train(marked))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document by filters learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    known = docs.where(~langid.held_out("doc_id")).select("text", "lang")
+    found = langid.identify(docs, langid.train(known))
+    return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
