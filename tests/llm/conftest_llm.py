@@ -1,0 +1,6 @@
+"""Texts for the tests of this folder."""
+
+def prose(number: int, words: int = 60) -> str:
+    """Different words for each number, in sentences of eight."""
+    listed = [f"w{number}x{i}" for i in range(words)]
+    return " ".join(word + ("." if i % 8 == 7 else "") for i, word in enumerate(listed)) + "."

@@ -1,0 +1,48 @@
+from __future__ import annotations
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from quayside.llm.queries import ORACLES, QUERIES
+
+FOLDER = Path("/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no test tables")
+
+
+def test_stages_in_order(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    columns, last = docs.columns, {r["doc_id"] for r in docs.collect()}
+    sizes = [len(last)]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(FOLDER))
+        kept = [r["doc_id"] for r in docs.select("doc_id").collect()]
+        assert set(kept) <= last and len(kept) == len(set(kept))
+        assert docs.columns[:5] == columns
+        last = set(kept)
+        sizes.append(len(kept))
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_dedup", "decontamination", "mixing"]
+    assert sizes[1] < sizes[0] and sizes[2] == sizes[1] and sizes[3] < sizes[2] and 0 < sizes[5] < sizes[4] <= sizes[3]
+    assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(FOLDER)).collect()} == last
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_against_sql(spark, name):
+    duck = duckdb.connect()
+    for file in FOLDER.glob("*.parquet"):
+        duck.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    found = QUERIES[name](spark, str(FOLDER))
+    result = duck.execute(ORACLES[name])
+    names = [c[0] for c in result.description]
+    assert sorted(found.columns) == sorted(names)
+    assert sorted(tuple(r) for r in found.select(*names).collect()) == sorted(result.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_one_row_or_more_per_document(spark, name):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+    found = QUERIES[name](spark, str(FOLDER))
+    kept = found.select("doc_id").distinct().count()
+    assert 0 < kept <= documents if name == "op2_license_scan" else kept == documents
