@@ -16,8 +16,6 @@ from quayside.llm.shared import ascii_lower, free, small_enough, stored
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ANY_CASE_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Rows of two or three numbers each that may be broadcast: some ten MB.
-SMALL = 200_000
 
 
 def words(text: Column) -> Column:
@@ -56,7 +54,7 @@ def corpus_terms(docs: DataFrame) -> DataFrame:
 def rarest(docs: DataFrame, places: DataFrame, lists: int) -> DataFrame:
     """Of each window the ``lists`` places whose terms are the rarest in the corpus: ``item``, ``start``, ``size``, ``at``, ``term``."""
     wanted = stored(places.select("term").distinct(), "terms")
-    counts = corpus_terms(docs).join(small_enough(wanted, SMALL), "term").groupBy("term").agg(F.count("*").alias("n"))
+    counts = corpus_terms(docs).join(small_enough(wanted), "term").groupBy("term").agg(F.count("*").alias("n"))
     ranked = places.join(counts, "term", "left").fillna(0, ["n"])
     # An item's window has a handful of words, so each group is small.
     rank = F.row_number().over(Window.partitionBy("item", "start").orderBy("n", "term", "at"))
@@ -70,7 +68,7 @@ def aligned(docs: DataFrame, seeds: DataFrame) -> DataFrame:
     the intersection of the shifted lists of an item. A hot term has a row per posting and place.
     """
     terms = stored(seeds.select("term").distinct(), "seed-terms")
-    postings = corpus_terms(docs).join(small_enough(terms, SMALL), "term")
+    postings = corpus_terms(docs).join(small_enough(terms), "term")
     spots = seeds.select("term", "item", "at").distinct()
     hits = postings.join(spots, "term").select(*KEY, "item", (F.col("pos") - F.col("at")).alias("shift"), "at")
     return stored(hits.groupBy(*KEY, "item", "shift").agg(F.collect_set("at").alias("ats")), "aligned")
@@ -85,7 +83,7 @@ def phrases(docs: DataFrame, items: DataFrame, seeds: DataFrame, lists: DataFram
     found = lists.join(per_item, "item").select(*KEY, "item", "shift", whole.alias("windows")).where(F.size("windows") > 0)
     found = stored(found, "candidates")
     suspects = stored(found.select(*KEY).distinct(), "suspects")
-    texts = docs.join(small_enough(suspects, SMALL), KEY, "left_semi").select(*KEY, words(F.col("text")).alias("its")).dropDuplicates(KEY)
+    texts = docs.join(small_enough(suspects), KEY, "left_semi").select(*KEY, words(F.col("text")).alias("its")).dropDuplicates(KEY)
     both = found.join(texts, KEY).join(items.select("item", "words"), "item")
 
     def same(w: Column) -> Column:
@@ -140,9 +138,12 @@ def contamination(
     apart = near_items(meeting, slop, near_terms).join(exact.select(*KEY, "item").distinct(), [*KEY, "item"], "left_anti")
     facts = hit.join(listed(exact, "items"), KEY, "left").join(listed(apart, "near"), KEY, "full")
     mine = {c: free(docs, c) for c in (*KEY, "n_hit", "items", "near")}
-    facts = facts.select(*[F.col(c).alias(name) for c, name in mine.items()])
-    counted = docs.withColumns({"n_words": count_words(F.col(text)).cast("long")})
-    on = (F.xxhash64(text) == F.col(mine["version"])) & (F.hash(text) == F.col(mine["check"]))
+    facts = stored(facts.select(*[F.col(c).alias(name) for c, name in mine.items()]), "facts")
+    named = {c: free(docs, f"its_{c}") for c in KEY}
+    counted = docs.withColumns({"n_words": count_words(F.col(text)).cast("long"), named["version"]: F.xxhash64(text), named["check"]: F.hash(text)})
+    # Columns, not expressions: else a shuffle for this join would carry the texts along.
+    on = (F.col(named["version"]) == F.col(mine["version"])) & (F.col(named["check"]) == F.col(mine["check"]))
+    facts = small_enough(facts, mine["items"], mine["near"])
     joined = counted.join(facts, on, "left")
     none = F.array().cast("array<string>")
     out = joined.withColumns({
@@ -150,6 +151,6 @@ def contamination(
         "items": F.coalesce(mine["items"], none),
         "near": F.coalesce(mine["near"], none),
     })
-    out = out.drop(*(name for c, name in mine.items() if name not in ("n_hit", "items", "near")))
+    out = out.drop(*named.values(), *(name for c, name in mine.items() if name not in ("n_hit", "items", "near")))
     bad = (F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words"))
     return out.withColumns({"n_items": F.size("items").cast("long"), "contaminated": bad})

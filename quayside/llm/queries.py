@@ -42,7 +42,27 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in a 13-word window of a benchmark item."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13, one_in=20)
     items = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
-    return found.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated", F.size("near").alias("n_near"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated")
+
+
+_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+ORACLES["op6_decontamination"] = f"""
+WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, least(len(w), 13) AS size, array_to_string(w[i : i + least(len(w), 13) - 1], ' ') AS gram
+              FROM items, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS r(i) WHERE len(w) > 0),
+texts AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+hits AS (SELECT doc_id, p, size, item_id
+           FROM (SELECT doc_id, p, s.size, array_to_string(w[p : p + s.size - 1], ' ') AS gram
+                   FROM texts, (SELECT DISTINCT size FROM windows) AS s, unnest(range(1, len(w) - s.size + 2)) AS r(p))
+           JOIN windows USING (size, gram)),
+covered AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM hits, unnest(range(p, p + size)) AS r(q) GROUP BY doc_id),
+names AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                 string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hits GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= coalesce(len(w), 0) AS contaminated
+  FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN names USING (doc_id)
+"""
 
 
 @query

@@ -48,9 +48,18 @@ def row_hash(docs: DataFrame) -> Column:
     return F.xxhash64(*columns)
 
 
-def small_enough(rows: DataFrame, limit: int) -> DataFrame:
-    """The rows, marked for a broadcast if there are ``limit`` at most; else Spark shuffles both sides.
+#: Numbers that a table may hold to be broadcast: some tens of MB in memory.
+SMALL = 2_000_000
 
-    For rows of a few fixed-width columns that are cheap to count, as those read from a stored table.
+
+def small_enough(rows: DataFrame, *lists: str) -> DataFrame:
+    """The rows, marked for a broadcast if they are proven to hold ``SMALL`` values at most; else Spark shuffles both sides.
+
+    Counted are the rows' columns, and the elements of the array columns ``lists``. For stored tables of
+    numbers and short texts, cheap to read twice.
     """
-    return F.broadcast(rows) if rows.limit(limit + 1).count() <= limit else rows
+    values = F.lit(len(rows.columns)).cast("long")
+    for name in lists:
+        values = values + F.coalesce(F.size(name), F.lit(0))
+    held = rows.agg(F.sum(values)).first()[0] or 0
+    return F.broadcast(rows) if held <= SMALL else rows
