@@ -1,6 +1,7 @@
 """``python -m quayside``, or the same through ``spark-submit``: run reports from a settings file.
 
-The file is JSON: ``tables`` holds ``parquet`` (a folder) or ``jdbc`` (the arguments of
+The file is JSON: ``tables`` holds ``parquet`` (a folder; with ``blank_is_null``
+set to true, empty text counts as NULL) or ``jdbc`` (the arguments of
 ``JdbcTables``, without password), ``reports`` holds the arguments per report, ``out`` is the
 folder for the snapshots.
 """
@@ -39,7 +40,7 @@ def main() -> None:
 def open_tables(spark: SparkSession, source: dict, password_variable: str | None):
     """Table mapping for the ``tables`` part of the settings."""
     if "parquet" in source:
-        return ParquetTables(spark, source["parquet"])
+        return ParquetTables(spark, source["parquet"], source.get("blank_is_null", False))
     jdbc = dict(source["jdbc"])
     connection = dict(jdbc.pop("connection"))
     if password_variable:

@@ -7,18 +7,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.sources.schemas import MOMENT, SCHEMAS, conform
+from quayside.sources.schemas import MOMENT, SCHEMAS, TEXT, conform
 
-# Tables that grow with the business; one connection must not read such a table whole.
-GROWING = (
-    "inventory_transaction",
-    "inventory_transaction_archive",
-    "inventory",
-    "move_task",
-    "order_header",
-    "order_line",
-    "order_container",
-)
+# Tables with a row per place or pallet type. All others grow with the business, and one connection
+# must not read such a table whole.
+SMALL = ("location", "pallet_config")
 
 
 @dataclass(frozen=True)
@@ -49,7 +42,10 @@ class JdbcTables(Mapping[str, DataFrame]):
     """``tables["inventory"]`` scans ``<schema>.inventory``; Spark hands filters and columns down.
 
     ``connection`` holds the JDBC options for url, driver, user and password. ``splits`` names
-    the cut per table and must cover each ``GROWING`` table in use.
+    the cut per table and must cover each table in use that is not one of ``SMALL``.
+
+    Numbers come in the database's own types, so none is rounded; a whole number must be declared
+    as one there (a view may do that), else it is rejected.
 
     Date-times are read as instants: not every dialect can filter on zone-less ones. The driver
     reads them in the zone of the JVM, so that has to be the session's: start driver and
@@ -66,11 +62,12 @@ class JdbcTables(Mapping[str, DataFrame]):
         """JDBC reader options for one table."""
         if name not in SCHEMAS:
             raise KeyError(name)
-        if name in GROWING and name not in self.splits:
+        if name not in SMALL and name not in self.splits:
             raise ValueError(f"{name} needs a Split to be read in parallel")
         types = ", ".join(
             f"{column.name} {'timestamp' if column.dataType == MOMENT else column.dataType.simpleString()}"
             for column in SCHEMAS[name]
+            if column.dataType in (TEXT, MOMENT)
         )
         cut = self.splits[name].options() if name in self.splits else {}
         table = f"{self.schema}.{name}" if self.schema else name

@@ -112,14 +112,17 @@ SCHEMAS: dict[str, T.StructType] = {
 }
 
 _MOMENTS = (T.TimestampType, T.TimestampNTZType)
-_NUMBERS = (T.IntegralType, T.FractionalType)
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)  # from narrow to wide
+_ANY_WHOLE = T.DecimalType(20, 0)  # holds every bigint
 
 
 def conform(rows: DataFrame, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Columns of the named table in declared order and type, plus the ``keep`` columns if there.
+    """Columns of the named table in declared order, plus the ``keep`` columns if there.
 
-    Numbers may arrive in another numeric type and are cast. Both kinds of date-time pass as they
-    are, so filters on them still reach the scan. Anything else is an error, before any job.
+    No value changes. Decimals and floating-point numbers keep the type they arrive in, whatever
+    their scale; whole numbers are only widened. Both kinds of date-time pass as they are, so
+    filters on them still reach the scan. Any other type than the declared kind is an error before
+    any job, so is a declared whole number that may arrive with a fraction.
     """
     arrived = {field.name.lower(): field for field in rows.schema}
     columns = []
@@ -127,19 +130,28 @@ def conform(rows: DataFrame, name: str, keep: tuple[str, ...] = ()) -> DataFrame
         field = arrived.get(wanted.name)
         if field is None:
             raise ValueError(f"{name} has no column {wanted.name}")
+        kind = _kind(field.dataType, wanted.dataType)
+        if kind is None:
+            raise ValueError(
+                f"{name}.{wanted.name} is {field.dataType.simpleString()}, "
+                f"expected {wanted.dataType.simpleString()}"
+            )
         column = F.col(field.name)
-        if field.dataType != wanted.dataType:
-            if _same_family(field.dataType, wanted.dataType, _NUMBERS):
-                column = column.cast(wanted.dataType)
-            elif not _same_family(field.dataType, wanted.dataType, _MOMENTS):
-                raise ValueError(
-                    f"{name}.{wanted.name} is {field.dataType.simpleString()}, "
-                    f"expected {wanted.dataType.simpleString()}"
-                )
-        columns.append(column.alias(wanted.name))
+        columns.append((column if kind == field.dataType else column.cast(kind)).alias(wanted.name))
     extra = [F.col(column) for column in keep if column in rows.columns]
     return rows.select(*columns, *extra)
 
 
-def _same_family(arrived: T.DataType, wanted: T.DataType, family: tuple[type, ...]) -> bool:
-    return isinstance(arrived, family) and isinstance(wanted, family)
+def _kind(arrived: T.DataType, wanted: T.DataType) -> T.DataType | None:
+    """The type a column is read in: that it has, or a wider one; None if it is no fit."""
+    if arrived == wanted:
+        return arrived
+    if isinstance(wanted, _MOMENTS):
+        return arrived if isinstance(arrived, _MOMENTS) else None
+    if wanted == AMOUNT:
+        return _ANY_WHOLE if isinstance(arrived, _WHOLE) else arrived if isinstance(arrived, T.FractionalType) else None
+    if isinstance(wanted, _WHOLE):
+        if isinstance(arrived, _WHOLE):
+            return max(arrived, wanted, key=lambda kind: _WHOLE.index(type(kind)))
+        return arrived if isinstance(arrived, T.DecimalType) and arrived.scale == 0 else None
+    return None

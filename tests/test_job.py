@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 
 from quayside import __main__ as command
+from quayside import plans
 from quayside.sources import JdbcTables, Split
 
 
@@ -39,6 +40,30 @@ def test_command_runs_the_named_reports(spark, settings_file, tmp_path, monkeypa
     assert not Path(f"{tmp_path}/out/cartons").exists()
 
 
+def test_blank_text_counts_as_null_where_the_settings_say_so(spark, table, tmp_path):
+    """A move whose container id is blank is one without container."""
+    here = {"site_id": "S1", "client_id": "C1"}
+    moved = {**here, "key": 1, "task_id": "O", "line_id": 1, "sku_id": "K", "final_loc_id": "D", "qty_to_move": Decimal(1), "container_id": ""}
+    rows = {
+        "move_task": moved,
+        "location": {"location_id": "D", "site_id": "S1", "loc_type": "ShipDock", "work_zone": "Z"},
+        "order_header": {"order_id": "O", "client_id": "C1", "ship_dock": "DOCK1"},
+        "order_line": {"order_id": "O", "line_id": 1},
+        "sku": {"sku_id": "K", "client_id": "C1"},
+        "v_sku_properties": {**here, "sku_id": "K"},
+    }
+    for name, row in rows.items():
+        table(name, row).write.parquet(f"{tmp_path}/{name}")
+    for name in ("order_container", "consignment_trailer", "v_load_list_items", "pallet_config"):
+        table(name).write.parquet(f"{tmp_path}/{name}")
+    arguments = {"site": "S1", "client": "C1", "loc_type": "ShipDock", "zones": ["Z"], "excluded_docks": []}
+    kinds = []
+    for blank in (False, True):
+        tables = command.open_tables(spark, {"parquet": str(tmp_path), "blank_is_null": blank}, None)
+        kinds.append([row["Table"] for row in plans.loadlist(tables, **arguments).collect()])
+    assert kinds == [[], ["MT"]]
+
+
 def test_database_settings(spark, monkeypatch):
     monkeypatch.setenv("WMS_PASSWORD", "secret")
     source = {
