@@ -21,17 +21,28 @@ def number_text(number: Column | str) -> Column:
 
 def plain_decimal(number: Column | str) -> Column:
     """Decimal with a fraction part as text without trailing zeros: 12.5000 -> 12.5, 12.0000 -> 12."""
-    return F.rtrim(F.rtrim(_column(number).cast("string"), F.lit("0")), F.lit("."))
+    return F.rtrim(F.rtrim(_without_exponent(_column(number).cast("string")), F.lit("0")), F.lit("."))
 
 
 def plain_double(number: Column | str) -> Column:
-    """Double as text, without an exponent where 38 digits can hold it: 1.5E7 -> 15000000.0."""
-    number = _column(number)
-    text = number.cast("string")
-    digits = F.rtrim(text.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
-    digits = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-    fits = (F.abs(number) >= 1e-6) & (F.abs(number) < 1e17)
-    return F.when(text.contains("E") & fits, digits).otherwise(text)
+    """Floating-point number as text without an exponent: 1.5E7 -> 15000000.0.
+
+    All digits that Spark needs to write the number come from its own text, so the result reads
+    back as the same number, however large or small.
+    """
+    return _without_exponent(_column(number).cast("string"))
+
+
+def _without_exponent(text: Column) -> Column:
+    """The text of a number, its decimal point moved to where the exponent puts it."""
+    mantissa = F.split(text, "E")[0]
+    exponent = F.get(F.split(text, "E"), F.lit(1)).cast("int")
+    digits = F.regexp_replace(F.regexp_replace(mantissa, "[-.]", ""), "(?<=.)0+$", "")
+    fraction = F.substr(digits, exponent + 2)
+    large = F.concat(F.rpad(digits, exponent + 1, F.lit("0")), F.lit("."), F.when(fraction == "", "0").otherwise(fraction))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    return F.when(text.contains("E"), F.concat(sign, F.when(exponent < 0, small).otherwise(large))).otherwise(text)
 
 
 def _column(value: Column | str) -> Column:

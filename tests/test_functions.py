@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import date, datetime
 
 import pytest
@@ -78,4 +79,20 @@ def test_plain_double(spark):
     numbers = [12.0, 0.1, 1.5e7, 123456789.25, 1e-4, -2.5e-5, 1e300, None]
     rows = spark.createDataFrame([(number,) for number in numbers], "number double")
     got = [row[0] for row in rows.select(plain_double("number")).collect()]
-    assert got == ["12.0", "0.1", "15000000.0", "123456789.25", "0.0001", "-0.000025", "1.0E300", None]
+    assert got == ["12.0", "0.1", "15000000.0", "123456789.25", "0.0001", "-0.000025", "1" + "0" * 300 + ".0", None]
+
+
+def test_plain_double_reads_back_equal_without_exponent(spark):
+    pick = random.Random(1)
+    numbers = [3.3333333333333335e-05, 1.234567890123456e-05, 1 / 3000, 2.5e-7, 1e18, 5e-324, 1.7976931348623157e308, -0.0, 1e21, -1e-300]
+    numbers += [pick.choice([-1, 1]) * pick.random() * 10.0 ** pick.randrange(-300, 300) for _ in range(3000)]
+    rows = spark.createDataFrame([(number,) for number in numbers], "number double")
+    for number, text in rows.select("number", plain_double("number")).collect():
+        assert "E" not in text and float(text) == number, (number, text)
+
+
+def test_plain_decimal_of_many_places(spark):
+    texts = ["0.0000000000450", "-0.0000001", "123456789012345678.10", "0E-12"]
+    rows = spark.createDataFrame([(text,) for text in texts], "text string")
+    got = rows.select(plain_decimal(F.col("text").cast("decimal(38,18)"))).collect()
+    assert [row[0] for row in got] == ["0.000000000045", "-0.0000001", "123456789012345678.1", "0"]
