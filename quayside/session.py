@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 REQUIRED = {
     # A zero divisor and an ambiguous lookup must fail the job, not yield NULL.
     "spark.sql.ansi.enabled": "true",
     # Instants, if a source delivers them, are cut to days and months in one fixed zone.
     "spark.sql.session.timeZone": "UTC",
+    # A product of wide decimals keeps all decimal places; one that does not fit is an error.
+    "spark.sql.decimalOperations.allowPrecisionLoss": "false",
 }
 
 TUNING = {
@@ -27,14 +32,19 @@ TUNING = {
 }
 
 SHUFFLE_CUTS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+#: What ``SHUFFLE_CUTS`` was set to here; another value there is the user's and stays.
+OWN_CUTS = "quayside.shuffle.cuts"
 CUTS_PER_CORE = 3
+#: Beyond this the bookkeeping of a shuffle costs more than its larger pieces do.
+MOST_CUTS = 100_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply ``REQUIRED``, and what of ``TUNING`` the session does not set itself; return the session.
 
-    Shuffles are cut finely enough for all cores to begin with; small pieces are put together
-    again by measured size.
+    Shuffles are cut finely enough for all cores to begin with, and for the data once a report is
+    known (``size_shuffles``); small pieces are put together again by measured size.
     """
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
@@ -42,20 +52,66 @@ def prepare(spark: SparkSession) -> SparkSession:
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     if spark.conf.get(SHUFFLE_CUTS, None) is None:
-        cuts = CUTS_PER_CORE * spark.sparkContext.defaultParallelism
-        spark.conf.set(SHUFFLE_CUTS, str(max(cuts, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+        _set_cuts(spark, shuffle_cuts(0, 1, _least_cuts(spark)))
     return spark
 
 
+def size_shuffles(rows: DataFrame) -> None:
+    """Cut the shuffles of what ``rows`` is about to run by the size of its inputs.
+
+    The size is that of the plan's scans, which Spark knows without a job; inputs of unknown size
+    (a database) count for nothing. A number that the session sets itself stays.
+    """
+    spark = rows.sparkSession
+    if spark.conf.get(SHUFFLE_CUTS, None) != spark.conf.get(OWN_CUTS, None):
+        return
+    advisory = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(ADVISORY))
+    _set_cuts(spark, shuffle_cuts(input_bytes(rows), advisory, _least_cuts(spark)))
+
+
+def input_bytes(rows: DataFrame) -> int:
+    """The unpacked size of what a plan reads, as Spark estimates it from file sizes."""
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    unknown = int(rows.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes())
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(size for size in sizes if size < unknown)
+
+
+def shuffle_cuts(size: int, advisory: int, least: int) -> int:
+    """Pieces of the advisory size in ``size`` bytes: ``least`` at least, ``MOST_CUTS`` at most."""
+    return min(MOST_CUTS, max(least, -(-size // advisory)))
+
+
+def current_cuts(spark: SparkSession) -> int:
+    """Into how many pieces shuffles are cut at first."""
+    return int(spark.conf.get(SHUFFLE_CUTS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _least_cuts(spark: SparkSession) -> int:
+    return max(CUTS_PER_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _set_cuts(spark: SparkSession, cuts: int) -> None:
+    spark.conf.set(SHUFFLE_CUTS, str(cuts))
+    spark.conf.set(OWN_CUTS, str(cuts))
+
+
+@cache
+def _local_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="quayside-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """Path of a new, not yet existing folder that every executor can reach.
 
     It lies under the session's checkpoint folder. Only a local session, whose tasks all run on
-    this machine, may go without one.
+    this machine, may go without one; its folder is removed when the program ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        shared = tempfile.mkdtemp(prefix="quayside-")
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

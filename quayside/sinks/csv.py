@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions import plain_decimal, plain_double
+from quayside.session import size_shuffles
+
+# Stores without folders: renaming one there copies object by object.
+OBJECT_STORES = ("s3", "s3a", "s3n", "gs", "wasb", "wasbs", "oss", "cos", "swift")
+POINTER = "current"
 
 
 def plain_text(rows: DataFrame) -> DataFrame:
@@ -16,14 +23,19 @@ def plain_text(rows: DataFrame) -> DataFrame:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DecimalType) and field.dataType.scale > 0:
             column = plain_decimal(column)
-        elif isinstance(field.dataType, T.DoubleType):
+        elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             column = plain_double(column)
         columns.append(column.alias(field.name))
     return rows.select(*columns)
 
 
 def write_snapshot(
-    rows: DataFrame, path: str, sep: str = ";", line_end: str = "\n", compact: bool = False
+    rows: DataFrame,
+    path: str,
+    sep: str = ";",
+    line_end: str = "\n",
+    compact: bool = False,
+    pointer: bool | None = None,
 ) -> None:
     """Replace the CSV folder ``path`` by the current rows.
 
@@ -31,12 +43,42 @@ def write_snapshot(
     quoted only where needed, quotes are doubled, NULL is an empty field, spaces stay, line breaks
     in a field become ``line_end``. ``compact`` evens out the part files by size with one more
     shuffle: a small report becomes one file, a large one stays in several.
+
+    The rows are written to a folder of their own and published once that has succeeded, so a
+    failing run leaves the last snapshot as it is and no reader sees a part of one. On file systems
+    the new folder takes the old one's name. On object stores (or with ``pointer``) each run keeps
+    its folder under ``path``, and the small file ``current``, written last, names the one to read;
+    see ``snapshot_folder``. The run before stays for those who still read it.
     """
+    size_shuffles(rows)
+    files = _Files(rows.sparkSession, path)
+    if pointer is None:
+        pointer = files.scheme in OBJECT_STORES
+    run = f"run-{uuid.uuid4().hex}"
+    new = f"{path.rstrip('/')}/{run}" if pointer else files.beside(f"new-{run}")
+    try:
+        _write(rows, new, sep, line_end, compact)
+    except Exception:
+        files.delete(new)
+        raise
+    if pointer:
+        files.point(run)
+    else:
+        files.replace(new)
+
+
+def snapshot_folder(spark: SparkSession, path: str) -> str:
+    """The folder with the current rows of a snapshot: ``path``, or the run that its pointer names."""
+    run = _Files(spark, path).pointed()
+    return f"{path.rstrip('/')}/{run}" if run else path
+
+
+def _write(rows: DataFrame, path: str, sep: str, line_end: str, compact: bool) -> None:
     text = plain_text(rows)
     if compact:
         text = text.hint("rebalance")
     # The comment sign is one that never occurs: a row starting with it would be quoted.
-    text.write.mode("overwrite").option("comment", "\x01").csv(
+    text.write.option("comment", "\x01").csv(
         path,
         header=True,
         sep=sep,
@@ -47,3 +89,51 @@ def write_snapshot(
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
+
+
+class _Files:
+    """The folder of a snapshot in whatever file system Spark reaches it through."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._at = self._path(path)
+        self._system = self._at.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._spark = spark
+        self.scheme = self._system.getScheme()
+
+    def beside(self, label: str) -> str:
+        """A hidden sibling, which a reader of the parent folder passes over."""
+        name = f"_{self._at.getName()}.{label}"
+        parent = self._at.getParent()
+        return self._path(parent, name).toString() if parent else name
+
+    def delete(self, path: str) -> None:
+        self._system.delete(self._path(path), True)
+
+    def replace(self, new: str) -> None:
+        old = self._path(self.beside(f"old-{uuid.uuid4().hex}"))
+        had = self._system.exists(self._at)
+        if had and not self._system.rename(self._at, old):
+            raise OSError(f"{self._at.toString()} cannot be renamed; the new rows are in {new}")
+        if not self._system.rename(self._path(new), self._at):
+            if had:
+                self._system.rename(old, self._at)
+            raise OSError(f"{new} cannot be renamed to {self._at.toString()}")
+        if had:
+            self._system.delete(old, True)
+
+    def point(self, run: str) -> None:
+        last = self.pointed()
+        out = self._system.create(self._path(self._at, POINTER), True)
+        out.write(bytearray(run.encode()))
+        out.close()
+        for found in self._system.listStatus(self._at):
+            name = found.getPath().getName()
+            if name.startswith("run-") and name not in (run, last):
+                self._system.delete(found.getPath(), True)
+
+    def pointed(self) -> str | None:
+        at = self._path(self._at, POINTER)
+        if not self._system.exists(at):
+            return None
+        return self._spark.read.text(at.toString()).first()["value"]

@@ -7,10 +7,11 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.errors import ArithmeticException, PySparkException
 
 from quayside import jobs
 from quayside.plans import headers
-from quayside.sinks import write_snapshot
+from quayside.sinks import snapshot_folder, write_snapshot
 
 SCHEMA = "`Sku ID` string, `Date/hour` string, Value decimal(38,8), Volume double, Day date, Width int"
 ROWS = [
@@ -83,3 +84,51 @@ def test_job_writes_each_report_with_its_separator(spark, table, tmp_path):
     assert parts(f"{tmp_path}/cartons") == [(";".join(headers.CARTONS) + "\n").encode()]
     with pytest.raises(ValueError, match="no such report: nothing"):
         jobs.run(tables, {"nothing": {}}, str(tmp_path))
+
+
+@pytest.mark.parametrize("pointer", [False, True])
+def test_a_failing_run_leaves_the_last_snapshot(spark, tmp_path, pointer):
+    out = f"{tmp_path}/report"
+    write_snapshot(spark.sql("SELECT 7 AS id"), out, pointer=pointer)
+    before = sorted(p.relative_to(tmp_path) for p in tmp_path.rglob("*"))
+    with pytest.raises(ArithmeticException, match="DIVIDE_BY_ZERO"):
+        write_snapshot(spark.range(10, numPartitions=4).selectExpr("1 / (id - 9) AS id"), out, pointer=pointer)
+    assert sorted(p.relative_to(tmp_path) for p in tmp_path.rglob("*")) == before
+    assert parts(snapshot_folder(spark, out)) == [b"id\n7\n"]
+
+
+def test_an_ambiguous_dock_leaves_the_last_load_list(spark, table, tmp_path):
+    zones = [{"location_id": "D", "site_id": "S1", "loc_type": "ShipDock", "work_zone": zone} for zone in ("DOCK-A", "DOCK-B")]
+    here = {"site_id": "S1", "client_id": "C1"}
+    tables = {
+        "move_task": table("move_task", {**here, "key": 1, "task_id": "O", "line_id": 1, "sku_id": "K", "final_loc_id": "D", "qty_to_move": Decimal(1)}),
+        "order_header": table("order_header", {"order_id": "O", "client_id": "C1", "ship_dock": "DOCK1"}),
+        "order_line": table("order_line", {"order_id": "O", "line_id": 1}),
+        "sku": table("sku", {"sku_id": "K", "client_id": "C1"}),
+        "v_sku_properties": table("v_sku_properties", {**here, "sku_id": "K"}),
+        **{name: table(name) for name in ("order_container", "consignment_trailer", "v_load_list_items", "pallet_config")},
+    }
+    arguments = {"loadlist": {"site": "S1", "client": "C1", "loc_type": "ShipDock", "zones": ["DOCK-A"], "excluded_docks": []}}
+    jobs.run({**tables, "location": table("location", zones[0])}, arguments, str(tmp_path))
+    before = parts(f"{tmp_path}/loadlist")
+    assert len(before[-1].splitlines()) == 2
+    with pytest.raises(PySparkException, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
+        jobs.run({**tables, "location": table("location", *zones)}, arguments, str(tmp_path))
+    assert parts(f"{tmp_path}/loadlist") == before
+
+
+def test_runs_behind_a_pointer(spark, tmp_path):
+    out = f"{tmp_path}/report"
+    for number in range(4):
+        write_snapshot(spark.sql(f"SELECT {number} AS id"), out, pointer=True)
+        assert parts(snapshot_folder(spark, out)) == [f"id\n{number}\n".encode()]
+    assert len([p for p in Path(out).iterdir() if p.name.startswith("run-")]) == 2
+    assert snapshot_folder(spark, f"{tmp_path}/other") == f"{tmp_path}/other"
+
+
+def test_numbers_read_back_equal(spark, tmp_path):
+    rows = spark.sql("SELECT id, 1 / pow(7.0D, id) AS small, pow(7.0D, id) AS large, CAST(0.1 AS FLOAT) AS f FROM range(1, 300)")
+    write_snapshot(rows, f"{tmp_path}/numbers")
+    assert all(b"E" not in part.split(b"\n", 1)[1] for part in parts(f"{tmp_path}/numbers"))
+    again = spark.read.schema(rows.schema).csv(f"{tmp_path}/numbers", header=True, sep=";")
+    assert sorted(again.collect()) == sorted(rows.collect())
