@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import check
+from checks.registry import HISTORY, check, history
 from quayside.functions import day, number_text, parse_day, ratio, run_stamp, time_text, year_month, yymm, yyyymm
 from quayside.operators import named, since
 from quayside.plans.headers import PREPACK_OUT
@@ -24,16 +24,16 @@ def project_columns(tables):
 
 @check(
     "project_alias",
-    """SELECT DISTINCT order_id AS "DLX Order ID", ship_dock AS "Shipdock ID", order_type AS "Order Type",
-              strftime(ship_by_date, '%d/%m/%Y') AS "Date/Hour"
-         FROM order_header""",
+    """SELECT order_id AS "DLX Order ID", ship_dock AS "Shipdock ID", order_type AS "Order Type",
+              strftime(ship_by_date, '%Y-%m-%d') AS "Date/Hour"
+         FROM order_header WHERE ship_by_date IS NOT NULL""",
 )
 def project_alias(tables):
     spaced = tables["order_header"].select(
         F.col("order_id").alias("DLX Order ID"),
         F.col("ship_dock").alias("Shipdock ID"),
         F.col("order_type").alias("Order Type"),
-        F.date_format("ship_by_date", "dd/MM/yyyy").alias("Date/Hour"),
+        day("ship_by_date").alias("Date/Hour"),
     )
     # A name with a space or a slash is quoted wherever it is used again.
     return spaced.filter("`Date/Hour` IS NOT NULL").select("`DLX Order ID`", "Shipdock ID", "Order Type", "`Date/Hour`")
@@ -41,20 +41,20 @@ def project_alias(tables):
 
 @check(
     "project_rename_out",
-    """SELECT strftime(dstamp, '%Y-%m-%d') AS "DATES", move.supplier_id AS "SUPPLIER_ID", seller.name AS "SUPPLIER",
+    f"""SELECT strftime(dstamp, '%Y-%m-%d') AS "DATES", move.supplier_id AS "SUPPLIER_ID", seller.name AS "SUPPLIER",
               customer_id AS "CUSTOMER_ID", buyer.name AS "CUSTOMER", move.sku_id AS "SKU_ID",
               reference_id AS "REFERENCE_ID", description AS "DESCRIPTION",
               CAST(standard_cost AS DOUBLE) AS "SCOST", CAST(update_qty AS DOUBLE) AS "QTY",
               v_unit_of_measure AS "UNITES", CAST(v_sales_multiple AS DOUBLE) AS "SALES_QTY",
               container_id AS "CONTAINER_ID"
-         FROM inventory_transaction AS move
+         FROM {HISTORY} AS move
          JOIN address AS seller ON seller.address_id = move.supplier_id
          JOIN address AS buyer ON buyer.address_id = move.customer_id
          JOIN sku ON sku.sku_id = move.sku_id
          JOIN v_sku_properties AS item ON item.sku_id = move.sku_id""",
 )
 def project_rename_out(tables):
-    moves = tables["inventory_transaction"]
+    moves = history(tables)
     sellers = tables["address"].selectExpr("address_id AS supplier_id", "name AS supplier")
     buyers = tables["address"].selectExpr("address_id AS customer_id", "name AS customer")
     rows = (
@@ -132,11 +132,11 @@ def project_product(tables):
 
 @check(
     "project_quotient",
-    """SELECT tag_id, move.sku_id, CAST(update_qty AS DOUBLE) / CAST(sales_multiple AS DOUBLE) AS units
-         FROM inventory_transaction AS move JOIN v_sku_properties AS item ON item.sku_id = move.sku_id""",
+    f"""SELECT tag_id, move.sku_id, CAST(update_qty AS DOUBLE) / CAST(sales_multiple AS DOUBLE) AS units
+         FROM {HISTORY} AS move JOIN v_sku_properties AS item ON item.sku_id = move.sku_id""",
 )
 def project_quotient(tables):
-    rows = tables["inventory_transaction"].join(tables["v_sku_properties"].select("sku_id", "sales_multiple"), "sku_id")
+    rows = history(tables).join(tables["v_sku_properties"].select("sku_id", "sales_multiple"), "sku_id")
     return rows.select("tag_id", "sku_id", ratio("update_qty", "sales_multiple").alias("units"))
 
 

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.sample import SampleTables, with_views
-from quayside.session import prepare
+from quayside.session import prepare, size_shuffles
+
+#: Both history tables as one, as long as they are, the rows of their overlap in both versions.
+HISTORY = "(SELECT * FROM inventory_transaction UNION ALL SELECT * FROM inventory_transaction_archive)"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,7 +23,9 @@ def check(name: str, sql: str):
 
     def register(build: Callable[[SampleTables], DataFrame]):
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return comparable(build(SampleTables(prepare(spark), sf_dir)))
+            rows = comparable(build(SampleTables(prepare(spark), sf_dir)))
+            size_shuffles(rows)
+            return rows
 
         QUERIES[name] = query
         ORACLES[name] = with_views(sql)
@@ -29,6 +34,11 @@ def check(name: str, sql: str):
     return register
 
 
+def history(tables: SampleTables) -> DataFrame:
+    """The rows of ``HISTORY``."""
+    return tables["inventory_transaction"].unionAll(tables["inventory_transaction_archive"])
+
+
 def comparable(rows: DataFrame) -> DataFrame:
     """Decimals as doubles and days as text: the two engines hand those to Python differently.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import check
+from checks.registry import HISTORY, check, history
 from quayside.functions import day, yymm
 from quayside.operators import (
     keep_listed,
@@ -34,19 +34,19 @@ def filter_scope(tables):
     return scope(tables["v_sku_properties"], site_id="S1", client_id="C1").select("sku_id", "gate_id")
 
 
-@check("filter_equals", "SELECT sku_id, tag_id, code, from_loc_id FROM inventory_transaction WHERE code = 'Putaway'")
+@check("filter_equals", f"SELECT sku_id, tag_id, code, from_loc_id FROM {HISTORY} WHERE code = 'Putaway'")
 def filter_equals(tables):
-    return scope(tables["inventory_transaction"], code="Putaway").select(*MOVE)
+    return scope(history(tables), code="Putaway").select(*MOVE)
 
 
 @check(
     "filter_in_list",
-    """SELECT sku_id, tag_id, code, from_loc_id FROM inventory_transaction
+    f"""SELECT sku_id, tag_id, code, from_loc_id FROM {HISTORY}
         WHERE from_loc_id IN ('TR-1', 'TR-2', 'KIT-1')""",
 )
 def filter_in_list(tables):
     places = F.col("from_loc_id").isin("TR-1", "TR-2", "KIT-1")
-    return tables["inventory_transaction"].filter(places).select(*MOVE)
+    return history(tables).filter(places).select(*MOVE)
 
 
 @check(
@@ -67,9 +67,9 @@ def filter_null(tables):
     return tables["move_task"].filter(F.col("container_id").isNull()).select("key", "status")
 
 
-@check("filter_prefix", "SELECT reference_id, work_group FROM inventory_transaction WHERE work_group LIKE '800%'")
+@check("filter_prefix", f"SELECT reference_id, work_group FROM {HISTORY} WHERE work_group LIKE '800%'")
 def filter_prefix(tables):
-    return tables["inventory_transaction"].filter(F.col("work_group").startswith("800")).select("reference_id", "work_group")
+    return history(tables).filter(F.col("work_group").startswith("800")).select("reference_id", "work_group")
 
 
 @check(
@@ -104,12 +104,12 @@ def filter_sequence(tables):
 
 @check(
     "join_left_lookup",
-    """SELECT reference_id, supplier_id, name AS supplier
-         FROM inventory_transaction LEFT JOIN address ON address_id = supplier_id""",
+    f"""SELECT reference_id, supplier_id, name AS supplier
+         FROM {HISTORY} LEFT JOIN address ON address_id = supplier_id""",
 )
 def join_left_lookup(tables):
     names = tables["address"].select("address_id", F.col("name").alias("supplier"))
-    rows = lookup(tables["inventory_transaction"], names, {"supplier_id": "address_id"})
+    rows = lookup(history(tables), names, {"supplier_id": "address_id"}, keep=["reference_id"])
     return rows.select("reference_id", "supplier_id", "supplier")
 
 
@@ -165,7 +165,8 @@ def boxes(tables):
           AND box.v_site_id = move.site_id""",
 )
 def join_left_composite(tables):
-    return lookup(tables["move_task"], boxes(tables), _BOX_KEYS).select("key", "container_id", "v_container_type")
+    rows = lookup(tables["move_task"], boxes(tables), _BOX_KEYS, keep=["key"])
+    return rows.select("key", "container_id", "v_container_type")
 
 
 @check(
@@ -175,7 +176,8 @@ def join_left_composite(tables):
 )
 def join_left_plus_single(tables):
     lists = tables["v_load_list_items"].select(F.col("pallet_id").alias("list_pallet"), "list_id")
-    return lookup(tables["move_task"], lists, {"pallet_id": "list_pallet"}).select("key", "pallet_id", "list_id")
+    rows = lookup(tables["move_task"], lists, {"pallet_id": "list_pallet"}, keep=["key"])
+    return rows.select("key", "pallet_id", "list_id")
 
 
 _TRIP_SQL = """
@@ -197,7 +199,7 @@ def trailers(tables):
 def join_outer_cancelled(tables):
     # The trailer comes from the box, so a move without a box cannot have one: the outer join
     # to the boxes ends up as an inner one, and Spark sees that by itself.
-    moves = lookup(tables["move_task"], boxes(tables), _BOX_KEYS)
+    moves = lookup(tables["move_task"], boxes(tables), _BOX_KEYS, keep=["key", "consignment"])
     trips = moves.join(trailers(tables), ["site_id", "consignment", "v_trailer_id"])
     return trips.select("key", "v_trailer_id", "dock_door_id")
 
@@ -214,15 +216,15 @@ def join_bridge(tables):
 
 @check(
     "join_same_dim_twice",
-    """SELECT reference_id, seller.name AS supplier, buyer.name AS customer
-         FROM inventory_transaction
+    f"""SELECT reference_id, seller.name AS supplier, buyer.name AS customer
+         FROM {HISTORY}
          JOIN address AS seller ON seller.address_id = supplier_id
          JOIN address AS buyer ON buyer.address_id = customer_id""",
 )
 def join_same_dim_twice(tables):
     sellers = tables["address"].selectExpr("address_id AS supplier_id", "name AS supplier")
     buyers = tables["address"].selectExpr("address_id AS customer_id", "name AS customer")
-    rows = tables["inventory_transaction"].join(sellers, "supplier_id").join(buyers, "customer_id")
+    rows = history(tables).join(sellers, "supplier_id").join(buyers, "customer_id")
     return rows.select("reference_id", "supplier", "customer")
 
 
@@ -233,7 +235,7 @@ def join_same_dim_twice(tables):
 )
 def join_fanout(tables):
     places = tables["location"].selectExpr("location_id AS place", "site_id AS place_site", "work_zone")
-    rows = lookup(tables["inventory"], places, {"location_id": "place"})
+    rows = lookup(tables["inventory"], places, {"location_id": "place"}, keep=["sku_id"])
     return rows.select("sku_id", "location_id", "place_site", "work_zone")
 
 
@@ -351,24 +353,24 @@ def agg_group_expr(tables):
 
 @check(
     "agg_group_tuple",
-    """SELECT code, from_loc_id AS gate, CAST(sum(update_qty) AS DOUBLE) AS quantity
-         FROM inventory_transaction GROUP BY GROUPING SETS ((code, from_loc_id))""",
+    f"""SELECT code, from_loc_id AS gate, CAST(sum(update_qty) AS DOUBLE) AS quantity
+         FROM {HISTORY} GROUP BY GROUPING SETS ((code, from_loc_id))""",
 )
 def agg_group_tuple(tables):
     # Keys in one pair of parentheses group like the plain list of them.
-    moves = tables["inventory_transaction"].groupBy("code", F.col("from_loc_id").alias("gate"))
+    moves = history(tables).groupBy("code", F.col("from_loc_id").alias("gate"))
     return moves.agg(F.sum("update_qty").alias("quantity"))
 
 
 @check(
     "agg_join_then_sum",
-    """SELECT move.sku_id, gate_id, CAST(sum(update_qty) AS DOUBLE) AS quantity
-         FROM inventory_transaction AS move JOIN v_sku_properties AS item ON item.sku_id = move.sku_id
+    f"""SELECT move.sku_id, gate_id, CAST(sum(update_qty) AS DOUBLE) AS quantity
+         FROM {HISTORY} AS move JOIN v_sku_properties AS item ON item.sku_id = move.sku_id
         GROUP BY move.sku_id, gate_id""",
 )
 def agg_join_then_sum(tables):
     # A quantity counts once per matching item row: the sum per item, times the rows per gate.
-    sums = tables["inventory_transaction"].groupBy("sku_id").agg(F.sum("update_qty").alias("total"))
+    sums = history(tables).groupBy("sku_id").agg(F.sum("update_qty").alias("total"))
     gates = tables["v_sku_properties"].groupBy("sku_id", "gate_id").agg(F.count("*").alias("item_rows"))
     quantity = F.col("total") * F.col("item_rows")
     return sums.join(gates, "sku_id").select("sku_id", "gate_id", quantity.alias("quantity"))

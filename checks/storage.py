@@ -6,19 +6,22 @@ Reading over JDBC has no query here: it needs a database that all executors can
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks.registry import check
 from checks.reports import CARTONS_SQL, STOCK_WEIGHT_SQL, offload_sql, report, with_archive
 from quayside import jobs
+from quayside.functions import ratio
 from quayside.operators import since, union_distinct
 from quayside.sample import ARGUMENTS
 from quayside.sample.arguments import SINCE
 from quayside.session import scratch
 from quayside.sinks import write_snapshot
-from quayside.sources import ParquetTables, write_by_month
+from quayside.sources import SCHEMAS, ParquetTables, write_by_month
 
 
 def read_back(spark: SparkSession, path: str, sep: str, like: DataFrame) -> DataFrame:
@@ -26,14 +29,39 @@ def read_back(spark: SparkSession, path: str, sep: str, like: DataFrame) -> Data
     return spark.read.schema(like.schema).csv(path, header=True, sep=sep, escape='"', nullValue="")
 
 
-@check(
-    "scan_table",
-    "SELECT sku_id, site_id, location_id, CAST(qty_on_hand AS DOUBLE) AS qty_on_hand FROM inventory",
+def _total(name: str, kind: T.DataType, day_number: str) -> str:
+    """A figure that changes with any value of a column, in SQL that both engines read."""
+    if isinstance(kind, T.StringType):
+        return f"sum(length({name}))"
+    return f"sum({name})" if isinstance(kind, T.NumericType) else f"sum({day_number.format(name)})"
+
+
+SCAN_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{table}' AS name, '{field.name}' AS field, count({field.name}) AS filled, "
+    f"CAST({_total(field.name, field.dataType, 'year({0}) * 10000 + month({0}) * 100 + day({0}) + hour({0})')} AS DOUBLE) AS total "
+    f"FROM {table}"
+    for table, schema in SCHEMAS.items()
+    for field in schema
 )
+
+
+@check("scan_table", SCAN_SQL)
 def scan_table(tables):
     root = scratch(tables.spark, "tables")
-    tables["inventory"].write.parquet(f"{root}/inventory")
-    return ParquetTables(tables.spark, root)["inventory"]
+    stored = ParquetTables(tables.spark, root)
+    found = []
+    for name, schema in SCHEMAS.items():
+        tables[name].write.parquet(f"{root}/{name}")
+        totals = []
+        for field in schema:
+            c = F.col(field.name)
+            if isinstance(field.dataType, T.StringType):
+                c = F.length(c)
+            elif not isinstance(field.dataType, T.NumericType):
+                c = F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c) + F.hour(c)
+            totals.append(F.struct(F.lit(field.name).alias("field"), F.count(field.name).alias("filled"), F.sum(c).cast("double").alias("total")))
+        found.append(stored[name].agg(F.array(*totals).alias("fields")).select(F.lit(name).alias("name"), F.inline("fields")))
+    return reduce(DataFrame.unionAll, found)
 
 
 @check(
@@ -72,6 +100,20 @@ def sink_csv_comma(tables):
     return read_back(tables.spark, path, ",", rows)
 
 
+@check(
+    "sink_small_quotients",
+    """SELECT order_id, line_id, 1 / CAST(v_export_line_value AS DOUBLE) AS share, CAST(qty_ordered AS DOUBLE) * 1e15 AS grains
+         FROM order_line""",
+)
+def sink_small_quotients(tables):
+    """Quotients under a thousandth and products beyond exponents read back as the same numbers."""
+    grains = F.col("qty_ordered").cast("double") * F.lit(1e15)
+    rows = tables["order_line"].select("order_id", "line_id", ratio(F.lit(1), "v_export_line_value").alias("share"), grains.alias("grains"))
+    path = scratch(tables.spark, "quotients")
+    write_snapshot(rows, path)
+    return read_back(tables.spark, path, ";", rows)
+
+
 @check("sink_snapshot", CARTONS_SQL)
 def sink_snapshot(tables):
     path, rows = scratch(tables.spark, "cartons"), report("cartons", tables)

@@ -15,7 +15,9 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NULL_SLOTS = 512
+from quayside.session import current_cuts
+
+SLOTS_PER_CUT = 64  # so many stand-in keys per piece of a shuffle spread evenly
 
 
 def keep_listed(rows: DataFrame, column: str, listed: DataFrame) -> DataFrame:
@@ -28,17 +30,25 @@ def keep_listed(rows: DataFrame, column: str, listed: DataFrame) -> DataFrame:
     return rows.join(once_per_task.select(column), column, "left_semi")
 
 
-def lookup(rows: DataFrame, dimension: DataFrame, on: dict[str, str]) -> DataFrame:
+def lookup(
+    rows: DataFrame, dimension: DataFrame, on: dict[str, str], keep: Sequence[str] | None = None
+) -> DataFrame:
     """Left outer join on ``{column of rows: column of dimension}``, the first column being text.
 
     A row without a match is kept, a repeated match repeats it. The dimension's key columns stay,
     NULL where nothing matched. A row with a NULL key matches nothing, but plainly joined all such
-    rows would meet in one task: each gets one of ``NULL_SLOTS`` stand-in keys by the hash of its
-    values, and the last condition keeps those from matching.
+    rows would meet in one task: each gets one of many stand-in keys by the hash of its values, and
+    the last condition keeps those from matching. There are as many as the shuffle has pieces, and more.
+
+    ``keep`` names the columns of ``rows`` that are wanted, besides those of the key. The hash names
+    every column, so all of them are read: give ``keep``, or select before.
     """
+    if keep is not None:
+        rows = rows.select(*dict.fromkeys([*on, *keep]))
+    slots = SLOTS_PER_CUT * current_cuts(rows.sparkSession)
     first = next(iter(on))
     complete = reduce(and_, (F.col(key).isNotNull() for key in on))
-    slot = F.expr(f"CAST(pmod(xxhash64(*), {NULL_SLOTS}) AS STRING)")
+    slot = F.expr(f"CAST(pmod(xxhash64(*), {slots}) AS STRING)")
     spread = F.when(complete, F.col(first)).otherwise(F.concat(F.lit("\0"), slot))
     marked = rows.withColumns({"_key": spread, "_complete": complete})
     match = [F.col("_key" if key == first else key) == F.col(other) for key, other in on.items()]

@@ -53,11 +53,13 @@ VIEWS: dict[str, str] = {
   UNION ALL
   SELECT CAST(p_partkey AS STRING), 'S1', 'C1', 2, 'M' || (p_size * 2) FROM part""",
     "address": """
-  SELECT 'S' || s_suppkey AS address_id, 'C1' AS client_id, s_name AS name FROM supplier WHERE s_nationkey <> 0
+  SELECT (CASE WHEN s_nationkey = 0 THEN 'XS' ELSE 'S' END) || s_suppkey AS address_id, 'C1' AS client_id,
+         s_name AS name
+    FROM supplier
   UNION ALL
   SELECT 'S' || s_suppkey, 'C2', s_name || ' bis' FROM supplier WHERE s_nationkey = 1
   UNION ALL
-  SELECT 'C' || c_custkey, 'C1', c_name FROM customer WHERE c_nationkey <> 0""",
+  SELECT (CASE WHEN c_nationkey = 0 THEN 'XC' ELSE 'C' END) || c_custkey, 'C1', c_name FROM customer""",
     "sku": """
   SELECT CAST(p_partkey AS STRING) AS sku_id, CASE WHEN p_size = 50 THEN 'C2' ELSE 'C1' END AS client_id,
          p_name AS description, CAST(CAST(p_size AS DOUBLE) / 10 AS DECIMAL(18,4)) AS each_weight,
