@@ -1,8 +1,8 @@
 """Open moves to the shipping docks, with and without container.
 
-Each different row counts once, so copies are dropped before they multiply: those in the small tables
-before they are joined, those among the moves before the order lines are joined. The large order
-tables are left as they are, as grouping them first would shuffle each once more.
+Each different row counts once. Copies in the small tables, which would multiply every move, are dropped
+before those are joined; the moves and the large order tables are left as they are, as grouping them
+first would shuffle each once more, and the last step drops what is left.
 """
 
 from __future__ import annotations
@@ -183,12 +183,7 @@ def _with_items(moves: DataFrame, tables: Mapping[str, DataFrame], site: str, cl
     )
     items = scope(tables["sku"], client_id=client).select("sku_id", "each_weight", "each_volume", "hazmat_id")
     properties = scope(tables["v_sku_properties"], site_id=site, client_id=client).select("sku_id", "sales_multiple")
-    return (
-        moves.distinct()
-        .join(lines, ["order_id", "line_id"])
-        .join(items.distinct(), "sku_id")
-        .join(properties.distinct(), "sku_id")
-    )
+    return moves.join(lines, ["order_id", "line_id"]).join(items.distinct(), "sku_id").join(properties.distinct(), "sku_id")
 
 
 def _finished(rows: DataFrame, as_of: datetime | None) -> DataFrame:

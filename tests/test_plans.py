@@ -7,6 +7,7 @@ from pathlib import Path
 
 import pytest
 
+from checks import relations
 from quayside import plans
 from quayside.plans import REPORTS
 from quayside.sample import ARGUMENTS, SampleTables
@@ -70,14 +71,14 @@ def test_no_python_no_cross_join_no_single_task(stored, name):
 
 @pytest.mark.parametrize("name", REPORTS)
 def test_the_main_table_is_shuffled_for_groupings_only(stored, name):
-    """With join sides small enough to broadcast, as here. The load list drops copies twice."""
+    """With join sides small enough to broadcast, as here."""
     node = build(stored, name)._jdf.queryExecution().executedPlan().initialPlan()
     shuffles = 0
     while node.children().nonEmpty():
         shuffles += node.nodeName() == "Exchange"
         node = node.children().head()
     assert node.nodeName().startswith("Scan parquet")
-    assert shuffles == {"stock_weight": 0, "loadlist": 2}.get(name, 1)
+    assert shuffles == {"stock_weight": 0}.get(name, 1)
 
 
 def scans(rows) -> dict[str, str]:
@@ -107,6 +108,27 @@ def test_scans_take_over_filters_and_columns(stored):
     assert read_columns(found["v_sku_properties"]) == {"sku_id", "site_id", "client_id", "standard_cost"}
 
 
+@pytest.mark.parametrize(
+    ("name", "columns"),
+    [
+        ("join_left_lookup", {"inventory_transaction": {"reference_id", "supplier_id"}, "address": {"address_id", "name"}}),
+        (
+            "join_left_composite",
+            {
+                "move_task": {"key", "task_id", "client_id", "container_id", "pallet_id", "site_id"},
+                "order_container": {"order_id", "client_id", "container_id", "pallet_id", "v_site_id", "v_container_type"},
+            },
+        ),
+        ("join_left_plus_single", {"move_task": {"key", "pallet_id"}, "v_load_list_items": {"pallet_id", "list_id"}}),
+        ("join_outer_cancelled", {"move_task": {"key", "consignment", "task_id", "client_id", "container_id", "pallet_id", "site_id"}}),
+        ("join_fanout", {"inventory": {"sku_id", "location_id"}, "location": {"location_id", "site_id", "work_zone"}}),
+    ],
+)
+def test_a_lookup_reads_keys_and_wanted_columns_only(stored, name, columns):
+    found = scans(getattr(relations, name)(stored))
+    assert {table: read_columns(found[table]) for table in columns} == columns
+
+
 def test_the_load_list_reads_each_table_once(stored):
     plan = physical(build(stored, "loadlist"))
     tables = re.findall(r"Location: .*?\[.*?/(\w+)\]", plan)
