@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.shared import free, let, stored
+from quayside.llm.shared import free, let, small_enough, stored
 
 MARK = "\x01"
 ENDS = ("\n", ". ", "! ", "? ")
@@ -106,6 +106,7 @@ def repeated_runs(docs: DataFrame, window: int, min_words: int) -> DataFrame:
     places = fingerprints(docs, window, min_words)
     where = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "pos", "before", "after")
     first = places.groupBy("gram").agg(F.min(where).alias("first"), F.count("*").alias("n")).where("n > 1").select("gram", "first")
+    first = stored(first, "first")  # so that the join below has two plain sides, and Spark can split a hot gram
 
     def same(side: str) -> Column:
         """How many of the nearest units on one side agree."""
@@ -145,7 +146,7 @@ def dedup_lines(docs: DataFrame, window: int = 2, min_words: int = 25, id: str =
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).withColumn("version", F.hash("text"))
     runs = repeated_runs(rows.where("text IS NOT NULL"), window, min_words)
     _id, _version, _runs = free(docs, "id"), free(docs, "version"), free(docs, "runs")
-    runs = runs.toDF(_id, _version, _runs)
+    runs = small_enough(stored(runs.toDF(_id, _version, _runs), "runs"), _runs)
     marked = docs.withColumns({_version: F.hash(text)})
     found = marked.join(runs, marked[id].eqNullSafe(runs[_id]) & (marked[_version] == runs[_version]), "left")
     found = found.select(*[marked[f"`{c}`"] for c in docs.columns], runs[_runs])
