@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.shared import free, stored
+from quayside.llm.shared import free, small_enough, stored
 
 
 def tokens(text: str) -> Column:
@@ -100,8 +100,10 @@ def mix(
 
 def with_topic(docs: DataFrame, embeddings: DataFrame) -> DataFrame:
     """``docs`` with ``topic``: the label of the document's vector, NULL without one; the least of several."""
-    labels = embeddings.where("vec_id IS NOT NULL").groupBy(F.col("vec_id").alias("_vec")).agg(F.min("label").alias("_label"))
-    return docs.join(labels, docs["doc_id"] == labels["_vec"], "left").withColumn("topic", F.col("_label")).drop("_vec", "_label")
+    _vec, _label = free(docs, "vec"), free(docs, "label")
+    labels = embeddings.where("vec_id IS NOT NULL").groupBy(F.col("vec_id").alias(_vec)).agg(F.min("label").alias(_label))
+    labels = small_enough(stored(labels, "labels"))
+    return docs.join(labels, docs["doc_id"] == labels[_vec], "left").withColumn("topic", F.col(_label)).drop(_vec, _label)
 
 
 def sample_shares(rows: DataFrame, dimensions: Sequence[str]) -> DataFrame:
