@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.components import components
-from quayside.llm.shared import ASCII_LOWER, free, row_hash, stored
+from quayside.llm.shared import ASCII_LOWER, free, row_hash, small_enough, stored
 
 SEED = 42
 PIECE = 16384  # shingles whose bits are counted at a time
@@ -146,15 +146,18 @@ def keep_one(docs: DataFrame, size: int = 3, bits: int = 3, id: str = "doc_id",
     rooted = prints.join(groups(prints, bits), "print", "left").select(F.coalesce("root", "print").alias("root"), "doc_id", "row")
     rows = rooted.groupBy("root", "doc_id", "row").agg(F.count("*").alias("n"))
     best = rows.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row", "n")).alias("best"))
+    best = stored(best.select("root", "best.doc_id", "best.row", "best.n"), "best")
     _id, _row = free(docs, "id"), free(docs, "row")
-    winners = stored(best.select(F.col("best.doc_id").alias(_id), F.col("best.row").alias(_row), "best.n"), "winners")
+    first = best.select("root", F.struct("doc_id", "row").alias("first"))
+    others = rows.join(first, "root").where(~F.struct("doc_id", "row").eqNullSafe(F.col("first"))).select(F.col("doc_id").alias(_id), F.col("row").alias(_row))
     marked = docs.withColumn(_row, row_hash(docs))
-    on = marked[_row].eqNullSafe(winners[_row]) & marked[id].eqNullSafe(winners[_id])
 
-    def among(chosen: DataFrame) -> DataFrame:
-        return marked.join(chosen, on, "left_semi").drop(_row)
+    def among(some: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
+        chosen = small_enough(chosen)
+        return some.join(chosen, some[_row].eqNullSafe(chosen[_row]) & some[id].eqNullSafe(chosen[_id]), how)
 
-    kept = among(winners.where("n = 1"))
-    if winners.where("n > 1").limit(1).count():
-        kept = kept.union(among(winners.where("n > 1")).dropDuplicates())
-    return kept
+    kept = among(marked, stored(others, "others"), "left_anti")
+    repeated = best.where("n > 1").select(F.col("doc_id").alias(_id), F.col("row").alias(_row))
+    if repeated.limit(1).count():
+        kept = among(kept, repeated, "left_anti").union(among(kept, repeated, "left_semi").dropDuplicates())
+    return kept.drop(_row)
