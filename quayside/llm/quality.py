@@ -108,7 +108,7 @@ def associated(rows: np.ndarray, features: np.ndarray, seen: np.ndarray, grades:
 
 def train(
     docs: DataFrame, ratings: DataFrame, id: str = "doc_id", text: str = "text", grade: str = "grade",
-    train_rows: int = 8192, least_z: float = 4.5, ridge: float = 1e-4, rounds: int = 300,
+    train_rows: int = 16_384, least_z: float = 4.5, ridge: float = 2e-5, rounds: int = 600,
 ) -> Model:
     """Fit on ``train_rows`` rated documents, those whose id has the smallest hash.
 
@@ -130,16 +130,19 @@ def train(
 
     sample = docs.select(F.col(id).alias("_id"), F.col(text).cast("binary").alias("_text"))
     sample = sample.join(F.broadcast(known), "_id").select("_id", "_grade", hashed("_text").alias("_buckets"))
-    table = sample.toArrow()
-    order = np.lexsort((table["_grade"].to_numpy(), table["_id"].to_numpy()))
-    hashes = table["_buckets"].to_pylist()
-    lists = [np.array(hashes[i], dtype=np.int32) for i in order]
-    found = table["_grade"].to_numpy()[order]
+    table = sample.toArrow().combine_chunks()
+    found = table["_grade"].to_numpy()
     grades, numbers = np.unique(found, return_inverse=True)
     if len(grades) < 2:
         return Model(tuple(map(float, grades)), (), b"", b"")
-    rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    where, features, seen = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    place = np.empty(len(found), dtype=np.int64)
+    place[np.lexsort((found, table["_id"].to_numpy()))] = np.arange(len(found))  # the same sums in any order of arrival
+    lists = table["_buckets"].combine_chunks()
+    rows = np.repeat(place, np.diff(lists.offsets.to_numpy()))
+    order = np.argsort(rows, kind="stable")
+    rows, hashes = rows[order], lists.values.to_numpy()[order]
+    numbers = numbers[np.argsort(place)]
+    where, features, seen = np.unique(hashes, return_inverse=True, return_counts=True)
     telling = associated(rows, features, seen, numbers) >= least_z
     used = telling[features]
     rows, features = rows[used], (np.cumsum(telling) - 1)[features[used]]
