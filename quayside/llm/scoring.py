@@ -22,8 +22,9 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 def numbers(text: bytes | None, known: dict[bytes, int]) -> np.ndarray:
     """The words of a text, A to Z lower-cased, as hashes; ``known`` remembers those of a task."""
     words = bytes(text or b"").translate(ASCII_LOWER).split()
-    for word in set(words) - known.keys():
-        known[word] = max(xxhash.xxh64_intdigest(word), 2)
+    for word in set(words):
+        if word not in known:
+            known[word] = max(xxhash.xxh64_intdigest(word), 1)
     return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
