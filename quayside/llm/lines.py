@@ -7,6 +7,9 @@ DataFrame operations only.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +19,21 @@ MARK = "\x01"
 ENDS = ("\n", ". ", "! ", "? ")
 
 
-def units(text: Column) -> Column:
-    """The units of a text, whose concatenation, with ``MARK`` between, gives ``marked`` text back."""
+def marked(text: Column) -> Column:
+    """The text with ``MARK`` after each unit but the last."""
     for end in ENDS:
         text = F.replace(text, F.lit(end), F.lit(end + MARK))
-    return F.split(text, MARK)
+    return text
+
+
+def units(text: Column) -> Column:
+    """The units of a text; those of ``MARK`` itself end one as well."""
+    return F.split(marked(text), MARK)
+
+
+def count_units(text: Column) -> Column:
+    """The number of ``units``, without making them."""
+    return F.octet_length(marked(text)) - F.octet_length(F.replace(text, F.lit(MARK), F.lit(""))) + 1
 
 
 def joined(parts: Column) -> Column:
@@ -32,7 +45,7 @@ def joined(parts: Column) -> Column:
 
 
 def bare(unit: Column) -> Column:
-    return F.trim(F.replace(unit, F.lit("\n"), F.lit(" ")))
+    return F.btrim(unit, F.lit(" \n"))
 
 
 def words(text: Column) -> Column:
@@ -45,7 +58,8 @@ def hashes(parts: Column, long_words: int) -> Column:
     """Per unit: ``h``, a hash of it without outer white space, and ``long``, whether it has ``long_words`` words."""
 
     def one(unit: Column) -> Column:
-        long = (F.length(unit) >= 2 * long_words - 1) & (F.size(F.split(unit, " ")) >= long_words)
+        spaces = F.octet_length(unit) - F.octet_length(F.replace(unit, F.lit(" "), F.lit("")))
+        long = (F.octet_length(unit) >= 2 * long_words - 1) & (spaces + 1 >= long_words)
         return F.struct(F.xxhash64(bare(unit)).alias("h"), long.alias("long"))
 
     return F.transform(parts, one)
@@ -65,16 +79,19 @@ def fingerprints(docs: DataFrame, window: int, min_words: int) -> DataFrame:
     def pair(parts: Column, i: Column) -> Column:
         return F.xxhash64(parts[i]["h"], parts[i + 1]["h"])
 
-    def least(grams: Column, i: Column) -> Column:
+    def minima(grams: Column) -> Column:
+        """The least gram of each window; of all grams if there are fewer."""
+        last = F.greatest(F.lit(0), F.size(grams) - window)
+        return F.transform(F.sequence(F.lit(0), last), lambda s: F.least(F.lit(None).cast("long"), *[F.get(grams, s + k) for k in range(window)]))
+
+    def least(grams: Column, minima: Column, i: Column) -> Column:
         """Whether gram ``i`` is the least of a window that holds it."""
-        last = F.greatest(F.lit(0), F.least(i, F.size(grams) - window))
-        starts = F.sequence(F.greatest(F.lit(0), F.least(i - (window - 1), last)), last)
-        return F.exists(starts, lambda s: F.array_min(F.slice(grams, s + 1, window)) == grams[i])
+        return reduce(or_, [F.coalesce(F.get(minima, i - k) == grams[i], F.lit(False)) for k in range(window)])
 
     def context(parts: Column, at: Column, step: int) -> Column:
-        places = F.array(*[at + step * k for k in range(window - 1)]) if window > 1 else F.array().cast("array<int>")
-        known = F.filter(places, lambda p: (p >= 0) & (p < F.size(parts)))
-        return F.transform(known, lambda p: F.hash(parts[p]["h"]))
+        """Parts of the hashes of the next units, as far as there are any."""
+        near = [F.shiftright(F.get(parts, at + step * k)["h"], 32).cast("int") for k in range(window - 1)]
+        return F.array_compact(F.array(*near)) if near else F.array().cast("array<int>")
 
     def place(parts: Column, gram: Column, i: Column, size: int) -> Column:
         return F.struct(
@@ -85,10 +102,10 @@ def fingerprints(docs: DataFrame, window: int, min_words: int) -> DataFrame:
     def selected(parts: Column) -> Column:
         every = F.when(F.size(parts) > 0, F.sequence(F.lit(0), F.size(parts) - 1)).otherwise(F.array().cast("array<int>"))
         starts = F.when(F.size(parts) > 1, F.sequence(F.lit(0), F.size(parts) - 2)).otherwise(F.array().cast("array<int>"))
-        pairs = let(
-            F.transform(starts, lambda i: pair(parts, i)),
-            lambda grams: F.transform(F.filter(starts, lambda i: least(grams, i)), lambda i: place(parts, grams[i], i, 2)),
-        )
+        def places(grams: Column, minima: Column) -> Column:
+            return F.transform(F.filter(starts, lambda i: least(grams, minima, i)), lambda i: place(parts, grams[i], i, 2))
+
+        pairs = let(F.transform(starts, lambda i: pair(parts, i)), lambda grams: let(minima(grams), lambda low: places(grams, low)))
         alone = F.transform(F.filter(every, lambda i: parts[i]["long"]), lambda i: place(parts, F.xxhash64(F.lit(1), parts[i]["h"]), i, 1))
         return F.concat(pairs, alone)
 
@@ -147,9 +164,9 @@ def dedup_lines(docs: DataFrame, window: int = 2, min_words: int = 25, id: str =
     runs = repeated_runs(rows.where("text IS NOT NULL"), window, min_words)
     _id, _version, _runs = free(docs, "id"), free(docs, "version"), free(docs, "runs")
     runs = small_enough(stored(runs.toDF(_id, _version, _runs), "runs"), _runs)
-    marked = docs.withColumns({_version: F.hash(text)})
-    found = marked.join(runs, marked[id].eqNullSafe(runs[_id]) & (marked[_version] == runs[_version]), "left")
-    found = found.select(*[marked[f"`{c}`"] for c in docs.columns], runs[_runs])
+    keyed = docs.withColumns({_version: F.hash(text)})
+    found = keyed.join(runs, keyed[id].eqNullSafe(runs[_id]) & (keyed[_version] == runs[_version]), "left")
+    found = found.select(*[keyed[f"`{c}`"] for c in docs.columns], runs[_runs])
 
     def edited(parts: Column, runs: Column) -> Column:
         def of(run: Column) -> Column:
@@ -169,7 +186,7 @@ def dedup_lines(docs: DataFrame, window: int = 2, min_words: int = 25, id: str =
     _edit = free(docs, "edit")
     untouched = F.struct(F.col(text).alias("text"), F.lit(0).alias("n_deleted"), F.array().cast("array<string>").alias("deleted"))
     edit = F.when(F.col(_runs).isNull(), untouched).otherwise(let(units(F.col(text)), lambda parts: edited(parts, F.col(_runs))))
-    units_of = F.when(F.col(text).isNull() | (F.col(text) == ""), 0).otherwise(F.size(units(F.col(text))))
+    units_of = F.when(F.col(text).isNull() | (F.col(text) == ""), 0).otherwise(count_units(F.col(text)))
     out = found.withColumns({_edit: edit, "n_units": units_of})
     out = out.withColumns({"n_deleted": F.col(_edit)["n_deleted"], "deleted": F.col(_edit)["deleted"], text: F.when(F.col(_edit)["n_deleted"] > 0, F.col(_edit)["text"]).otherwise(F.col(text))})
     return out.drop(_runs, _edit)
