@@ -69,7 +69,7 @@ def aligned(docs: DataFrame, seeds: DataFrame) -> DataFrame:
     """
     terms = stored(seeds.select("term").distinct(), "seed-terms")
     postings = corpus_terms(docs).join(small_enough(terms), "term")
-    spots = seeds.select("term", "item", "at").distinct()
+    spots = small_enough(stored(seeds.select("term", "item", "at").distinct(), "spots"))
     hits = postings.join(spots, "term").select(*KEY, "item", (F.col("pos") - F.col("at")).alias("shift"), "at")
     return stored(hits.groupBy(*KEY, "item", "shift").agg(F.collect_set("at").alias("ats")), "aligned")
 
@@ -79,6 +79,7 @@ def phrases(docs: DataFrame, items: DataFrame, seeds: DataFrame, lists: DataFram
     windows = seeds.groupBy("item", "start", "size").agg(F.collect_set("at").alias("need"))
     # Whole windows that all their lists agree on, per alignment.
     per_item = windows.groupBy("item").agg(F.collect_list(F.struct("start", "size", "need")).alias("windows"))
+    per_item = small_enough(stored(per_item, "windows"), "windows")  # a plain side, so that Spark can split a hot item
     whole = F.transform(F.filter("windows", lambda w: F.size(F.array_except(w["need"], F.col("ats"))) == 0), lambda w: w.dropFields("need"))
     found = lists.join(per_item, "item").select(*KEY, "item", "shift", whole.alias("windows")).where(F.size("windows") > 0)
     found = stored(found, "candidates")

@@ -65,12 +65,12 @@ def hashes(parts: Column, long_words: int) -> Column:
     return F.transform(parts, one)
 
 
-def fingerprints(docs: DataFrame, window: int, min_words: int) -> DataFrame:
+def fingerprints(docs: DataFrame, window: int, long_words: int) -> DataFrame:
     """Selected places: ``gram``, ``doc_id``, ``version``, ``pos`` (first unit), ``size`` (units), ``before``, ``after``.
 
     A gram is two units in a row. Of each ``window`` grams in a row the one with the least hash is
     selected (all of equal ones), which depends on those grams alone: two copies of a run of
-    ``window`` + 1 units have a selected gram in common. A unit of ``min_words`` words or more is
+    ``window`` + 1 units have a selected gram in common. A unit of ``long_words`` words or more is
     selected besides, as a gram of its own. ``before`` and ``after`` are hashes of the up to
     ``window`` - 1 units on either side, nearest first: further than that a run does not reach
     from its last selected gram.
@@ -109,18 +109,18 @@ def fingerprints(docs: DataFrame, window: int, min_words: int) -> DataFrame:
         alone = F.transform(F.filter(every, lambda i: parts[i]["long"]), lambda i: place(parts, F.xxhash64(F.lit(1), parts[i]["h"]), i, 1))
         return F.concat(pairs, alone)
 
-    places = F.explode(let(hashes(units(F.col("text")), min_words), selected))
+    places = F.explode(let(hashes(units(F.col("text")), long_words), selected))
     return docs.select("doc_id", "version", places.alias("p")).select("doc_id", "version", "p.*")
 
 
-def repeated_runs(docs: DataFrame, window: int, min_words: int) -> DataFrame:
+def repeated_runs(docs: DataFrame, window: int, long_words: int) -> DataFrame:
     """``doc_id``, ``version`` and ``runs`` (structs of first and last unit) of what occurs earlier, extended.
 
     Each selected place but the first of its gram is compared with the first: the common run goes on
     while the units around them agree. Runs of a document that touch are one. Only the first place
     takes part as a partner, so a hot line gives a row per place, not per pair.
     """
-    places = fingerprints(docs, window, min_words)
+    places = fingerprints(docs, window, long_words)
     where = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "pos", "before", "after")
     first = places.groupBy("gram").agg(F.min(where).alias("first"), F.count("*").alias("n")).where("n > 1").select("gram", "first")
     first = stored(first, "first")  # so that the join below has two plain sides, and Spark can split a hot gram
@@ -146,12 +146,12 @@ def repeated_runs(docs: DataFrame, window: int, min_words: int) -> DataFrame:
     return by_doc.select("doc_id", "version", let(F.col("at"), runs).alias("runs"))
 
 
-def dedup_lines(docs: DataFrame, window: int = 2, min_words: int = 25, id: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, window: int = 2, min_words: int = 25, long_words: int = 25, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with later repeated runs deleted from ``text``, and ``n_units``, ``n_deleted`` (units), ``deleted`` (texts).
 
     A run is a sequence of units; "later" goes by id, then by place in the text, so the first copy
     stays, also within one document. Runs of fewer than ``min_words`` words stay as they are: a common
-    header is no repeated passage. A copy of ``window`` + 1 units or more, or of a unit of ``min_words``
+    header is no repeated passage. A copy of ``window`` + 1 units or more, or with a unit of ``long_words``
     words, is sure to be found around its earliest copy; where a part of a run has an earlier copy in
     other surroundings, that part is compared there. The edges of a run that are no whole unit stay.
 
@@ -161,7 +161,7 @@ def dedup_lines(docs: DataFrame, window: int = 2, min_words: int = 25, id: str =
     hash of the text. An empty table gives no rows. Other columns stay; those named as the result's are replaced.
     """
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).withColumn("version", F.hash("text"))
-    runs = repeated_runs(rows.where("text IS NOT NULL"), window, min_words)
+    runs = repeated_runs(rows.where("text IS NOT NULL"), window, long_words)
     _id, _version, _runs = free(docs, "id"), free(docs, "version"), free(docs, "runs")
     runs = small_enough(stored(runs.toDF(_id, _version, _runs), "runs"), _runs)
     keyed = docs.withColumns({_version: F.hash(text)})

@@ -1,12 +1,8 @@
 from __future__ import annotations
 
-import sys
-from pathlib import Path
-
 import pytest
 from pyspark.sql import types as T
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 TEXTS = T.StructType(
     [

@@ -3,11 +3,17 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest_llm import prose
+import xxhash
 
 from quayside.llm import lines
 
 
+def prose(number: int, words: int = 60) -> str:
+    """Different words for each number, in sentences of eight."""
+    listed = [f"w{number}x{i}" for i in range(words)]
+    return " ".join(word + ("." if i % 8 == 7 else "") for i, word in enumerate(listed)) + "."
+
+
 def cut(text):
     out, start = [], 0
     for i, c in enumerate(text):
@@ -17,12 +23,10 @@ def cut(text):
     return [*out, text[start:]]
 
 
-def by_hand(rows, window, least):
+def by_hand(rows, window, least, long):
     """Plain reading of the definition over (doc_id, text) rows with different ids."""
     docs = [(d, cut(t)) for d, t in sorted(rows)]
     keys = [[u.replace("\n", " ").strip(" ") for u in units] for _, units in docs]
-    import xxhash
-
     def number(key):
         value = xxhash.xxh64_intdigest(key.encode(), 42)
         return value - (1 << 64) if value >> 63 else value
@@ -40,7 +44,7 @@ def by_hand(rows, window, least):
             starts = range(max(0, len(grams) - window) + 1)
             if any(s <= i < s + window and min(grams[s : s + window]) == g for s in starts):
                 places.append((i, 2, g))
-        places += [(i, 1, ("alone", u)) for i, u in enumerate(k) if len(docs[d][1][i].split(" ")) >= least and len(docs[d][1][i]) >= 2 * least - 1]
+        places += [(i, 1, ("alone", u)) for i, u in enumerate(k) if len(docs[d][1][i].split(" ")) >= long]
         covered = set()
         for i, size, g in sorted(places, key=lambda p: p[0]):
             if g not in first:
@@ -76,8 +80,8 @@ def test_as_by_hand(documents, window):
             parts.append(pick.choice(["Les.", "De la.", "Short header line"]))
         rows.append((i, pick.choice(["\n", " ", "\n\n"]).join(parts)))
     rows += [(90, "same line again\n" * 50), (91, "Les. De la. Les. De la. " * 30)]
-    found = {r["doc_id"]: (r["text"], r["n_deleted"]) for r in lines.dedup_lines(documents(*rows), window, 25).collect()}
-    expected = by_hand(rows, window, 25)
+    found = {r["doc_id"]: (r["text"], r["n_deleted"]) for r in lines.dedup_lines(documents(*rows), window, 25, 12).collect()}
+    expected = by_hand(rows, window, 25, 12)
     assert sum(n for _, n in expected.values()) > 50
     assert found == expected
 
