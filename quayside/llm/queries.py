@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import decontaminate, langid, licenses, lines, mixing, mtree, quality, scoring, simhash, tokens
+from quayside.llm.shared import small_enough, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,6 +123,7 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
     good = labels.where("quality = 1 AND toxic = 0").select(F.col("doc_id").alias("good_id")).distinct()
+    good = small_enough(stored(good, "good"))
     marked = docs.join(good, docs["doc_id"] == good["good_id"], "left").select(docs["text"], F.col("good_id").isNotNull().alias("target"))
     return scoring.score(docs, scoring.train(marked))
 
