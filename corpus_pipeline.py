@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import decontaminate, lines, mixing, quality, simhash
-from quayside.llm.shared import stored
+from quayside.llm.shared import reachable, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -56,6 +56,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows, each stage's result written to the shared folder and read again."""
+    reachable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)

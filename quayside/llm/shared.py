@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import quayside
 from quayside.session import scratch
 
 #: Lower case for A to Z only; other letters stay as they are.
 ASCII_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers find this library where the driver found it, whatever folder they start in.
+
+    On a cluster whose machines share no such folder, install the library or pass it by ``--py-files``.
+    """
+    root = str(Path(quayside.__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def stored(rows: DataFrame, label: str) -> DataFrame:
     """The rows, written to the folder that driver and executors share and read again.
 

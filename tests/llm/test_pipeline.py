@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -46,3 +49,17 @@ def test_one_row_or_more_per_document(spark, name):
     found = QUERIES[name](spark, str(FOLDER))
     kept = found.select("doc_id").distinct().count()
     assert 0 < kept <= documents if name == "op2_license_scan" else kept == documents
+
+
+def test_workers_find_the_library_from_any_folder(tmp_path):
+    program = f"""
+import sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+sys.path.insert(0, {str(Path(corpus_pipeline.__file__).parent)!r})
+import __spark_entry__
+print("rows", __spark_entry__.queries()["op4_token_counts"](spark, {str(FOLDER)!r}).count())
+"""
+    environment = {name: value for name, value in os.environ.items() if name != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-B", "-c", program], cwd=tmp_path, env=environment, capture_output=True, text=True, check=True)
+    assert int(done.stdout.split()[1]) > 200
