@@ -146,7 +146,7 @@ def repeated_runs(docs: DataFrame, window: int, long_words: int) -> DataFrame:
     return by_doc.select("doc_id", "version", let(F.col("at"), runs).alias("runs"))
 
 
-def dedup_lines(docs: DataFrame, window: int = 2, min_words: int = 25, long_words: int = 25, id: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, window: int = 2, min_words: int = 25, long_words: int = 16, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with later repeated runs deleted from ``text``, and ``n_units``, ``n_deleted`` (units), ``deleted`` (texts).
 
     A run is a sequence of units; "later" goes by id, then by place in the text, so the first copy
