@@ -14,6 +14,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def rated_well(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the rated ones among them, expects to be good."""
+    reachable(spark)
     ratings = quality.ratings(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.graded(docs, quality.train(docs, ratings), keep_grade=2).where("keep").select(*COLUMNS)
 
@@ -26,6 +27,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    reachable(spark)
     return simhash.keep_one(docs, size=3, bits=3).select(*COLUMNS)
 
 
