@@ -108,7 +108,7 @@ def associated(rows: np.ndarray, features: np.ndarray, seen: np.ndarray, grades:
 
 def train(
     docs: DataFrame, ratings: DataFrame, id: str = "doc_id", text: str = "text", grade: str = "grade",
-    train_rows: int = 16_384, least_z: float = 4.5, ridge: float = 2e-5, rounds: int = 600,
+    train_rows: int = 8192, least_z: float = 4.5, ridge: float = 2e-5, rounds: int = 600,
 ) -> Model:
     """Fit on ``train_rows`` rated documents, those whose id has the smallest hash.
 
@@ -135,14 +135,16 @@ def train(
     grades, numbers = np.unique(found, return_inverse=True)
     if len(grades) < 2:
         return Model(tuple(map(float, grades)), (), b"", b"")
-    place = np.empty(len(found), dtype=np.int64)
+    place = np.empty(len(found), dtype=np.int32)
     place[np.lexsort((found, table["_id"].to_numpy()))] = np.arange(len(found))  # the same sums in any order of arrival
     lists = table["_buckets"].combine_chunks()
     rows = np.repeat(place, np.diff(lists.offsets.to_numpy()))
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows, kind="stable").astype(np.int32)
     rows, hashes = rows[order], lists.values.to_numpy()[order]
+    del table, lists, order
     numbers = numbers[np.argsort(place)]
-    where, features, seen = np.unique(hashes, return_inverse=True, return_counts=True)
+    where, seen = np.unique(hashes, return_counts=True)
+    features = np.searchsorted(where, hashes).astype(np.int32)
     telling = associated(rows, features, seen, numbers) >= least_z
     used = telling[features]
     rows, features = rows[used], (np.cumsum(telling) - 1)[features[used]]
