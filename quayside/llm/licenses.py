@@ -27,8 +27,8 @@ TEMPLATES = {
     "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
     "rights-reserved": "All rights reserved.",
 }
-#: Every template has one of these in it.
-CUES = r"licen[sc]e|redistribut|hereby granted|rights reserved"
+#: Every template has one of these in it. Between two words anything but letters and digits, as notices are wrapped and commented.
+CUES = r"licen[sc]e|redistribut|hereby[\W_]+granted|rights[\W_]+reserved"
 CUE = re.compile(CUES, re.IGNORECASE)
 WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 SCHEMA = "array<struct<start:int,license:string,plain_bytes:int,given_bytes:int,missing:array<string>,added:array<string>,exact:boolean>>"

@@ -141,3 +141,13 @@ def test_changed_wordings_two_notices_and_odd_rows(spark):
         ("None", 0, "rights-reserved", [], [], True),
     ]
     assert licenses.scan_licenses(docs.limit(0)).collect() == []
+
+
+def test_wrapped_and_commented_notices(documents):
+    permission = licenses.TEMPLATES["MIT-permission"]
+    wrapped = ["All rights\nreserved.", "# All rights\r\n#   reserved.", "/* All rights\n *\treserved. */", "All rights\u00a0reserved.", "_All rights_ _reserved._"]
+    rows = [(i, f"x = 1\n{text}\ny = 2") for i, text in enumerate(wrapped)]
+    rows += [(10, permission.replace("hereby granted", "hereby\ngranted")), (11, "# " + permission.replace("hereby ", "hereby\n# ").replace("copy ", "copy\n# "))]
+    found = licenses.scan_licenses(documents(*rows)).collect()
+    expected = [(i, "rights-reserved", True) for i in range(len(wrapped))] + [(i, "MIT-permission", True) for i in (10, 11)]
+    assert sorted((r["doc_id"], r["license"], r["exact"]) for r in found) == expected
