@@ -95,26 +95,32 @@ def phrases(docs: DataFrame, items: DataFrame, seeds: DataFrame, lists: DataFram
     return hits.select(*KEY, "item", (F.col("shift") + F.col("w.start")).alias("pos"), F.col("w.size").alias("size"))
 
 
-def near_items(lists: DataFrame, slop: int, least_terms: int) -> DataFrame:
-    """Proximity matches: ``KEY`` and ``item`` where ``least_terms`` rare places of the item lie in the text
-    in about their order and distance: their shifts fall into one band of ``slop`` + 1, with bands at two offsets."""
+def near_items(lists: DataFrame, seeds: DataFrame, slop: int, near_share: float, near_terms: int) -> DataFrame:
+    """Proximity matches: ``KEY`` and ``item`` where enough rare places of the item lie in the text in about their order
+    and distance: their shifts fall into one band of ``slop`` + 1, with bands at two offsets. Enough is ``near_share`` of
+    the item's indexed places, two at least and ``near_terms`` at most, each by a word of its own in the text."""
+    enough = F.greatest(F.lit(2), F.least(F.lit(near_terms), F.ceil(F.count_distinct("at") * near_share)))
+    needed = small_enough(stored(seeds.groupBy("item").agg(enough.alias("needed")), "needed"))
     band = F.explode(F.array(F.floor(F.col("shift") / (2 * slop + 2)) * 2, F.floor((F.col("shift") + slop + 1) / (2 * slop + 2)) * 2 + 1))
-    banded = lists.select(*KEY, "item", "ats", band.alias("band"))
-    spread = banded.select(*KEY, "item", "band", F.explode("ats").alias("at")).distinct()
-    return spread.groupBy(*KEY, "item", "band").agg(F.count("*").alias("n")).where(F.col("n") >= least_terms).select(*KEY, "item").distinct()
+    banded = lists.select(*KEY, "item", "shift", "ats", band.alias("band"))
+    spread = banded.select(*KEY, "item", "band", "shift", F.explode("ats").alias("at")).withColumn("pos", F.col("shift") + F.col("at"))
+    met = spread.groupBy(*KEY, "item", "band").agg(F.size(F.collect_set("at")).alias("n"), F.size(F.collect_set("pos")).alias("n_pos"))
+    met = met.where("n >= 2 AND n_pos >= 2").join(needed, "item")
+    return met.where(F.least("n", "n_pos") >= F.col("needed")).select(*KEY, "item").distinct()
 
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = 13, one_in: int = 20, lists: int = 2, slop: int = 4,
-    near_terms: int = 6, text: str = "text", item_id: str = "item_id", item_text: str = "text",
+    near_terms: int = 6, text: str = "text", item_id: str = "item_id", item_text: str = "text", near_share: float = 0.5,
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit``, ``n_items``, ``items``, ``near`` and ``contaminated``.
 
     A window is ``window`` words of an item in a row; an item with fewer words is one window, one without
     words none. A word of a document is hit if it lies in an occurrence of a window. ``items`` are the
     different ids, as text and sorted, of the items with an occurring window, ``n_items`` their number.
-    ``near`` are likewise the items of which at least ``near_terms`` rare words occur about as far apart as
-    in the item (within ``slop`` words), though no window occurs. A document is contaminated if a word
+    ``near`` are likewise the items of which enough rare words occur about as far apart as in the item (within
+    ``slop`` words), though no window occurs: ``near_share`` of the item's indexed places, two at least and
+    ``near_terms`` at most. An item of one word has no such match. A document is contaminated if a word
     is hit and one in ``one_in`` of its words or more are.
 
     Everything depends on the text alone, so repeated rows agree, whatever their id. A NULL or empty text
@@ -136,7 +142,7 @@ def contamination(
         found = matches.select(*KEY, "item").distinct().join(names, "item")
         return found.groupBy(*KEY).agg(F.array_sort(F.collect_set("name")).alias(to))
 
-    apart = near_items(meeting, slop, near_terms).join(exact.select(*KEY, "item").distinct(), [*KEY, "item"], "left_anti")
+    apart = near_items(meeting, seeds, slop, near_share, near_terms).join(exact.select(*KEY, "item").distinct(), [*KEY, "item"], "left_anti")
     facts = hit.join(listed(exact, "items"), KEY, "left").join(listed(apart, "near"), KEY, "full")
     mine = {c: free(docs, c) for c in (*KEY, "n_hit", "items", "near")}
     facts = stored(facts.select(*[F.col(c).alias(name) for c, name in mine.items()]), "facts")

@@ -50,6 +50,14 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated")
 
 
+@query
+def op6_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of which rare words lie in a document about as far apart as in the item, though no window of theirs occurs."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13, one_in=20)
+    items = F.sha2(F.array_join("near", ","), 256).alias("near_sha256")
+    return found.select("doc_id", F.size("near").cast("long").alias("n_near"), items)
+
+
 _WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 ORACLES["op6_decontamination"] = f"""
 WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),

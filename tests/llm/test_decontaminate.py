@@ -1,9 +1,10 @@
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 
-from quayside.llm import decontaminate
+from quayside.llm import decontaminate, queries
 
 
 def words(text):
@@ -59,6 +60,31 @@ def test_proximity(spark, documents):
     assert found == {1: (["1"], []), 2: ([], ["1"]), 3: ([], []), 4: ([], [])}
 
 
+def test_proximity_with_the_defaults(spark, documents):
+    items = {n: [f"item{n}w{i}" for i in range(n)] for n in (2, 5, 13, 14, 20, 29, 60)} | {1: ["single"]}
+    benchmark = spark.createDataFrame([(n, " ".join(own)) for n, own in items.items()] + [(99, "same same")], "item_id long, text string")
+
+    def broken(own):
+        return " ".join(word + (" and" if i % 5 == 4 or len(own) < 5 or i == 1 else "") for i, word in enumerate(own))
+
+    rows = [(n, f"well {broken(own)} then") for n, own in items.items() if n > 1]
+    rows += [(100 + n, "well " + (" far" * 30 + " ").join(own) + " then") for n, own in items.items() if n > 1]
+    rows += [(200 + n, f"well {' '.join(own)} then") for n, own in items.items()]
+    rows += [(300, "the same once"), (301, "the same and same"), (302, None)]
+    found = {r["doc_id"]: (r["near"], r["items"]) for r in decontaminate.contamination(documents(*rows), benchmark).collect()}
+    expected = {n: ([str(n)], []) for n in items if n > 1} | {100 + n: ([], []) for n in items if n > 1} | {200 + n: ([], [str(n)]) for n in items}
+    assert found == expected | {300: ([], []), 301: (["99"], []), 302: ([], [])}
+
+
+def test_a_query_returns_proximity_matches(spark, tmp_path, documents):
+    item = [f"rare{i}" for i in range(20)]
+    broken = " ".join(word + (" and" if i % 5 == 4 else "") for i, word in enumerate(item))
+    documents((1, f"well {broken} then"), (2, "nothing")).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, " ".join(item))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = {r["doc_id"]: (r["n_near"], r["near_sha256"]) for r in queries.QUERIES["op6_proximity"](spark, str(tmp_path)).collect()}
+    assert found == {1: (1, hashlib.sha256(b"7").hexdigest()), 2: (0, hashlib.sha256(b"").hexdigest())}
+
+
 def test_empty_tables_and_clashing_names(spark, documents):
     benchmark = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
     assert decontaminate.contamination(documents().limit(0), benchmark).collect() == []
