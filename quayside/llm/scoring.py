@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.shared import ASCII_LOWER, stored
+from quayside.llm.decontaminate import KEY, version
+from quayside.llm.shared import ASCII_LOWER, small_enough, stored
 
-OTHER = np.uint64(0)  # stands for all words outside the vocabulary
+NONE = np.uint64(0)  # stands before the first word of a text
 MIX = np.uint64(0x9E3779B97F4A7C15)
+AT_ONCE = 500_000  # words that a task holds before it hands rows on; a longer text is held whole
+PAIR = ["before", "word"]
 
 
 def numbers(text: bytes | None, known: dict[bytes, int]) -> np.ndarray:
@@ -28,127 +29,141 @@ def numbers(text: bytes | None, known: dict[bytes, int]) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
-def pairs(words: np.ndarray) -> np.ndarray:
-    """A number for each word but the first with the one before it."""
-    before = words[:-1]
-    return (before * MIX) ^ (words[1:] + (before >> np.uint64(7)))
+def pairs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The word before each word, and a number for both."""
+    before = np.concatenate([[NONE], words[:-1]])
+    return before, (before * MIX) ^ (words + (before >> np.uint64(7)))
 
 
-def counted(docs: DataFrame, vocabulary: bytes | None) -> DataFrame:
-    """``key``, ``n`` and ``n_target``: how often words (without a vocabulary) or word pairs in it occur in all and in target texts.
+def signed(hashes: np.ndarray) -> pa.Array:
+    return pa.array(hashes.view(np.int64))
 
-    ``docs`` has ``text`` (binary) and ``target``. Counts are summed within each batch before the shuffle. Pairs
-    with a word outside the vocabulary are left out, their words count as ``OTHER``.
+
+def counted(docs: DataFrame) -> DataFrame:
+    """``before``, ``word``, ``n`` and ``n_target``: how often each word follows another (or begins a text) in all and in target texts.
+
+    ``docs`` has ``text`` (binary) and ``target``. Counts are summed over some texts at once before the shuffle.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
-        inside = np.frombuffer(vocabulary, dtype=np.uint64) if vocabulary is not None else None
+
+        def summed(texts: list[np.ndarray], targets: list[bool]) -> pa.RecordBatch:
+            parts = [pairs(words) for words in texts]
+            before, words = np.concatenate([p[0] for p in parts]), np.concatenate(texts)
+            different, at, place = np.unique(np.concatenate([p[1] for p in parts]), return_index=True, return_inverse=True)
+            marks = np.repeat(targets, [len(words) for words in texts])
+            n, mine = np.bincount(place, minlength=len(different)), np.bincount(place[marks], minlength=len(different))
+            return pa.RecordBatch.from_arrays([signed(before[at]), signed(words[at]), pa.array(n), pa.array(mine)], names=[*PAIR, "n", "n_target"])
+
         for batch in batches:
-            keys: list[np.ndarray] = []
-            marks: list[np.ndarray] = []
+            texts: list[np.ndarray] = []
+            targets: list[bool] = []
+            held = 0
             for text, target in zip(batch.column(0), batch.column(1).to_pylist()):
                 words = numbers(text.as_py(), known)
-                if inside is not None:
-                    words = among(words, inside)
-                    words = pairs(words)[(words[1:] != OTHER) & (words[:-1] != OTHER)]
-                keys.append(words)
-                marks.append(np.full(len(words), target, dtype=bool))
+                if len(words):
+                    texts.append(words)
+                    targets.append(target)
+                    held += len(words)
+                if held > AT_ONCE:
+                    yield summed(texts, targets)
+                    texts, targets, held = [], [], 0
                 if len(known) > 500_000:
                     known.clear()
-            if not keys:
-                continue
-            different, place = np.unique(np.concatenate(keys), return_inverse=True)
-            mine = np.bincount(place[np.concatenate(marks)], minlength=len(different))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(different.astype(np.int64)), pa.array(np.bincount(place, minlength=len(different))), pa.array(mine)], names=["key", "n", "n_target"]
-            )
+            if held:
+                yield summed(texts, targets)
 
-    return docs.mapInArrow(count, "key long, n long, n_target long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+    rows = docs.mapInArrow(count, "before long, word long, n long, n_target long")
+    return rows.groupBy(*PAIR).agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
 
 
-def among(words: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    """The words, with ``OTHER`` for those that the sorted ``vocabulary`` lacks."""
-    if not len(vocabulary):
-        return np.zeros_like(words)
-    at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == words, words, OTHER)
+def occurrences(docs: DataFrame) -> DataFrame:
+    """``KEY``, ``before``, ``word`` and ``times``: the different word pairs of each text; ``docs`` has ``KEY`` and ``text`` (binary)."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
 
-@dataclass(frozen=True)
-class Models:
-    """Sorted keys and, beside each, log probabilities under target and background model, as bytes."""
+        def rows(batch: pa.RecordBatch, parts: list[tuple]) -> pa.RecordBatch:
+            of = pa.array(np.repeat([p[0] for p in parts], [len(p[1]) for p in parts]))
+            keys = [batch.column(0).take(of), batch.column(1).take(of)]
+            values = [np.concatenate([p[i] for p in parts]) for i in (1, 2, 3)]
+            return pa.RecordBatch.from_arrays([*keys, signed(values[0]), signed(values[1]), pa.array(values[2].astype(np.int32))], names=[*KEY, *PAIR, "times"])
 
-    words: bytes
-    word_logs: bytes  # two float64 a word and OTHER, then as many counts; empty without any words
-    pair_keys: bytes
-    pair_counts: bytes  # two float64 a pair
+        for batch in batches:
+            parts: list[tuple] = []
+            held = 0
+            for i, text in enumerate(batch.column(2)):
+                words = numbers(text.as_py(), known)
+                if len(words):
+                    before, both = pairs(words)
+                    _, at, times = np.unique(both, return_index=True, return_counts=True)
+                    parts.append((i, before[at], words[at], times))
+                    held += len(at)
+                if held > AT_ONCE:
+                    yield rows(batch, parts)
+                    parts, held = [], 0
+                if len(known) > 500_000:
+                    known.clear()
+            if held:
+                yield rows(batch, parts)
 
+    return docs.mapInArrow(count, "version long, check int, before long, word long, times int")
 
-def sorted_rows(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    table = rows.select("key", "target", "background").toArrow()
-    keys = table["key"].to_numpy().astype(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], np.stack([table["target"].to_numpy()[order], table["background"].to_numpy()[order]], axis=1).astype(np.float64)
+
+@dataclass(frozen=True)
+class Models:
+    """Counts under target and background model, as stored tables, and their sums."""
+
+    words: DataFrame  # word, n, n_target: the vocabulary
+    pairs: DataFrame  # before, word, n, n_target: all pairs, those that begin a text too
+    total: tuple[int, int]  # all words, in target and background
+    rest: tuple[int, int]  # those outside the vocabulary
+    different: int  # words of the vocabulary
+    least_n: float  # pairs that occur less often count as unseen
 
 
-def train(docs: DataFrame, least_share: float = 1e-5, least_pair_share: float = 2e-6, target: str = "target", text: str = "text") -> Models:
+def train(docs: DataFrame, least_share: float = 0.0, least_pair_share: float = 0.0, target: str = "target", text: str = "text") -> Models:
     """Bigram models of the target texts and of all texts (the background), counted over the whole of every text.
 
-    Both share one vocabulary: the words that make up ``least_share`` of all words at least; the others
-    are one word. Pairs enter that make up ``least_pair_share`` at least. These shares bound the models by
-    1 / share rows, whatever the corpus; the counts themselves are tables that Spark groups.
+    Both share one vocabulary: all words, or those that make up ``least_share`` of all words at least; the others
+    are one word. All pairs count, or those that make up ``least_pair_share`` at least. The counts are tables that
+    Spark groups and that stay in the shared folder; the driver gets their sums only.
     """
     rows = docs.where(F.col(text).isNotNull()).select(F.col(text).cast("binary").alias("text"), F.coalesce(F.col(target), F.lit(False)).alias("target"))
-    words = stored(counted(rows, None), "word-counts")
-    total, mine, different = words.agg(F.sum("n"), F.sum("n_target"), F.count("*")).first()
-    if not total:
-        return Models(b"", b"", b"", b"")
-    mine = mine or 0
-    chosen = words.where(F.col("n") >= least_share * total)
-    smooth = 0.5
-    table = chosen.select("key", F.col("n_target").cast("double").alias("target"), F.col("n").cast("double").alias("background"))
-    keys, counts = sorted_rows(table)
-    rest = np.array([mine, total], dtype=np.float64) - counts.sum(axis=0)
-    every = np.vstack([counts, rest]) + smooth
-    logs = np.log(every / every.sum(axis=0))
-    found = counted(rows, keys.tobytes())
-    chosen_pairs = found.where(F.col("n") >= least_pair_share * total)
-    pair_keys, pair_counts = sorted_rows(chosen_pairs.select("key", F.col("n_target").cast("double").alias("target"), F.col("n").cast("double").alias("background")))
-    return Models(keys.tobytes(), np.vstack([logs, counts, rest]).tobytes(), pair_keys.tobytes(), pair_counts.tobytes())
-
-
-@lru_cache(maxsize=2)
-def unpacked(models: Models):
-    words = np.frombuffer(models.words, dtype=np.uint64)
-    tables = np.frombuffer(models.word_logs).reshape(-1, 2)
-    return words, tables[: len(words) + 1], tables[len(words) + 1 :], np.frombuffer(models.pair_keys, dtype=np.uint64), np.frombuffer(models.pair_counts).reshape(-1, 2)
-
-
-def losses(text: bytes | None, models: Models, known: dict[bytes, int], weight: float) -> np.ndarray | None:
-    """Per word the loss (negative log probability) under the target and the background model; none without words.
+    found = stored(counted(rows), "pair-counts")
+    words = stored(found.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")), "word-counts")
+    sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ("n_target", "n")]
+    total = tuple(words.agg(*sums).first())
+    words = words.where(F.col("n") >= least_share * total[1])
+    *inside, different = words.agg(*sums, F.count("*")).first()
+    return Models(words, found, total, (total[0] - inside[0], total[1] - inside[1]), different, least_pair_share * total[1])
+
+
+def with_losses(rows: DataFrame, models: Models, weight: float) -> DataFrame:
+    """``rows`` (``before``, ``word``, ``n``, ``n_target``) with ``target_loss`` and ``background_loss`` of the word after the one before it.
 
     The probability of a word mixes its share among all words with its share after the word before it, by
     ``weight``, where that word is in the vocabulary; the same way in both models.
     """
-    words = numbers(text, known)
-    if not len(words):
-        return None
-    vocabulary, logs, counts, keys, seen = unpacked(models)
-    inside = among(words, vocabulary)
-    at = np.where(inside == OTHER, len(vocabulary), np.searchsorted(vocabulary, inside))
-    alone = np.exp(logs[at])
-    before = np.concatenate([[len(vocabulary)], at[:-1]])
-    times = counts[before]
-    together = np.zeros_like(alone)
-    if len(keys):
-        own = pairs(inside)
-        place = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-        hit = (keys[place] == own) & (at[1:] < len(vocabulary)) & (at[:-1] < len(vocabulary))
-        together[1:][hit] = seen[place[hit]]
-    share = np.divide(together, times, out=np.zeros_like(together), where=times > 0)
-    mixed = (before < len(vocabulary))[:, None] & (times > 0)
-    return -np.log(np.where(mixed, weight * share + (1 - weight) * alone, alone))
+    words = small_enough(models.words)
+
+    def named(side: str) -> DataFrame:
+        return words.select(F.col("word").alias(side), F.col("n_target").alias(f"{side}_target"), F.col("n").alias(f"{side}_n"))
+
+    known = rows.join(named("before"), "before", "left").join(named("word"), "word", "left")
+    # The words outside the vocabulary are one word, which no pair has.
+    seen = F.col("before_n").isNotNull() & F.col("word_n").isNotNull() & (F.col("n") >= models.least_n)
+
+    def loss(model: int, n: str, suffix: str) -> Column:
+        smooth = 0.5
+        alone = (F.coalesce(F.col(f"word_{suffix}"), F.lit(models.rest[model])) + smooth) / (models.total[model] + smooth * (models.different + 1))
+        times = F.col(f"before_{suffix}")
+        share = F.when(seen, F.col(n)).otherwise(0) / times
+        return -F.log(F.when(times > 0, weight * share + (1 - weight) * alone).otherwise(alone))
+
+    losses = {"target_loss": loss(0, "n_target", "target"), "background_loss": loss(1, "n", "n")}
+    return known.withColumns(losses).drop("before_target", "before_n", "word_target", "word_n", "n", "n_target")
 
 
 def score(docs: DataFrame, models: Models, weight: float = 0.5, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -158,18 +173,29 @@ def score(docs: DataFrame, models: Models, weight: float = 0.5, id: str = "doc_i
     text is like the target. All words count, one by one, those outside the vocabulary as the one word they are.
     A NULL or empty text, one without words, and models of an empty corpus give NULL losses and zero words.
     NULL ids are kept, repeated rows agree, an empty table gives no rows, other columns are not looked at.
-    """
 
-    @F.pandas_udf("struct<n_words:long,target_loss:double,background_loss:double>")
-    def scored(texts: pd.Series) -> pd.DataFrame:
-        known: dict[bytes, int] = {}
-        out = []
-        for value in texts:
-            lost = losses(value, models, known, weight) if models.word_logs else None
-            out.append((0, None, None) if lost is None else (len(lost), *map(float, lost.mean(axis=0))))
-            if len(known) > 500_000:
-                known.clear()
-        return pd.DataFrame(out, columns=["n_words", "target_loss", "background_loss"])
-
-    found = docs.select(F.col(id).alias("doc_id"), scored(F.col(text).cast("binary")).alias("s")).select("doc_id", "s.*")
-    return found.withColumn("difference", F.col("target_loss") - F.col("background_loss"))
+    The word pairs of each text are joined with the models' pairs, a hot pair on the side that Spark splits; texts
+    with pairs that the models lack are looked at again for those. Copies of a text are summed as one.
+    """
+    rows = docs.select(F.col(id).alias("doc_id"), *version(text))
+    none = F.lit(None).cast("double")
+    if not models.total[1]:
+        return rows.select("doc_id", F.lit(0).cast("long").alias("n_words"), *[none.alias(c) for c in ("target_loss", "background_loss", "difference")])
+    texts = docs.where(F.col(text).isNotNull()).select(*version(text), F.col(text).cast("binary").alias("text"))
+    both = ["target_loss", "background_loss"]
+    weighed = [F.sum(F.col("times") * F.col(c)).alias(c) for c in both]
+    losses = with_losses(models.pairs, models, weight)
+    joined = occurrences(texts).join(losses, PAIR, "left")
+    copies = F.sum(F.when(F.col("before") == 0, F.col("times")).otherwise(0)).alias("copies")
+    lacking = F.sum(F.when(F.col("target_loss").isNull(), F.col("times")).otherwise(0)).alias("lacking")
+    sums = stored(joined.groupBy(*KEY).agg(F.sum("times").alias("n"), copies, lacking, *weighed), "sums")
+    again = sums.where("lacking > 0").select(*KEY)
+    if again.head(1):
+        mine = texts.join(again, KEY, "left_semi")
+        unseen = occurrences(mine).join(models.pairs.select(*PAIR), PAIR, "left_anti").withColumns({"n": F.lit(0).cast("long"), "n_target": F.lit(0).cast("long")})
+        more = with_losses(unseen, models, weight).groupBy(*KEY).agg(*weighed)
+        more = more.select(*KEY, *[F.lit(0).cast("long").alias(c) for c in ("n", "copies")], *both)
+        sums = sums.select(*KEY, "n", "copies", *both).unionByName(more).groupBy(*KEY).agg(*[F.sum(c).alias(c) for c in ("n", "copies", *both)])
+    sums = sums.select(*[F.col(c).alias(f"its_{c}") for c in KEY], (F.col("n") / F.col("copies")).cast("long").alias("n_words"), *[(F.col(c) / F.col("n")).alias(c) for c in both])
+    found = rows.join(sums, [rows[c] == sums[f"its_{c}"] for c in KEY], "left")
+    return found.select("doc_id", F.coalesce("n_words", F.lit(0).cast("long")).alias("n_words"), *both).withColumn("difference", F.col("target_loss") - F.col("background_loss"))

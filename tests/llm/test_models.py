@@ -154,3 +154,36 @@ def test_scores_without_a_corpus(spark):
     docs = spark.createDataFrame([(1, "a b", True)], "doc_id long, text string, target boolean")
     assert scoring.score(docs, scoring.train(docs.limit(0))).first()["difference"] is None
     assert scoring.score(docs.limit(0), scoring.train(docs)).collect() == []
+
+
+def test_rare_words_and_pairs_count_at_any_size(spark):
+    """A word that makes up less than 1e-5 of all words, in the target only, and pairs of it."""
+    pick = random.Random(10)
+    filler = [(i, " ".join(f"w{pick.randrange(40)}" for _ in range(10_000)), False) for i in range(30)]
+    own = [(1000, "zebra quagga", True), (1001, "w1 w2", True)]
+    docs = spark.createDataFrame([*filler, *own], "doc_id long, text string, target boolean")
+    models = scoring.train(docs)
+    asked = spark.createDataFrame([(1, "zebra quagga"), (2, "quagga zebra"), (3, "never seen"), (4, "w1 never w2"), (5, "zebra quagga"), (6, None)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in scoring.score(asked, models).collect()}
+
+    words, pairs = [Counter(), Counter()], [Counter(), Counter()]
+    for _, t, target in [*filler, *own]:
+        for model in (0, 1) if target else (1,):
+            words[model].update(t.split())
+            pairs[model].update(zip(t.split(), t.split()[1:]))
+
+    def loss(t, model):
+        total, sums = sum(words[model].values()), 0.0
+        for before, w in zip([None, *t.split()], t.split()):
+            p = (words[model][w] + 0.5) / (total + 0.5 * (len(words[1]) + 1))
+            if words[model][before]:
+                p = 0.5 * pairs[model][before, w] / words[model][before] + 0.5 * p
+            sums -= math.log(p)
+        return sums / len(t.split())
+
+    for r in asked.where("text IS NOT NULL").collect():
+        got = found[r["doc_id"]]
+        assert got["n_words"] == len(r["text"].split())
+        assert got["target_loss"] == pytest.approx(loss(r["text"], 0)) and got["background_loss"] == pytest.approx(loss(r["text"], 1))
+    assert found[6]["n_words"] == 0 and found[6]["difference"] is None
+    assert found[5]["n_words"] == 2 and found[5]["difference"] == pytest.approx(found[1]["difference"])
