@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from functools import reduce
 
@@ -29,20 +30,21 @@ def tempered(cells: DataFrame, dimension: str, power: float) -> DataFrame:
     return shares.join(F.broadcast(total)).select(dimension, (F.col("raised") / F.col("all")).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float, most_rounds: int) -> tuple[DataFrame, float]:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float, most_rounds: int | None = None) -> tuple[DataFrame, float]:
     """``cells`` with ``factor``, the product of a factor per dimension, and how much the last round moved them.
 
     A round finds, for each dimension in turn, the factors by which its token shares meet the targets, given
-    the others' factors. Rounds go on until no factor moves by more than ``tolerance`` of its value; where no
-    weights meet all targets, as cells are missing, until ``most_rounds``. A category without a target gets
-    factor zero. Cells are counts, and each step one grouping of them, with the factors so far in a
+    the others' factors. Rounds go on until no factor moves by more than ``tolerance`` of its value, or until the
+    largest move has not fallen for three rounds, as where missing cells let no weights meet all targets (or until
+    ``most_rounds``, if given). A category without a target gets factor zero. Cells are counts, and each step one grouping of them, with the factors so far in a
     stored table per dimension; the driver sees the largest move only.
     """
     total = cells.agg(F.sum("tokens").cast("double").alias("all"))
     shares = stored(cells.join(F.broadcast(total)).withColumn("now", F.col("tokens") / F.col("all")), "shares")
     factors = {d: target.select(d, F.lit(1.0).alias(f"f_{d}")) for d, target in targets.items()}
     worst, rounds = float("inf"), 0
-    while worst > tolerance and rounds < most_rounds:
+    least, stale = worst, 0
+    while worst > tolerance and stale < 3 and (most_rounds is None or rounds < most_rounds):
         worst, rounds = 0.0, rounds + 1
         for dimension, target in targets.items():
             weighted = shares
@@ -56,6 +58,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float, most
             new = stored(new.select(dimension, value.alias(f"f_{dimension}"), F.abs(value / F.nullif(F.col("was"), F.lit(0.0)) - 1).alias("move")), "factors")
             worst = max(worst, new.agg(F.max("move")).first()[0] or 0.0)
             factors[dimension] = new.drop("move")
+        stale = 0 if worst < least * (1 - 1e-6) else stale + 1
+        least = min(least, worst)
     for dimension in targets:
         cells = cells.join(factors[dimension], dimension, "left").fillna(0.0, [f"f_{dimension}"])
     product = reduce(lambda x, y: x * y, [F.col(f"f_{d}") for d in targets])
@@ -64,15 +68,16 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float, most
 
 def mix(
     docs: DataFrame, dimensions: dict[str, float], targets: dict[str, DataFrame] | None = None, seed: int = 0,
-    tolerance: float = 1e-3, most_rounds: int = 30, id: str = "doc_id", text: str = "text",
+    tolerance: float = 1e-3, most_rounds: int | None = None, id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """``docs`` with ``tokens``, ``probability`` and ``sampled``.
+    """``docs`` with ``tokens``, ``probability``, ``sampled`` and ``residual``.
 
     ``dimensions`` names the columns whose token shares are raked, each with the power that tempers its present
     shares into the target ones; ``targets`` may give a dimension's shares instead (the category as in
     ``category`` and ``share``). A document's probability is the factor of its cell over the largest factor, so
     none exceeds one, the cell scarcest against its targets is kept whole, and the expected token shares meet
-    the targets. It is sampled if a number between 0 and 1 that follows from ``seed``, id and text is
+    the targets. ``residual``, the same for all rows, is the largest part by which the last round still moved a
+    factor: above ``tolerance``, which is warned of too, the shares miss the targets. A document is sampled if a number between 0 and 1 that follows from ``seed``, id and text is
     below that: a rerun samples the same documents, and repeated rows agree.
 
     A NULL category counts as one of its own. A NULL or empty text has no tokens, moves no share and has the
@@ -86,7 +91,9 @@ def mix(
     cells = stored(marked.groupBy(*keys).agg(F.sum("tokens").alias("tokens")).where("tokens > 0"), "cells")
     given = targets or {}
     wanted = {f"d{i}": given[d].toDF(f"d{i}", "share") if d in given else stored(tempered(cells, f"d{i}", dimensions[d]), "target") for i, d in enumerate(names)}
-    raked, _ = rake(cells, wanted, tolerance, most_rounds)
+    raked, residual = rake(cells, wanted, tolerance, most_rounds)
+    if residual > tolerance:
+        warnings.warn(f"token shares miss their targets: the last round still moved a factor by {residual:.3g} of its value", stacklevel=2)
     top = raked.agg(F.max("factor").alias("top"))
     chances = raked.join(F.broadcast(top)).select(*wanted, (F.col("factor") / F.col("top")).alias("chance"))
     mine = {c: free(marked, c) for c in (*wanted, "chance")}
@@ -95,7 +102,7 @@ def mix(
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.xxhash64(id, text)), 11) / F.lit(float(1 << 53))
     out = marked.join(chances, on, "left")
     chance = F.coalesce(mine["chance"], F.lit(0.0))
-    return out.withColumns({"probability": chance, "sampled": draw < chance}).drop(*(set(mine.values()) - set(names)))
+    return out.withColumns({"probability": chance, "sampled": draw < chance, "residual": F.lit(float(residual))}).drop(*(set(mine.values()) - set(names)))
 
 
 def with_topic(docs: DataFrame, embeddings: DataFrame) -> DataFrame:

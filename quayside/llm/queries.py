@@ -83,7 +83,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents sampled so that tokens meet tempered shares of source, language and topic."""
     docs = mixing.with_topic(table(spark, sf_dir, "documents"), table(spark, sf_dir, "embeddings"))
     found = mixing.mix(docs, {"source": 0.5, "lang": 0.7, "topic": 0.7})
-    return found.select("doc_id", "source", "lang", "topic", "tokens", "probability", "sampled")
+    return found.select("doc_id", "source", "lang", "topic", "tokens", "probability", "sampled", "residual")
 
 
 @query

@@ -47,6 +47,24 @@ def test_sampling_repeats_and_given_targets(spark, documents):
     assert {r["probability"] for r in first if r["source"] in "bc"} == {0.0}
 
 
+def test_slow_tables_are_raked_to_the_end_and_targets_out_of_reach_are_told(spark, documents):
+    def given(**shares):
+        return spark.createDataFrame([(f"={k}", v) for k, v in shares.items()], "category string, share double")
+
+    docs = documents(*((i, "word " * n, lang, source, None) for i, (n, source, lang) in enumerate([(300, "a", "x"), (1, "a", "y"), (300, "b", "y")])))
+    targets = {"source": given(a=0.55, b=0.45), "lang": given(x=0.45, y=0.55)}
+    found = mixing.mix(docs, {"source": 1.0, "lang": 1.0}, targets, tolerance=1e-4).collect()
+    mass = {(r["source"], r["lang"]): r["tokens"] * r["probability"] for r in found}
+    assert (mass["a", "x"] + mass["a", "y"]) / sum(mass.values()) == pytest.approx(0.55, rel=1e-4)
+    assert mass["a", "x"] / sum(mass.values()) == pytest.approx(0.45, rel=1e-4)
+    assert all(r["residual"] <= 1e-4 for r in found)
+
+    apart = documents((1, "word " * 10, "x", "a", None), (2, "word " * 10, "y", "b", None))
+    with pytest.warns(UserWarning, match="miss their targets"):
+        found = mixing.mix(apart, {"source": 1.0, "lang": 1.0}, {"source": given(a=0.5, b=0.5), "lang": given(x=0.9, y=0.1)}).collect()
+    assert len(found) == 2 and all(r["residual"] > 0.1 for r in found)
+
+
 def test_nulls_empty_texts_and_names(spark, documents):
     found = mixing.mix(documents((1, None), (2, ""), (None, "a b"), (3, "a b"), (3, "a b")), {"source": 0.5, "lang": 0.5}).collect()
     assert sorted((r["doc_id"] or 0, r["tokens"], r["probability"], r["sampled"]) for r in found) == [(0, 2, 1.0, True), (1, 0, 1.0, True), (2, 0, 1.0, True), (3, 2, 1.0, True), (3, 2, 1.0, True)]
