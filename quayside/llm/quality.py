@@ -110,10 +110,10 @@ def train(
     docs: DataFrame, ratings: DataFrame, id: str = "doc_id", text: str = "text", grade: str = "grade",
     train_rows: int = 8192, least_z: float = 4.5, ridge: float = 2e-5, rounds: int = 600,
 ) -> Model:
-    """Fit on ``train_rows`` rated documents, those whose id has the smallest hash.
+    """Fit on ``train_rows`` rated documents: of the ``train_rows`` ids with the smallest hash, the texts with the smallest.
 
-    The bound is what may come to the driver; with fewer ratings all take part. ``ratings`` has an id
-    and a numeric grade. Several grades of one id count as the lowest; NULL grades or ids, and ratings
+    The bound is what may come to the driver; with fewer ratings and documents all take part. Rows of one id and
+    text count as one document, so repeated rows weigh nothing. ``ratings`` has an id and a numeric grade. Several grades of one id count as the lowest; NULL grades or ids, and ratings
     without a document, count for nothing. A bucket gets a weight if its presence goes with the grade by
     ``least_z`` standard deviations, as a rare word tells nothing. With fewer than two different grades the model gives that grade (none: NULL) to everything.
     """
@@ -123,20 +123,25 @@ def train(
     if not listed:
         return Model((), (), b"", b"")
     known = docs.sparkSession.createDataFrame(listed, chosen.schema)
+    marks = ["_version", "_check"]
+    rows = docs.select(F.col(id).alias("_id"), F.col(text).cast("binary").alias("_text"))
+    rows = rows.join(F.broadcast(known), "_id").withColumns({"_version": F.xxhash64("_text"), "_check": F.hash("_text")})
+    texts = rows.select("_id", *marks).distinct().orderBy(F.xxhash64("_id", *marks), "_id", *marks).limit(train_rows)
+    texts = docs.sparkSession.createDataFrame([tuple(row) for row in texts.collect()], texts.schema)
 
     @F.pandas_udf("array<int>")
     def hashed(texts: pd.Series) -> pd.Series:
         return pd.Series([buckets(x) for x in texts])
 
-    sample = docs.select(F.col(id).alias("_id"), F.col(text).cast("binary").alias("_text"))
-    sample = sample.join(F.broadcast(known), "_id").select("_id", "_grade", hashed("_text").alias("_buckets"))
+    sample = rows.join(F.broadcast(texts), ["_id", *marks], "left_semi").dropDuplicates(["_id", *marks])
+    sample = sample.select("_id", *marks, "_grade", hashed("_text").alias("_buckets"))
     table = sample.toArrow().combine_chunks()
     found = table["_grade"].to_numpy()
     grades, numbers = np.unique(found, return_inverse=True)
     if len(grades) < 2:
         return Model(tuple(map(float, grades)), (), b"", b"")
     place = np.empty(len(found), dtype=np.int32)
-    place[np.lexsort((found, table["_id"].to_numpy()))] = np.arange(len(found))  # the same sums in any order of arrival
+    place[np.lexsort((*(table[c].to_numpy() for c in marks), found, table["_id"].to_numpy()))] = np.arange(len(found))  # the same sums in any order of arrival
     lists = table["_buckets"].combine_chunks()
     rows = np.repeat(place, np.diff(lists.offsets.to_numpy()))
     order = np.argsort(rows, kind="stable").astype(np.int32)

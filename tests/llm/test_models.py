@@ -75,6 +75,26 @@ def test_quality_odd_rows(spark, graded_rows):
     assert quality.graded(odd.limit(0), model, 2).collect() == []
 
 
+def test_repeated_ids_do_not_pass_the_bound_on_training_rows(spark, graded_rows, monkeypatch):
+    docs = spark.createDataFrame(graded_rows, "doc_id long, text string, grade int")
+    ratings, texts = docs.select("doc_id", "grade"), docs.select("doc_id", "text")
+    sizes = []
+
+    def counted(rows, features, seen, grades):
+        sizes.append(len(grades))
+        return associated(rows, features, seen, grades)
+
+    associated = quality.associated
+    monkeypatch.setattr(quality, "associated", counted)
+    plain = quality.train(texts, ratings)
+    repeated = texts.union(texts.where("doc_id = 3").join(spark.range(500)).drop("id"))
+    assert quality.train(repeated, ratings) == plain
+    hot = texts.union(spark.range(900).selectExpr("3L", "concat('other text ', id)"))
+    quality.train(hot, ratings)
+    quality.train(hot, ratings, train_rows=700)
+    assert sizes == [600, 600, 1500, 700]
+
+
 def test_languages_of_held_out_documents(spark):
     pick = random.Random(7)
     rows = [(i, text(pick, lang, pick.randrange(5, 80)), lang) for i in range(300) for lang in [pick.choice(list(SYLLABLES))]]
