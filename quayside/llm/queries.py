@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, langid, licenses, lines, mixing, mtree, quality, scoring, simhash, tokens
+from quayside.llm import decontaminate, fingerprints, langid, licenses, lines, mixing, mtree, quality, scoring, simhash, tokens
 from quayside.llm.shared import reachable, small_enough, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = docs.where(~langid.held_out("doc_id")).select("text", "lang")
     found = langid.identify(docs, langid.train(known))
     return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Additive fingerprints of each document and of its edited text, and how alike they and the next document are."""
+    found = fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+    prints = [fingerprints.shown(F.col(c)).alias(name) for c, name in (("vector", "fingerprint"), ("edited_vector", "edited_fingerprint"))]
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *prints, "near_edited", "near_next")

@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from quayside.llm import fingerprints as fp
+
+MASK = (1 << 64) - 1
+
+
+def chained(*parts):
+    seed = 42
+    for part in parts:
+        seed = xxhash.xxh64_intdigest(part, seed)
+    return seed
+
+
+def vector_by_hand(text):
+    lanes = [0] * fp.LANES
+    for line in text.split("\n"):
+        for s in range(fp.SEEDS):
+            h = chained(s.to_bytes(4, "little"), line.encode())
+            lanes[2 * s] += h & 0xFFFFFFFF
+            lanes[2 * s + 1] += h >> 32
+        words = line.split(" ")
+        for i in range(max(1, len(words) - 2)):
+            h = chained(*[w.encode() for w in words[i : i + 3]])
+            for bit in range(64):
+                lanes[2 * fp.SEEDS + bit] += h >> bit & 1
+            lanes[-1] += 1
+    return [x % fp.MODULUS for x in lanes]
+
+
+def likeness_by_hand(a, b):
+    a, b = ([2 * c - v[-1] for c in v[2 * fp.SEEDS : -1]] for v in (a, b))
+    size = sum(x * x for x in a) + sum(x * x for x in b)
+    return 1.0 if size == 0 else min(1.0, max(0.0, 2 * sum(x * y for x, y in zip(a, b)) / size))
+
+
+def signed(h):
+    return h - (1 << 64) if h >> 63 else h
+
+
+def by_hand(rows):
+    rows = [(i, t or "") for i, t in rows]
+    order = sorted({(i is None, i or 0, signed(chained(t.encode())), i, t) for i, t in rows}, key=lambda x: x[:3])
+    after = {(o[3], o[4]): order[(k + 1) % len(order)][4] for k, o in enumerate(order)}
+    out = []
+    for i, t in rows:
+        nxt = after[i, t]
+        k = len(t) // 4
+        edited = t[: len(t) - k] + nxt[:k]
+        own, ed = vector_by_hand(t), vector_by_hand(edited)
+        out.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), own, ed, likeness_by_hand(own, ed), likeness_by_hand(own, vector_by_hand(nxt))))
+    return out
+
+
+def as_rows(found):
+    listed = found.select("doc_id", "n_chars", F.sha2("edited", 256), "vector", "edited_vector", "near_edited", "near_next").collect()
+    return [tuple(list(x) if isinstance(x, list) else x for x in r) for r in listed]
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1:4]))
+
+
+def test_as_by_hand(documents):
+    pick = random.Random(1)
+    rows = []
+    for i in range(60):
+        lines = [" ".join(pick.choice(["ü", "ab", "cde", "f", "Gh"]) + str(pick.randrange(30)) for _ in range(pick.randrange(0, 30))) for _ in range(pick.randrange(1, 6))]
+        rows.append((pick.randrange(10**12), "\n".join(lines)))
+    rows += [(5, None), (6, ""), (7, "a"), (8, "\n\n"), (9, "𝄞𝄞𝄞é" * 5), (None, "Nobody knows\nwho"), (None, None)]
+    rows += [(11, "same id"), (11, "other text of the same id"), (12, "twice the same row\n"), (12, "twice the same row\n"), (13, "long " * 40_000), (14, "x" * 100_000)]
+    found, wanted = ordered(as_rows(fp.fingerprints(documents(*rows)))), ordered(by_hand(rows))
+    assert [r[:5] for r in found] == [r[:5] for r in wanted]
+    assert all(r[5:] == pytest.approx(w[5:]) for r, w in zip(found, wanted))
+
+
+def test_one_document_follows_itself_and_no_document_gives_no_row(spark, documents):
+    (one,) = as_rows(fp.fingerprints(documents((3, "all alone here"))))
+    assert one == by_hand([(3, "all alone here")])[0]
+    assert fp.fingerprints(documents().limit(0)).collect() == []
+
+
+def test_clashing_names(spark):
+    names = "doc_id long, text string, key int, asker int, head int, vector int, edited int, part int, next int, version int"
+    clash = spark.createDataFrame([(1, "a b c", *range(8)), (2, "d e f", *range(8))], names)
+    assert ordered(as_rows(fp.fingerprints(clash))) == ordered(by_hand([(1, "a b c"), (2, "d e f")]))
+
+
+def test_paragraphs_add_up_whatever_their_order(spark):
+    one = spark.range(1).select(
+        fp.vector(F.array(F.lit("x y z"), F.lit("b"), F.lit("c"))).alias("all"),
+        fp.vector(F.array(F.lit("c"), F.lit("x y z"))).alias("some"),
+        fp.vector(F.array(F.lit("b"))).alias("b"),
+        fp.vector(F.array(F.lit("b"), F.lit("b"))).alias("bb"),
+        fp.vector(F.array().cast("array<string>")).alias("none"),
+    )
+    added, removed, twice, b, none = one.select(fp.added(F.col("some"), F.col("b")) == F.col("all"), fp.removed(F.col("all"), F.col("b")) == F.col("some"), "bb", "b", "none").first()
+    assert added and removed
+    assert twice == [2 * x % fp.MODULUS for x in b] and none == [0] * fp.LANES
+
+
+def test_likeness_follows_what_texts_share(documents):
+    pick = random.Random(2)
+    texts = [" ".join(f"w{pick.randrange(5000)}" for _ in range(pick.randrange(40, 400))) for _ in range(200)]
+    found = as_rows(fp.fingerprints(documents(*enumerate(texts))))
+    edited, other = [r[5] for r in found], [r[6] for r in found]
+    assert 0.65 < sum(edited) / 200 < 0.85 and min(edited) > 0.4
+    assert sum(other) / 200 < 0.1 and all(e > o for e, o in zip(edited, other))
+
+
+def test_fingerprints_of_repeated_rows_as_text(spark):
+    lanes = spark.range(1).select(fp.shown(F.array(F.lit(1).cast("long"), F.lit((1 << 32) - 1)))).first()[0]
+    assert lanes == "00000001ffffffff"
