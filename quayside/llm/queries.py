@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, fingerprints, langid, licenses, lines, mixing, mtree, quality, scoring, simhash, tokens
+from quayside.llm import decontaminate, fingerprints, langid, lexical, licenses, lines, mixing, mtree, quality, scoring, simhash, tokens
 from quayside.llm.shared import reachable, small_enough, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,23 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprints.fingerprints(table(spark, sf_dir, "documents"))
     prints = [fingerprints.shown(F.col(c)).alias(name) for c, name in (("vector", "fingerprint"), ("edited_vector", "edited_fingerprint"))]
     return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *prints, "near_edited", "near_next")
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 highest-scoring documents for each benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+ORACLES["op12_lexical_search"] = f"""
+WITH texts AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+sums AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM texts WHERE len(w) > 0),
+held AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM texts),
+times AS (SELECT doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM held GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM times, sums GROUP BY term),
+asked AS (SELECT DISTINCT item_id, unnest({_WORDS}) AS term FROM benchmark),
+scores AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+             FROM asked JOIN times USING (term) JOIN weights USING (term), sums GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
