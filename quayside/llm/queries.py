@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, fingerprints, langid, lexical, licenses, lines, mixing, mtree, quality, scoring, simhash, tokens
+from quayside.llm import alignment, decontaminate, fingerprints, langid, lexical, licenses, lines, mixing, mtree, quality, scoring, simhash, tokens
 from quayside.llm.shared import reachable, small_enough, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +175,9 @@ scores AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf
 ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
 """
+
+
+@query
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers that end together, with counts over the corpus."""
+    return alignment.align(table(spark, sf_dir, "documents"))

@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+from pathlib import Path
+
+import pytest
+import sentencepiece
+import tokenizers
+
+from quayside.llm import alignment
+
+ODD = ["", " ", "  ", "a ", " a", "a  b", "a \n b", "\n", "tail \n", "tail  ", "x  y", "  z", "<|endoftext|> <s></s><unk> ▁", "plain ▁ sign", "nul\x00 byte", "é𝄞 ﬁ Ⅷ ½", "a\x1c b", "a\x85 b", "don't I'll we've  'tis", "12 345,67", "日本語 テキスト", "​​ x", "a\tb \t c", "￼ ", "x\r\n y"]
+
+
+def whole(text, a, b):
+    """Groups and links of a whole text, straight from the definition; None if it has no tokens."""
+    if not text:
+        return None
+    letters = alignment.byte_letters()
+    first = a.encode(" " + text, add_special_tokens=False)
+    second = b.encode(text)
+    first_bytes = [bytes(letters[c] for c in t) for t in first.tokens]
+    second_bytes = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in zip(second, map(b.id_to_piece, second))]
+    data = (" " + text).encode()
+    if b"".join(first_bytes) != data or b"".join(second_bytes) != data:
+        return None
+    ends = [[sum(map(len, side[: i + 1])) for i in range(len(side))] for side in (first_bytes, second_bytes)]
+    both = sorted(set(ends[0]) & set(ends[1]))
+    groups, since = [], 0
+    for end in both:
+        groups.append(tuple([i for i, e in zip(ids, side) if since < e <= end] for ids, side in ((first.ids, ends[0]), (second, ends[1]))))
+        since = end
+    return groups, [(a_id, b_id) for a_id, x in zip(first.ids, ends[0]) for b_id, y in zip(second, ends[1]) if x == y]
+
+
+def by_hand(rows):
+    a = tokenizers.Tokenizer.from_file(alignment.FIRST)
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=alignment.SECOND)
+    found = [whole(text, a, b) for _, text in rows]
+    counts = Counter(link for f in found if f for link in f[1])
+    best = Counter()
+    for (_, second), n in counts.items():
+        best[second] = max(best[second], n)
+    out = []
+    for (doc, _), f in zip(rows, found):
+        if f is None:
+            out.append((doc, 0, 0, 0, 0, 0, 0, ""))
+            continue
+        groups, links = f
+        shown = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        numbers = [sum(len(g[0]) for g in groups), sum(len(g[1]) for g in groups), len(groups), len(links), sum(counts[p] == best[p[1]] for p in links), sum(counts[p] for p in links)]
+        out.append((doc, *numbers, hashlib.sha256(shown.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def rows_of(found):
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+def test_pieces_are_encoded_as_in_the_whole_text():
+    a = tokenizers.Tokenizer.from_file(alignment.FIRST)
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=alignment.SECOND)
+    own = alignment.Encoders(Path(alignment.FIRST).read_bytes(), Path(alignment.SECOND).read_bytes())
+    assert own.in_pieces
+    pick = random.Random(5)
+    signs = [" ", " ", "  ", "\n", "\t", " ", " ", "\x1f", "\x85", "a", "the", "Ünder", "é", "0", "12", "'s", "'", "!", "...", "▁", "<s>", "日", "𝄞", "́", "﻿", "᠎"]
+    texts = ODD[1:] + ["".join(pick.choice(signs) for _ in range(pick.randrange(1, 14))) for _ in range(3000)]
+    for text in texts:
+        found, wanted = own.aligned(own.pieces(text)), whole(text, a, b)
+        if None in found:
+            assert wanted is None, text
+            continue
+        assert wanted is not None, text
+        shown = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in wanted[0])
+        assert ";".join(f[3] for f in found) == shown, text
+        assert Counter(p for f in found for p in f[4]) == Counter(alignment.pair_of(*p) for p in wanted[1]), text
+
+
+@pytest.mark.parametrize("run, fan_in, at_once", [(2_000_000, 64, 1 << 20), (150, 3, 200)])
+def test_as_by_hand(spark, documents, monkeypatch, run, fan_in, at_once):
+    pick = random.Random(6)
+    rows = [(i, " ".join(pick.choice(["the", "of", "thing", "Ünder", "zzyzx", "running", "12.5%", "can't", "x\ny"]) + pick.choice(["", "", "s", "!", "qu"]) for _ in range(pick.randrange(1, 60)))) for i in range(80)]
+    rows += [(100 + i, text) for i, text in enumerate(ODD)] + [(200, None), (None, "nobody knows"), (7, rows[3][1]), (7, rows[3][1])]
+    rows += [(300, "the same " * 5_000), (301, "x" * 20_000), (302, "the hot word")] + [(400 + i, "hot hot hot hot") for i in range(60)]
+    small = documents(*rows).repartition(3)
+    monkeypatch.setattr(alignment, "FAN_IN", fan_in)
+    monkeypatch.setattr(alignment, "RUN", run)
+    monkeypatch.setattr(alignment, "AT_ONCE", at_once)
+    assert rows_of(alignment.align(small)) == by_hand(rows)
+    if run == 150:
+        read = [Path(p).read_bytes() for p in (alignment.FIRST, alignment.SECOND)]
+        assert alignment.encoded(small.select("doc_id", "text"), *read).select("run").distinct().count() > 3 * fan_in
+
+
+def test_no_tokens_empty_tables_and_clashing_names(spark, documents):
+    assert alignment.align(documents().limit(0)).collect() == []
+    assert rows_of(alignment.align(documents((1, None), (2, "")))) == by_hand([(1, None), (2, "")])
+    names = "doc_id string, text string, run int, at int, payload int, kind int, radix int, row int, part int"
+    clash = spark.createDataFrame([("p", "some words here", *range(7)), ("q", "some words", *range(7))], names)
+    assert rows_of(alignment.align(clash)) == by_hand([("p", "some words here"), ("q", "some words")])
+
+
+def test_runs_and_merges():
+    import numpy as np
+
+    pick = np.random.default_rng(7)
+    totals, blocks = Counter(), {}
+    for _ in range(5):
+        pairs = np.array([alignment.pair_of(int(x), int(y)) for x, y in zip(pick.integers(0, 9, 500), pick.integers(0, 200, 500))])
+        totals.update(pairs.tolist())
+        for radix, sums, records in alignment.sorted_run(pairs, np.sort(pick.integers(0, 20, 500))):
+            blocks.setdefault(radix, []).append(sums)
+            own, lengths, steps, times = alignment.unpacked(records)
+            assert times.sum() == alignment.unpacked(sums)[1].sum() and lengths.sum() == len(steps)
+    for own in blocks.values():
+        pairs, sums = alignment.merged(own)
+        assert {p: totals[p] for p in pairs.tolist()} == dict(zip(pairs.tolist(), sums.tolist())) and (np.diff(pairs) > 0).all()
+        best = alignment.highest(pairs, sums)
+        for p, n, b in zip(pairs.tolist(), sums.tolist(), best.tolist()):
+            same = [m for q, m in totals.items() if q >> alignment.ID_BITS == p >> alignment.ID_BITS]
+            assert b == (n == max(same))
