@@ -13,7 +13,6 @@ import heapq
 import json
 import os
 import re
-from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -66,8 +65,9 @@ class Encoders:
         self.second = SentencePieceProcessor(model_proto=second)
         pieces = [self.second.id_to_piece(i) for i in range(self.second.get_piece_size())]
         self.second_bytes = [bytes([int(p[3:5], 16)]) if self.second.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
-        if max(len(self.first_bytes), len(pieces)) > 1 << ID_BITS:
-            raise ValueError(f"ids of {ID_BITS} bits at most")
+        if max(len(self.first_bytes), len(pieces)) > 1 << ID_BITS or not all(self.first_bytes) or not all(self.second_bytes):
+            raise ValueError(f"ids of {ID_BITS} bits at most, and tokens of a byte at least")
+        self.first_sizes, self.second_sizes = list(map(len, self.first_bytes)), list(map(len, self.second_bytes))
         set_up = json.loads(first)
         before = set_up["pre_tokenizer"] or {}
         by_words = set_up["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
@@ -85,27 +85,45 @@ class Encoders:
 
     def aligned(self, pieces: list[str]) -> list[tuple | None]:
         """For each piece how many tokens, groups and links it has, the groups as text, and the links; None if the bytes differ."""
-        first = [e.ids for e in self.first.encode_batch(pieces, add_special_tokens=False)]
+        first = [e.ids for e in self.first.encode_batch_fast(pieces, add_special_tokens=False)]
         second = self.second.encode([p[1:] for p in pieces], num_threads=1)
-        return [self.groups(p, a, b) for p, a, b in zip(pieces, first, second)]
-
-    def groups(self, piece: str, first: list[int], second: list[int]) -> tuple | None:
-        a, b = [self.first_bytes[i] for i in first], [self.second_bytes[i] for i in second]
-        data = piece.encode()
-        if b"".join(a) != data or b"".join(b) != data:
-            return None
-        a_ends, b_ends = (np.cumsum([len(x) for x in side]).tolist() for side in (a, b))
-        shown, links, i, j = [], [], 0, 0
-        for end in sorted(set(a_ends) & set(b_ends)):
-            i_end, j_end = bisect_right(a_ends, end, i), bisect_right(b_ends, end, j)
-            shown.append(",".join(map(str, first[i:i_end])) + "|" + ",".join(map(str, second[j:j_end])))
-            links += [pair_of(first[x], second[y]) for x in range(i, i_end) if a_ends[x] == end for y in range(j, j_end) if b_ends[y] == end]
-            i, j = i_end, j_end
-        return len(first), len(second), len(shown), ";".join(shown), tuple(links)
-
-
-def pair_of(first: int, second: int) -> int:
-    return (second % RADIXES) << 2 * ID_BITS | second << ID_BITS | first
+        if self.sound(pieces, first, self.first_bytes, self.first_sizes) and self.sound(pieces, second, self.second_bytes, self.second_sizes):
+            return self.groups(first, second)
+        if len(pieces) == 1:
+            return [None]
+        half = len(pieces) // 2  # look for the piece that differs
+        return self.aligned(pieces[:half]) + self.aligned(pieces[half:])
+
+    def sound(self, pieces: list[str], ids: list[list[int]], known: list[bytes], sizes: list[int]) -> bool:
+        """Whether the tokens' bytes are those of the pieces, all of them."""
+        lengths = [len(p) if p.isascii() else len(p.encode()) for p in pieces]
+        return lengths == [sum(map(sizes.__getitem__, own)) for own in ids] and b"".join(map(known.__getitem__, chain.from_iterable(ids))) == "".join(pieces).encode()
+
+    def groups(self, first: list[list[int]], second: list[list[int]]) -> list[tuple]:
+        """Two lists of tokens for each piece, cut where tokens of both end; as no token is empty, a group's last tokens are its link."""
+        out = []
+        first_sizes, second_sizes = self.first_sizes, self.second_sizes
+        for a, b in zip(first, second):
+            shown, links, j, j_since, i_since = [], [], 0, 0, 0
+            y = b[0]
+            ahead = -second_sizes[y]  # bytes of the first side's tokens less those of the second's, up to and with y
+            for i, x in enumerate(a, 1):
+                ahead += first_sizes[x]
+                while ahead > 0:
+                    j += 1
+                    y = b[j]
+                    ahead -= second_sizes[y]
+                if ahead == 0:
+                    links.append((y % RADIXES) << 2 * ID_BITS | y << ID_BITS | x)
+                    j += 1
+                    left = f"{x}" if i == i_since + 1 else ",".join(map(str, a[i_since:i]))
+                    shown.append(f"{left}|{y}" if j == j_since + 1 else f"{left}|{','.join(map(str, b[j_since:j]))}")
+                    i_since, j_since = i, j
+                    if j < len(b):
+                        y = b[j]
+                        ahead = -second_sizes[y]
+            out.append((len(a), len(b), len(shown), ";".join(shown), tuple(links)))
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -114,22 +132,24 @@ def encoders(first: bytes, second: bytes) -> Encoders:
 
 
 class Memory:
-    """What was found for pieces of text lately."""
+    """What was found for pieces of text lately: in the current generation or the one before, ``REMEMBERED`` pieces each."""
 
     def __init__(self, own: Encoders):
-        self.own, self.known = own, {}
+        self.own, self.known, self.older = own, {}, {}
 
     def look_up(self, texts: list[str]) -> list[list[tuple | None]]:
         pieces = [self.own.pieces(text) for text in texts]
-        known = self.known
-        new = list({p for own in pieces for p in own if p not in known})
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = {p for own in pieces for p in own if p not in known}
+        known.update((p, older[p]) for p in new & older.keys())
+        new = [p for p in new if p not in older]
         known.update(zip(new, self.own.aligned(new)) if new else ())
         found = [list(map(known.__getitem__, own)) for own in pieces]
         for p in new:
             if len(p) > LONGEST:
                 del known[p]
-        if len(known) > REMEMBERED:
-            known.clear()
         return found
 
 
