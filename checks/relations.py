@@ -323,11 +323,11 @@ def join_star9(tables):
 
 @check(
     "agg_sum_group",
-    """SELECT code, sku_id, from_loc_id, CAST(sum(update_qty) AS DOUBLE) AS quantity
-         FROM inventory_transaction_archive GROUP BY code, sku_id, from_loc_id""",
+    f"""SELECT code, sku_id, from_loc_id, CAST(sum(update_qty) AS DOUBLE) AS quantity
+         FROM {HISTORY} GROUP BY code, sku_id, from_loc_id""",
 )
 def agg_sum_group(tables):
-    moves = tables["inventory_transaction_archive"].groupBy("code", "sku_id", "from_loc_id")
+    moves = history(tables).groupBy("code", "sku_id", "from_loc_id")
     return moves.agg(F.sum("update_qty").alias("quantity"))
 
 
@@ -378,10 +378,10 @@ def agg_join_then_sum(tables):
 
 @check(
     "distinct_rows",
-    "SELECT DISTINCT sku_id, supplier_id, condition_id FROM inventory_transaction_archive",
+    f"SELECT DISTINCT sku_id, supplier_id, condition_id FROM {HISTORY}",
 )
 def distinct_rows(tables):
-    return tables["inventory_transaction_archive"].select("sku_id", "supplier_id", "condition_id").distinct()
+    return history(tables).select("sku_id", "supplier_id", "condition_id").distinct()
 
 
 @check(

@@ -8,7 +8,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,22 +29,39 @@ def read_back(spark: SparkSession, path: str, sep: str, like: DataFrame) -> Data
     return spark.read.schema(like.schema).csv(path, header=True, sep=sep, escape='"', nullValue="")
 
 
-def _total(name: str, kind: T.DataType, day_number: str) -> str:
-    """A figure that changes with any value of a column, in SQL that both engines read."""
+def _text(name: str, kind: T.DataType) -> str:
+    """A column's value as text that both engines write alike, in DuckDB's SQL."""
+    if isinstance(kind, T.DecimalType):
+        return f"CAST(CAST({name} AS DECIMAL(18, 4)) AS VARCHAR)"
     if isinstance(kind, T.StringType):
-        return f"sum(length({name}))"
-    return f"sum({name})" if isinstance(kind, T.NumericType) else f"sum({day_number.format(name)})"
+        return name
+    return f"CAST({name} AS VARCHAR)" if isinstance(kind, T.NumericType) else f"strftime({name}, '%Y-%m-%d %H:%M:%S')"
 
 
+def _row_sql(schema: T.StructType) -> str:
+    return " || '|' || ".join(f"coalesce('=' || {_text(field.name, field.dataType)}, '-')" for field in schema)
+
+
+# A row's digest changes with any value in it and with values that change places; their sum does not depend on order.
 SCAN_SQL = "\nUNION ALL\n".join(
-    f"SELECT '{table}' AS name, '{field.name}' AS field, count({field.name}) AS filled, "
-    f"CAST({_total(field.name, field.dataType, 'year({0}) * 10000 + month({0}) * 100 + day({0}) + hour({0})')} AS DOUBLE) AS total "
-    f"FROM {table}"
+    f"SELECT '{table}' AS name, count(*) AS n_rows, CAST(sum(CAST('0x' || substr(md5({_row_sql(schema)}), 1, 8) AS BIGINT)) AS BIGINT) AS digest FROM {table}"
     for table, schema in SCHEMAS.items()
-    for field in schema
 )
 
 
+def row_digest(schema: T.StructType) -> Column:
+    """The digest of a row, as in ``SCAN_SQL``."""
+    parts = []
+    for field in schema:
+        value = F.col(field.name)
+        if isinstance(field.dataType, T.DecimalType):
+            value = value.cast("decimal(18, 4)")
+        elif not isinstance(field.dataType, (T.StringType, T.NumericType)):
+            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+        parts.append(F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit("-")))
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8), 16, 10).cast("long")
+
+
 @check("scan_table", SCAN_SQL)
 def scan_table(tables):
     root = scratch(tables.spark, "tables")
@@ -52,15 +69,8 @@ def scan_table(tables):
     found = []
     for name, schema in SCHEMAS.items():
         tables[name].write.parquet(f"{root}/{name}")
-        totals = []
-        for field in schema:
-            c = F.col(field.name)
-            if isinstance(field.dataType, T.StringType):
-                c = F.length(c)
-            elif not isinstance(field.dataType, T.NumericType):
-                c = F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c) + F.hour(c)
-            totals.append(F.struct(F.lit(field.name).alias("field"), F.count(field.name).alias("filled"), F.sum(c).cast("double").alias("total")))
-        found.append(stored[name].agg(F.array(*totals).alias("fields")).select(F.lit(name).alias("name"), F.inline("fields")))
+        sums = [F.count("*").alias("n_rows"), F.sum(row_digest(schema)).alias("digest")]
+        found.append(stored[name].agg(*sums).select(F.lit(name).alias("name"), "n_rows", "digest"))
     return reduce(DataFrame.unionAll, found)
 
 
@@ -75,7 +85,10 @@ def scan_table(tables):
 def scan_live_archive(tables):
     root = scratch(tables.spark, "history")
     tables["inventory_transaction"].write.parquet(f"{root}/inventory_transaction")
-    write_by_month(tables["inventory_transaction_archive"], f"{root}/inventory_transaction_archive")
+    archive = tables["inventory_transaction_archive"]
+    old = F.col("dstamp") < F.lit(date(1998, 1, 1))
+    write_by_month(archive.where(old), f"{root}/inventory_transaction_archive")
+    write_by_month(archive.where(~old), f"{root}/inventory_transaction_archive")  # later months are added
     stored = ParquetTables(tables.spark, root)
     live, archive = (
         since(stored[name], SINCE).select(

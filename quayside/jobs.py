@@ -8,8 +8,9 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
+from quayside.files import Change, publish_all
 from quayside.plans import REPORTS
-from quayside.sinks import write_snapshot
+from quayside.sinks import stage_snapshot
 
 # Field separators of the reports.
 SEPARATORS = {
@@ -26,12 +27,24 @@ SEPARATORS = {
 def run(
     tables: Mapping[str, DataFrame], arguments: Mapping[str, Mapping[str, Any]], out: str, compact: bool = False
 ) -> None:
-    """Write each report named in ``arguments`` to ``<out>/<report>``, in that order."""
+    """Write each report named in ``arguments`` to ``<out>/<report>``: all of them, or none if one fails.
+
+    All reports are worked out and written aside before the first is published, so that the snapshots
+    are of one run; a failure, also one while publishing, leaves every old snapshot as it is.
+    """
     unknown = set(arguments) - set(REPORTS)
     if unknown:
         raise ValueError(f"no such report: {', '.join(sorted(unknown))}")
-    for name, values in arguments.items():
-        write_snapshot(REPORTS[name](tables, **values), f"{out.rstrip('/')}/{name}", SEPARATORS[name], compact=compact)
+    staged: list[Change] = []
+    try:
+        for name, values in arguments.items():
+            rows = REPORTS[name](tables, **values)
+            staged.append(stage_snapshot(rows, f"{out.rstrip('/')}/{name}", SEPARATORS[name], compact=compact))
+    except BaseException:
+        for change in staged:
+            change.discard()
+        raise
+    publish_all(staged)
 
 
 def read_arguments(settings: Mapping[str, Mapping[str, Any]]) -> dict[str, dict[str, Any]]:

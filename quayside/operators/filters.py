@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quayside.functions import yymm
 
 MONTH_FOLDER = "yymm"
+DAY = "stamp_day"
 
 
 def scope(rows: DataFrame, **owner: str) -> DataFrame:
@@ -23,11 +24,14 @@ def scope(rows: DataFrame, **owner: str) -> DataFrame:
 def since(rows: DataFrame, start: date | Column, stamp: str = "dstamp") -> DataFrame:
     """Rows stamped at or after ``start``.
 
-    If the table lies in month folders, whole folders before ``start`` are left out as well.
+    If the table lies in month folders, whole folders before ``start`` are left out as well, and within the first month
+    row groups of earlier days. Files written without a day column have NULL there and are read whole.
     """
     start = start if isinstance(start, Column) else F.lit(start)
     if MONTH_FOLDER in rows.columns:
         rows = rows.filter(F.col(MONTH_FOLDER) >= yymm(start))
+    if DAY in rows.columns:
+        rows = rows.filter(F.col(DAY).isNull() | (F.col(DAY) >= F.to_date(start)))
     return rows.filter(F.col(stamp) >= start)
 
 

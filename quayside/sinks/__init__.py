@@ -1,5 +1,5 @@
 """Report output."""
 
-from quayside.sinks.csv import plain_text, snapshot_folder, write_snapshot
+from quayside.sinks.csv import plain_text, snapshot_folder, stage_snapshot, write_snapshot
 
-__all__ = ["plain_text", "snapshot_folder", "write_snapshot"]
+__all__ = ["plain_text", "snapshot_folder", "stage_snapshot", "write_snapshot"]

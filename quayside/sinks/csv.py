@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.files import Change, Folder, Replacement, publish_all
 from quayside.functions import plain_decimal, plain_double
 from quayside.session import size_shuffles
 
 # Stores without folders: renaming one there copies object by object.
 OBJECT_STORES = ("s3", "s3a", "s3n", "gs", "wasb", "wasbs", "oss", "cos", "swift")
 POINTER = "current"
+MARK = "_published"
+#: Seconds after which a run that was never published counts as left behind by a lost writer.
+ABANDONED = 7 * 24 * 3600
 
 
 def plain_text(rows: DataFrame) -> DataFrame:
@@ -48,29 +52,77 @@ def write_snapshot(
     failing run leaves the last snapshot as it is and no reader sees a part of one. On file systems
     the new folder takes the old one's name. On object stores (or with ``pointer``) each run keeps
     its folder under ``path``, and the small file ``current``, written last, names the one to read;
-    see ``snapshot_folder``. The run before stays for those who still read it.
+    see ``snapshot_folder``. The run before stays for those who still read it, and so do
+    the runs of other writers that are still at work.
     """
+    publish_all([stage_snapshot(rows, path, sep, line_end, compact, pointer)])
+
+
+def stage_snapshot(
+    rows: DataFrame,
+    path: str,
+    sep: str = ";",
+    line_end: str = "\n",
+    compact: bool = False,
+    pointer: bool | None = None,
+) -> Change:
+    """Write the rows aside, as ``write_snapshot`` does first; ``publish_all`` makes them the snapshot."""
     size_shuffles(rows)
-    files = _Files(rows.sparkSession, path)
+    files = Folder(rows.sparkSession, path)
     if pointer is None:
         pointer = files.scheme in OBJECT_STORES
     run = f"run-{uuid.uuid4().hex}"
-    new = f"{path.rstrip('/')}/{run}" if pointer else files.beside(f"new-{run}")
+    new = files.child(run) if pointer else files.beside(f"new-{run}")
     try:
         _write(rows, new, sep, line_end, compact)
-    except Exception:
+    except BaseException:
         files.delete(new)
         raise
-    if pointer:
-        files.point(run)
-    else:
-        files.replace(new)
+    return _Run(files, run) if pointer else Replacement(files, files.path, new)
 
 
 def snapshot_folder(spark: SparkSession, path: str) -> str:
     """The folder with the current rows of a snapshot: ``path``, or the run that its pointer names."""
-    run = _Files(spark, path).pointed()
-    return f"{path.rstrip('/')}/{run}" if run else path
+    named = _pointed(Folder(spark, path))
+    return f"{path.rstrip('/')}/{named[0]}" if named else path
+
+
+def _pointed(files: Folder) -> list[str]:
+    """The current run and the one before, as far as there are any."""
+    return (files.read(files.child(POINTER)) or "").split()
+
+
+class _Run:
+    """A run folder that the pointer is to name.
+
+    A run that was named once is marked after that. Marked ones, which the pointer names no more, are cleaned up; one without
+    a mark belongs to a writer still at work, unless it is ``ABANDONED``.
+    """
+
+    def __init__(self, files: Folder, run: str):
+        self.files, self._run = files, run
+
+    def publish(self) -> None:
+        self._before = _pointed(self.files)
+        self.files.write(self.files.child(POINTER), "\n".join([self._run, *self._before[:1]]))
+
+    def undo(self) -> None:
+        if self._before:
+            self.files.write(self.files.child(POINTER), "\n".join(self._before))
+        else:
+            self.files.delete(self.files.child(POINTER))
+
+    def finish(self) -> None:
+        self.files.write(self.files.child(f"{self._run}/{MARK}"), "")
+        # Listed first: a run marked by now was named before, so the pointer read after it is no older.
+        runs = [child for child in self.files.children() if child.name.startswith("run-")]
+        named = _pointed(self.files)
+        for child in runs:
+            if child.name not in named and (self.files.exists(self.files.child(f"{child.name}/{MARK}")) or child.age > ABANDONED):
+                self.files.delete(self.files.child(child.name))
+
+    def discard(self) -> None:
+        self.files.delete(self.files.child(self._run))
 
 
 def _write(rows: DataFrame, path: str, sep: str, line_end: str, compact: bool) -> None:
@@ -89,51 +141,3 @@ def _write(rows: DataFrame, path: str, sep: str, line_end: str, compact: bool) -
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
-
-
-class _Files:
-    """The folder of a snapshot in whatever file system Spark reaches it through."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._at = self._path(path)
-        self._system = self._at.getFileSystem(spark._jsc.hadoopConfiguration())
-        self._spark = spark
-        self.scheme = self._system.getScheme()
-
-    def beside(self, label: str) -> str:
-        """A hidden sibling, which a reader of the parent folder passes over."""
-        name = f"_{self._at.getName()}.{label}"
-        parent = self._at.getParent()
-        return self._path(parent, name).toString() if parent else name
-
-    def delete(self, path: str) -> None:
-        self._system.delete(self._path(path), True)
-
-    def replace(self, new: str) -> None:
-        old = self._path(self.beside(f"old-{uuid.uuid4().hex}"))
-        had = self._system.exists(self._at)
-        if had and not self._system.rename(self._at, old):
-            raise OSError(f"{self._at.toString()} cannot be renamed; the new rows are in {new}")
-        if not self._system.rename(self._path(new), self._at):
-            if had:
-                self._system.rename(old, self._at)
-            raise OSError(f"{new} cannot be renamed to {self._at.toString()}")
-        if had:
-            self._system.delete(old, True)
-
-    def point(self, run: str) -> None:
-        last = self.pointed()
-        out = self._system.create(self._path(self._at, POINTER), True)
-        out.write(bytearray(run.encode()))
-        out.close()
-        for found in self._system.listStatus(self._at):
-            name = found.getPath().getName()
-            if name.startswith("run-") and name not in (run, last):
-                self._system.delete(found.getPath(), True)
-
-    def pointed(self) -> str | None:
-        at = self._path(self._at, POINTER)
-        if not self._system.exists(at):
-            return None
-        return self._spark.read.text(at.toString()).first()["value"]

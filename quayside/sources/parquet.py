@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.files import Folder, Replacement, publish_all
 from quayside.functions import yymm
-from quayside.operators.filters import MONTH_FOLDER
+from quayside.operators.filters import DAY, MONTH_FOLDER
 from quayside.sources.schemas import SCHEMAS, conform
 
 
@@ -29,7 +31,7 @@ class ParquetTables(Mapping[str, DataFrame]):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in SCHEMAS:
             raise KeyError(name)
-        rows = conform(self._spark.read.parquet(f"{self._root}/{name}"), name, keep=(MONTH_FOLDER,))
+        rows = conform(self._spark.read.parquet(f"{self._root}/{name}"), name, keep=(MONTH_FOLDER, DAY))
         return blanks_to_null(rows) if self._blank_is_null else rows
 
     def __iter__(self) -> Iterator[str]:
@@ -45,11 +47,28 @@ def blanks_to_null(rows: DataFrame) -> DataFrame:
     return rows.withColumns({name: F.nullif(F.col(name), F.lit("")) for name in texts})
 
 
-def write_by_month(rows: DataFrame, path: str, stamp: str = "dstamp") -> None:
-    """Write a history table in one folder per month, so that ``since`` skips old folders whole.
+def write_by_month(rows: DataFrame, path: str, stamp: str = "dstamp", whole: bool = False) -> None:
+    """Put the months of ``rows`` into a history table that has one folder per month, so that ``since`` skips old folders whole.
+
+    Months that ``rows`` has are replaced, the others stay untouched; with ``whole`` they go, and the table is what ``rows``
+    are. All rows are written aside first and months exchanged once that has succeeded, each by renaming: a failing write, or a failing
+    exchange, leaves the history as it was. For a moment of the exchange a reader can miss a month.
 
     The rebalance hint gathers each month into files of the advisory partition size; a month
-    too big for one task is split over several.
+    too big for one task is split over several. Within a file, rows are in the order of their day, which is a column with
+    statistics (date-times have none that Spark uses): a start inside a month skips row groups.
     """
-    dated = rows.withColumn(MONTH_FOLDER, yymm(stamp))
-    dated.hint("rebalance", MONTH_FOLDER).write.mode("overwrite").partitionBy(MONTH_FOLDER).parquet(path)
+    files = Folder(rows.sparkSession, path)
+    new = Folder(rows.sparkSession, files.beside(f"new-{uuid.uuid4().hex}"))
+    dated = rows.withColumns({MONTH_FOLDER: yymm(stamp), DAY: F.to_date(stamp)}).hint("rebalance", MONTH_FOLDER)
+    try:
+        dated.sortWithinPartitions(MONTH_FOLDER, DAY).write.partitionBy(MONTH_FOLDER).parquet(new.path)
+        months = [child.name for child in new.children() if child.name.startswith(f"{MONTH_FOLDER}=")]
+        changes = [Replacement(files, files.child(month), new.child(month)) for month in months]
+        if whole:
+            gone = (c.name for c in files.children() if c.name.startswith(f"{MONTH_FOLDER}=") and c.name not in months)
+            changes += [Replacement(files, files.child(month), None) for month in gone]
+        files.create()
+        publish_all(changes)
+    finally:
+        new.delete(new.path)
