@@ -31,7 +31,7 @@ def keep_listed(rows: DataFrame, column: str, listed: DataFrame) -> DataFrame:
 
 
 def lookup(
-    rows: DataFrame, dimension: DataFrame, on: dict[str, str], keep: Sequence[str] | None = None
+    rows: DataFrame, dimension: DataFrame, on: dict[str, str], keep: Sequence[str] | None = None, aligned: bool = False
 ) -> DataFrame:
     """Left outer join on ``{column of rows: column of dimension}``, the first column being text.
 
@@ -42,9 +42,14 @@ def lookup(
 
     ``keep`` names the columns of ``rows`` that are wanted, besides those of the key. The hash names
     every column, so all of them are read: give ``keep``, or select before.
+
+    ``aligned`` says that both sides lie together by the first key, which is never NULL: rows that lack another key
+    then stay where they are, and nothing needs a stand-in.
     """
     if keep is not None:
         rows = rows.select(*dict.fromkeys([*on, *keep]))
+    if aligned:
+        return rows.join(dimension, [F.col(key) == F.col(other) for key, other in on.items()], "left")
     slots = SLOTS_PER_CUT * current_cuts(rows.sparkSession)
     first = next(iter(on))
     complete = reduce(and_, (F.col(key).isNotNull() for key in on))

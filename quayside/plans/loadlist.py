@@ -159,7 +159,9 @@ def _with_containers(
     lists = tables["v_load_list_items"].select(F.col("pallet_id").alias("list_pallet"), "list_id")
     tares = tables["pallet_config"].select("config_id", F.col("weight").alias("tare"))
 
-    rows = lookup(moves, boxes, {"order_id": "box_order", "container_id": "box", "pallet_id": "box_pallet"})
+    # Moves have an order by now. Where tables lie by order (``BucketedTables``), boxes join without a shuffle.
+    by_order = getattr(tables, "by_order", False)
+    rows = lookup(moves, boxes, {"order_id": "box_order", "container_id": "box", "pallet_id": "box_pallet"}, aligned=by_order)
     rows = lookup(rows, trailers.distinct(), {"consignment": "trailer_consignment", "v_trailer_id": "trailer"})
     on_trailer = F.col("trailer").isNotNull()
     rows = rows.filter(F.col("container_id").isNull() | on_trailer if keep_open else on_trailer)

@@ -1,0 +1,78 @@
+"""Tables in buckets by order id: the same load list with fewer shuffles."""
+
+from __future__ import annotations
+
+import re
+from pathlib import Path
+
+import pytest
+
+from quayside import plans
+from quayside.sample import ARGUMENTS, SampleTables
+from quayside.sources import SCHEMAS, BucketedTables, ParquetTables, bucketed, write_by_order
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
+
+
+@pytest.fixture
+def both(spark, tmp_path, settings):
+    """The same tables as plain files and in buckets, with all but the bucketed ones small enough for a broadcast."""
+    settings(spark__sql__requireAllClusterKeysForCoPartition="true", spark__sql__autoBroadcastJoinThreshold="60KB")
+    settings(spark__sql__adaptive__autoBroadcastJoinThreshold="60KB")
+    sample = SampleTables(spark, FOLDER)
+    for name in SCHEMAS:
+        sample[name].write.parquet(f"{tmp_path}/{name}")
+    plain = ParquetTables(spark, str(tmp_path))
+    spark.sql(f"CREATE DATABASE by_order LOCATION '{tmp_path}/database'")
+    write_by_order(plain, "by_order", f"{tmp_path}/by_order", buckets=4)
+    yield plain, BucketedTables(spark, "by_order", plain)
+    spark.sql("DROP DATABASE by_order CASCADE")
+
+
+def outcome(rows) -> tuple[list, str]:
+    found = sorted(map(repr, rows.collect()))
+    return found, rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def shuffles(plan: str) -> int:
+    return len(re.findall(r"Exchange hashpartitioning", plan))
+
+
+@pytest.mark.parametrize("name", ["loadlist", "loadlist_container", "loadlist_open"])
+def test_the_load_list_from_buckets(both, name):
+    (rows, plan), (again, by_order) = (outcome(getattr(plans, name)(tables, **ARGUMENTS[name])) for tables in both)
+    assert rows and again == rows
+    assert shuffles(by_order) < min(8, shuffles(plan))
+    # A table read in buckets is not shuffled: of what stands above its scan, a join comes before any exchange.
+    lines = by_order.splitlines()
+    in_buckets = [i for i, line in enumerate(lines) if "Scan parquet" in line and "Bucketed: true" in line]
+    assert len(in_buckets) >= 2
+    for i in in_buckets:
+        assert "Join" in next(line for line in above(lines, i) if re.search("Join|Exchange", line)), lines[i]
+
+
+def above(lines: list[str], i: int):
+    """The lines of a plan's tree that stand above line ``i``, the nearest first."""
+    depth = lambda line: re.search(r"\w", line).start()
+    here = depth(lines[i])
+    for line in lines[:i][::-1]:
+        if depth(line) < here:
+            here = depth(line)
+            yield line
+
+
+def test_other_tables_come_from_where_they_were(both):
+    plain, by_order = both
+    assert list(by_order) == list(SCHEMAS) and len(by_order) == 16
+    for name in ("sku", "move_task"):
+        assert sorted(map(repr, by_order[name].collect())) == sorted(map(repr, plain[name].collect()))
+
+
+def test_a_hot_order_is_not_put_into_one_bucket(spark, both, tmp_path, monkeypatch):
+    plain, _ = both
+    hot = dict(plain) | {"order_line": plain["order_line"].selectExpr("'1' AS order_id", "* EXCEPT (order_id)")}
+    monkeypatch.setattr(bucketed, "MANY", 100)
+    with pytest.raises(ValueError, match="order_line: one of 64 buckets would hold 6000 of 6000 rows"):
+        write_by_order(hot, "by_order", f"{tmp_path}/again", buckets=64)
+    assert not Path(f"{tmp_path}/again").exists()
