@@ -1,8 +1,9 @@
-"""Line dedup: winnowed fingerprints of line hashes, joined by position and extended both ways.
+"""Line dedup: winnowed fingerprints of line hashes, joined by position, extended both ways word by word.
 
-A text is cut into units: its lines, and the sentences of a line, as a passage may be copied into the
-middle of one. A unit keeps the white space after it, so the units of a text put together are the text.
-DataFrame operations only.
+A text is cut into units: its lines, the sentences of a line, as a passage may be copied into the middle of one, and
+long sentences after words that a hash picks, so that text without sentence ends has units too. A unit keeps the
+white space after it, so the units of a text put together are the text. Places with equal fingerprints are candidates;
+what is deleted was compared word by word with its earlier copy. DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -17,67 +18,74 @@ from quayside.llm.shared import free, let, small_enough, stored
 
 MARK = "\x01"
 ENDS = ("\n", ". ", "! ", "? ")
+END = r"(?<=\n|[.!?] )"
+LONG = 24  # blanks of a sentence that is cut further
+ONE_IN = 8  # words of a long sentence, one of which ends a unit
+REACH = 2  # units on either side of a common run that are compared word by word
+KEY = ["doc_id", "version"]
 
 
-def marked(text: Column) -> Column:
-    """The text with ``MARK`` after each unit but the last."""
-    for end in ENDS:
-        text = F.replace(text, F.lit(end), F.lit(end + MARK))
-    return text
+def _nothing(kind: str) -> Column:
+    return F.array().cast(f"array<{kind}>")
 
 
-def units(text: Column) -> Column:
-    """The units of a text; those of ``MARK`` itself end one as well."""
-    return F.split(marked(text), MARK)
+def _upto(size: Column) -> Column:
+    """0 to ``size`` - 1."""
+    return F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(_nothing("int"))
 
 
-def count_units(text: Column) -> Column:
-    """The number of ``units``, without making them."""
-    return F.octet_length(marked(text)) - F.octet_length(F.replace(text, F.lit(MARK), F.lit(""))) + 1
+def _blanks(unit: Column) -> Column:
+    return F.octet_length(unit) - F.octet_length(F.replace(unit, F.lit(" "), F.lit("")))
 
 
-def joined(parts: Column) -> Column:
-    """The text of some of the units; what a text has of ``MARK`` itself stays."""
-    text = F.array_join(parts, MARK)
+def units(text: Column) -> Column:
+    """The units of a text."""
+    marked = text
     for end in ENDS:
-        text = F.replace(text, F.lit(end + MARK), F.lit(end))
-    return text
+        marked = F.replace(marked, F.lit(end), F.lit(end + MARK))
+    parts = F.when(F.contains(text, F.lit(MARK)), F.split(text, END)).otherwise(F.split(marked, MARK))
+    return F.flatten(F.transform(parts, lambda u: F.when((F.octet_length(u) >= 2 * LONG) & (_blanks(u) >= LONG), shorter(u)).otherwise(F.array(u))))
 
 
-def bare(unit: Column) -> Column:
-    return F.btrim(unit, F.lit(" \n"))
+def shorter(unit: Column) -> Column:
+    """A long unit cut after each word whose hash is 0 modulo ``ONE_IN``: at the same words wherever it is copied to."""
 
+    def of(words: Column) -> Column:
+        inner = F.sequence(F.lit(0), F.size(words) - 3)
+        ends = F.concat(F.filter(inner, lambda i: (words[i] != "") & (F.pmod(F.xxhash64(words[i]), F.lit(ONE_IN)) == 0)), F.array(F.size(words) - 1))
 
-def words(text: Column) -> Column:
-    """The number of words, which white space separates."""
-    text = F.trim(F.regexp_replace(text, r"\s+", " "))
-    return F.when(text == "", 0).otherwise(F.size(F.split(text, " ")))
+        def piece(end: Column, i: Column) -> Column:
+            start = F.when(i == 0, 0).otherwise(F.get(ends, i - 1) + 1)
+            joined = F.array_join(F.slice(words, start + 1, end - start + 1), " ")
+            return F.when(end < F.size(words) - 1, F.concat(joined, F.lit(" "))).otherwise(joined)
+
+        return F.transform(ends, piece)
 
+    return let(F.split(unit, " "), of)
 
-def hashes(parts: Column, long_words: int) -> Column:
-    """Per unit: ``h``, a hash of it without outer white space, and ``long``, whether it has ``long_words`` words."""
 
-    def one(unit: Column) -> Column:
-        spaces = F.octet_length(unit) - F.octet_length(F.replace(unit, F.lit(" "), F.lit("")))
-        long = (F.octet_length(unit) >= 2 * long_words - 1) & (spaces + 1 >= long_words)
-        return F.struct(F.xxhash64(bare(unit)).alias("h"), long.alias("long"))
+def bare(unit: Column) -> Column:
+    return F.btrim(unit, F.lit(" \n"))
 
-    return F.transform(parts, one)
+
+def words(text: Column) -> Column:
+    """The words of a text, which blanks and line feeds separate."""
+    return F.array_remove(F.split(F.translate(text, "\n", " "), " "), "")
 
 
 def fingerprints(docs: DataFrame, window: int, long_words: int) -> DataFrame:
-    """Selected places: ``gram``, ``doc_id``, ``version``, ``pos`` (first unit), ``size`` (units), ``before``, ``after``.
+    """Selected places: ``gram``, ``KEY``, ``pos`` (first unit), ``size`` (units), ``n`` (words, or a few more), ``left``, ``right``.
 
     A gram is two units in a row. Of each ``window`` grams in a row the one with the least hash is
     selected (all of equal ones), which depends on those grams alone: two copies of a run of
     ``window`` + 1 units have a selected gram in common. A unit of ``long_words`` words or more is
-    selected besides, as a gram of its own. ``before`` and ``after`` are hashes of the up to
-    ``window`` - 1 units on either side, nearest first: further than that a run does not reach
-    from its last selected gram.
+    selected besides, as a gram of its own. ``left`` and ``right`` are hashes of the words next to the place.
     """
 
-    def pair(parts: Column, i: Column) -> Column:
-        return F.xxhash64(parts[i]["h"], parts[i + 1]["h"])
+    def hashed(unit: Column) -> Column:
+        """A hash of what is no white space, and how many words there are at most."""
+        solid = F.replace(unit, F.lit(" "), F.lit(""))
+        return let(solid, lambda s: F.struct(F.xxhash64(F.btrim(s, F.lit("\n"))).alias("h"), (F.octet_length(unit) - F.octet_length(s) + 1).alias("n")))
 
     def minima(grams: Column) -> Column:
         """The least gram of each window; of all grams if there are fewer."""
@@ -88,72 +96,209 @@ def fingerprints(docs: DataFrame, window: int, long_words: int) -> DataFrame:
         """Whether gram ``i`` is the least of a window that holds it."""
         return reduce(or_, [F.coalesce(F.get(minima, i - k) == grams[i], F.lit(False)) for k in range(window)])
 
-    def context(parts: Column, at: Column, step: int) -> Column:
-        """Parts of the hashes of the next units, as far as there are any."""
-        near = [F.shiftright(F.get(parts, at + step * k)["h"], 32).cast("int") for k in range(window - 1)]
-        return F.array_compact(F.array(*near)) if near else F.array().cast("array<int>")
+    def of(parts: Column) -> Column:
+        return let(F.transform(parts, hashed), lambda own: selected(parts, own))
 
-    def place(parts: Column, gram: Column, i: Column, size: int) -> Column:
-        return F.struct(
-            gram.alias("gram"), i.alias("pos"), F.lit(size).alias("size"),
-            context(parts, i - 1, -1).alias("before"), context(parts, i + size, 1).alias("after"),
-        )
+    def selected(parts: Column, own: Column) -> Column:
+        def place(gram: Column, i: Column, size: int, n: Column) -> Column:
+            before = F.hash(F.substring_index(bare(F.get(parts, i - 1)), " ", -1))
+            after = F.hash(F.substring_index(bare(F.get(parts, i + size)), " ", 1))
+            return F.struct(
+                gram.alias("gram"), i.alias("pos"), F.lit(size).alias("size"), n.alias("n"),
+                F.when(i > 0, before).alias("left"), F.when(i + size < F.size(parts), after).alias("right"),
+            )
 
-    def selected(parts: Column) -> Column:
-        every = F.when(F.size(parts) > 0, F.sequence(F.lit(0), F.size(parts) - 1)).otherwise(F.array().cast("array<int>"))
-        starts = F.when(F.size(parts) > 1, F.sequence(F.lit(0), F.size(parts) - 2)).otherwise(F.array().cast("array<int>"))
         def places(grams: Column, minima: Column) -> Column:
-            return F.transform(F.filter(starts, lambda i: least(grams, minima, i)), lambda i: place(parts, grams[i], i, 2))
+            chosen = F.filter(_upto(F.size(grams)), lambda i: least(grams, minima, i))
+            return F.transform(chosen, lambda i: place(grams[i], i, 2, own[i]["n"] + own[i + 1]["n"]))
 
-        pairs = let(F.transform(starts, lambda i: pair(parts, i)), lambda grams: let(minima(grams), lambda low: places(grams, low)))
-        alone = F.transform(F.filter(every, lambda i: parts[i]["long"]), lambda i: place(parts, F.xxhash64(F.lit(1), parts[i]["h"]), i, 1))
-        return F.concat(pairs, alone)
+        pairs = F.transform(_upto(F.size(own) - 1), lambda i: F.xxhash64(own[i]["h"], own[i + 1]["h"]))
+        alone = F.filter(_upto(F.size(own)), lambda i: own[i]["n"] >= long_words)
+        alone = F.transform(alone, lambda i: place(F.xxhash64(F.lit(1), own[i]["h"]), i, 1, own[i]["n"]))
+        return F.concat(let(pairs, lambda grams: let(minima(grams), lambda low: places(grams, low))), alone)
 
-    places = F.explode(let(hashes(units(F.col("text")), long_words), selected))
-    return docs.select("doc_id", "version", places.alias("p")).select("doc_id", "version", "p.*")
+    places = F.explode(let(units(F.col("text")), of))
+    return docs.select(*KEY, places.alias("p")).select(*KEY, "p.*")
 
 
-def repeated_runs(docs: DataFrame, window: int, long_words: int) -> DataFrame:
-    """``doc_id``, ``version`` and ``runs`` (structs of first and last unit) of what occurs earlier, extended.
+def common_runs(docs: DataFrame, window: int, min_words: int, long_words: int) -> DataFrame:
+    """``KEY``, ``f_doc``, ``f_version``, ``lag``, ``lo``, ``hi``: units lo to hi - 1 look like those ``lag`` before them in a first copy.
 
-    Each selected place but the first of its gram is compared with the first: the common run goes on
-    while the units around them agree. Runs of a document that touch are one. Only the first place
-    takes part as a partner, so a hot line gives a row per place, not per pair.
+    Each selected place but the first of its gram is joined with the first. Places of one document, one first copy and one
+    lag that touch are a run; one of another copy never adds to it. Only the first place of a gram takes part as a
+    partner, so a hot line gives a row per place, not per pair. A run of under ``min_words`` words with other words around it
+    on both sides is left out, as no extension can make it longer.
     """
-    places = fingerprints(docs, window, long_words)
-    where = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "pos", "before", "after")
-    first = places.groupBy("gram").agg(F.min(where).alias("first"), F.count("*").alias("n")).where("n > 1").select("gram", "first")
+    places = stored(fingerprints(docs, window, long_words), "places")
+    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "pos", "left", "right")
+    first = places.groupBy("gram").agg(F.min(at).alias("first"), F.count("*").alias("n_places")).where("n_places > 1").select("gram", "first")
     first = stored(first, "first")  # so that the join below has two plain sides, and Spark can split a hot gram
-
-    def same(side: str) -> Column:
-        """How many of the nearest units on one side agree."""
-        mine, its = F.col(side), F.col(f"first.{side}")
-        until = F.least(F.size(mine), F.size(its))
-        off = F.filter(F.sequence(F.lit(0), F.lit(window)), lambda k: (k >= until) | (F.get(mine, k) != F.get(its, k)))
-        return off[0]
-
     found = places.join(first, "gram")
     later = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("version") == F.col("first.version")) & (F.col("pos") == F.col("first.pos")))
-    covered = F.sequence(F.col("pos") - same("before"), F.col("pos") + F.col("size") - 1 + same("after"))
-    touched = found.where(later).select("doc_id", "version", covered.alias("at"))
-    by_doc = touched.groupBy("doc_id", "version").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("at")))).alias("at"))
+    same = [F.coalesce(F.col(side) == F.col(f"first.{side}"), F.lit(False)).alias(side) for side in ("left", "right")]
+    place = F.struct(F.col("pos").alias("lo"), (F.col("pos") + F.col("size")).alias("hi"), "n", *same)
+    met = found.where(later).select(
+        *KEY, F.col("first.doc_id").alias("f_doc"), F.col("first.version").alias("f_version"), (F.col("pos") - F.col("first.pos")).alias("lag"), place.alias("p")
+    )
+    listed = met.groupBy(*KEY, "f_doc", "f_version", "lag").agg(F.array_sort(F.collect_list("p")).alias("p"))
 
-    def runs(at: Column) -> Column:
-        starts = F.filter(at, lambda p, i: (i == 0) | (F.get(at, i - 1) != p - 1))
-        ends = F.filter(at, lambda p, i: (i == F.size(at) - 1) | (F.get(at, i + 1) != p + 1))
-        return F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("first"), b.alias("last")))
+    def runs(p: Column) -> Column:
+        def end(i: Column) -> Column:
+            """Up to place ``i``; a place is two units long at most, so the one before it may reach further, no other."""
+            return F.greatest(F.get(p, i)["hi"], F.get(p, i - 1)["hi"])
+
+        def run(start: Column, j: Column, starts: Column) -> Column:
+            last = F.coalesce(F.get(starts, j + 1), F.size(p)) - 1
+            own = F.slice(p, start + 1, last - start + 1)
+            hi = F.array_max(F.transform(own, lambda x: x["hi"]))
+            n = F.aggregate(own, F.lit(0), lambda a, x: a + x["n"])
+            right = F.exists(own, lambda x: (x["hi"] == hi) & x["right"])
+            return F.struct(p[start]["lo"].alias("lo"), hi.alias("hi"), (p[start]["left"] | right | (n >= min_words)).alias("keep"))
+
+        starts = F.filter(_upto(F.size(p)), lambda i: (i == 0) | (p[i]["lo"] > end(i - 1)))
+        return let(starts, lambda s: F.transform(s, lambda start, j: run(start, j, s)))
+
+    found = listed.select(*KEY, "f_doc", "f_version", "lag", F.inline(let(F.col("p"), runs)))
+    return stored(found.where("keep").drop("keep"), "runs")
+
+
+def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``KEY`` and ``text`` of the documents that ``keys`` names, each once."""
+    wanted = small_enough(stored(keys.distinct().toDF("k_doc", "k_version"), "keys"))
+    found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["k_doc"]) & (docs["version"] == wanted["k_version"]), "left_semi")
+    return found.groupBy(*KEY).agg(F.min("text").alias("text"))
+
+
+def _equal(one: Column, other: Column) -> Column:
+    """How many of the first words of two lists agree."""
+    off = F.array_position(F.zip_with(one, other, lambda a, b: a.eqNullSafe(b)), False)
+    return F.when(off == 0, F.size(one)).otherwise(off - 1).cast("int")
+
+
+def _around(parts: Column, lo: Column, hi: Column) -> Column:
+    """The text of the units before ``lo``, and that from ``lo`` on, ``REACH`` units beyond ``hi``, as far as there are any."""
+    start = F.greatest(lo - REACH, F.lit(0))
+    before = F.array_join(F.slice(parts, start + 1, lo - start), "")
+    return F.struct(before.alias("before"), F.array_join(F.slice(parts, lo + 1, hi + REACH - lo), "").alias("on"))
+
+
+def repeated_ranges(docs: DataFrame, window: int, min_words: int, long_words: int) -> DataFrame:
+    """``KEY`` and ``ranges``: what of a document occurs earlier in ``min_words`` words or more in a row, as places of words.
+
+    A range goes from ``start`` (a unit, and a word in it) up to ``end``. The runs that look alike are compared with their
+    first copy word by word, outwards from the first unit, ``REACH`` units beyond the run; compared runs of one copy and
+    one lag are one where they touch, and those with enough words count, whatever the copy.
+    """
+    runs = common_runs(docs, window, min_words, long_words)
+    lo, hi = F.col("lo") - F.col("lag"), F.col("hi") - F.col("lag")
+    copies = _texts(docs, runs.select("f_doc", "f_version")).select(F.col("doc_id").alias("c_doc"), F.col("version").alias("c_version"), units(F.col("text")).alias("c_units"))
+    met = runs.join(copies, F.col("f_doc").eqNullSafe(F.col("c_doc")) & (F.col("f_version") == F.col("c_version")))
+    run = F.struct("f_doc", "f_version", "lag", "lo", "hi", _around(F.col("c_units"), lo, hi).alias("copy"))
+    listed = met.select(*KEY, run.alias("run")).groupBy(*KEY).agg(F.collect_list("run").alias("runs"))
+    listed = stored(listed.select(F.col("doc_id").alias("r_doc"), F.col("version").alias("r_version"), "runs"), "compared")
+    texts = _texts(docs, runs.select(*KEY)).select(*KEY, units(F.col("text")).alias("parts"))
+    found = texts.join(listed, F.col("doc_id").eqNullSafe(F.col("r_doc")) & (F.col("version") == F.col("r_version")))
 
-    return by_doc.select("doc_id", "version", let(F.col("at"), runs).alias("runs"))
+    def point(unit: Column, word: Column) -> Column:
+        return F.struct(unit.cast("int").alias("unit"), word.cast("int").alias("word"))
+
+    def compared(parts: Column, sizes: Column, run: Column) -> Column:
+        def size(i: Column) -> Column:
+            return F.when(i >= 0, F.coalesce(F.get(sizes, i), F.lit(0))).otherwise(0)
+
+        def start(left: Column) -> Column:
+            near, lo = size(run["lo"] - 1), run["lo"]
+            far = point(lo - 2, size(lo - 2) - (left - near))
+            return F.when(left == 0, point(lo, F.lit(0))).when(left <= near, point(lo - 1, near - left)).otherwise(far)
+
+        def end(right: Column) -> Column:
+            def step(at: Column, n: Column) -> Column:
+                goes_on = (at["word"] >= n) & (at["word"] > 0) & ~at["stop"]
+                return F.struct((at["unit"] + goes_on.cast("int")).alias("unit"), (at["word"] - F.when(goes_on, n).otherwise(0)).alias("word"), (~goes_on).alias("stop"))
+
+            first = F.struct(run["lo"].alias("unit"), right.alias("word"), F.lit(False).alias("stop"))
+            return F.aggregate(F.slice(sizes, run["lo"] + 1, run["hi"] + REACH - run["lo"]), first, step, lambda at: point(at["unit"], at["word"]))
+
+        own = _around(parts, run["lo"], run["hi"])
+        left = _equal(F.reverse(words(own["before"])), F.reverse(words(run["copy"]["before"])))
+        both = F.struct(left.alias("left"), _equal(words(own["on"]), words(run["copy"]["on"])).alias("right"))
+        copy = F.struct(run["f_doc"].alias("f_doc"), run["f_version"].alias("f_version"), run["lag"].alias("lag"))
+        return let(both, lambda n: F.struct(copy.alias("copy"), start(n["left"]).alias("start"), end(n["right"]).alias("end")))
+
+    def united(ranges: Column, alike) -> Column:
+        """Sorted ranges with those that touch, and are ``alike``, put together."""
+
+        def add(done: Column, new: Column) -> Column:
+            last = F.element_at(done, -1)
+            longer = F.struct(last["copy"].alias("copy"), last["start"].alias("start"), F.greatest(last["end"], new["end"]).alias("end"))
+            touch = (F.size(done) > 0) & alike(last, new) & (new["start"] <= last["end"])
+            return F.when(touch, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(new)))
+
+        return F.aggregate(F.slice(ranges, 2, F.size(ranges)), F.slice(ranges, 1, 1), add)
+
+    def count(sizes: Column, r: Column) -> Column:
+        whole = F.aggregate(F.slice(sizes, r["start"]["unit"] + 1, r["end"]["unit"] - r["start"]["unit"]), F.lit(0), lambda a, n: a + n)
+        return whole - r["start"]["word"] + r["end"]["word"]
+
+    def ranges(parts: Column, sizes: Column, runs: Column) -> Column:
+        own = F.array_sort(F.transform(runs, lambda run: compared(parts, sizes, run)))
+        one = united(own, lambda a, b: a["copy"] == b["copy"])
+        enough = F.filter(one, lambda r: count(sizes, r) >= min_words)
+        plain = F.array_sort(F.transform(enough, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"))))
+        plain = F.transform(plain, lambda r: F.struct(F.lit(0).alias("copy"), r["start"].alias("start"), r["end"].alias("end")))
+        done = united(plain, lambda a, b: F.lit(True))
+        return F.transform(done, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), count(sizes, r).alias("n_words")))
+
+    sized = let(F.col("parts"), lambda parts: let(F.transform(parts, lambda u: F.size(words(u))), lambda sizes: ranges(parts, sizes, F.col("runs"))))
+    return found.select(*KEY, sized.alias("ranges")).where(F.size("ranges") > 0)
+
+
+def _tokens(unit: Column) -> Column:
+    """Words with the white space after them; the first also has what stands before it."""
+    return F.split(unit, r"(?<=\S[ \n]{1,9})(?=[^ \n])|(?<=[ \n]{10})(?=[^ \n])")
+
+
+def edited(parts: Column, ranges: Column) -> Column:
+    """``text`` without the ranges, and the texts of the ``deleted`` ones."""
+
+    def head(at: Column) -> Column:
+        """A unit's text up to a word; nothing if there is no such unit."""
+        unit = F.coalesce(F.get(parts, at["unit"]), F.lit(""))
+        return F.when(at["word"] == 0, F.lit("")).otherwise(F.array_join(F.slice(_tokens(unit), 1, at["word"]), ""))
+
+    def tail(at: Column) -> Column:
+        unit = F.coalesce(F.get(parts, at["unit"]), F.lit(""))
+        return F.when(at["word"] == 0, unit).otherwise(let(_tokens(unit), lambda t: F.array_join(F.slice(t, at["word"] + 1, F.size(t)), "")))
+
+    def between(a: Column, b: Column) -> Column:
+        """The text from one place to another."""
+        within = let(_tokens(F.get(parts, a["unit"])), lambda t: F.array_join(F.slice(t, a["word"] + 1, b["word"] - a["word"]), ""))
+        inner = F.array_join(F.slice(parts, a["unit"] + 2, F.greatest(b["unit"] - a["unit"] - 1, F.lit(0))), "")
+        return F.when(a["unit"] == b["unit"], within).otherwise(F.concat(tail(a), inner, head(b)))
+
+    def place(unit: Column) -> Column:
+        return F.struct(unit.alias("unit"), F.lit(0).alias("word"))
+
+    def gap(i: Column) -> Column:
+        """What is left before range ``i``, or after the last one."""
+        start = F.when(i == 0, place(F.lit(0))).otherwise(F.get(ranges, i - 1)["end"])
+        return between(start, F.coalesce(F.get(ranges, i)["start"], place(F.size(parts))))
+
+    left = F.transform(F.sequence(F.lit(0), F.size(ranges)), gap)
+    return F.struct(F.array_join(left, "").alias("text"), F.transform(ranges, lambda r: between(r["start"], r["end"])).alias("deleted"))
 
 
 def dedup_lines(docs: DataFrame, window: int = 2, min_words: int = 25, long_words: int = 16, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with later repeated runs deleted from ``text``, and ``n_units``, ``n_deleted`` (units), ``deleted`` (texts).
+    """``docs`` with later repeated runs deleted from ``text``, and ``n_deleted`` (words) and ``deleted`` (texts, in order).
+
+    A run is a sequence of words, which blanks and line feeds separate, that occurs in the same order at an earlier place,
+    whatever the white space; "earlier" goes by id, then by place in the text, so the first copy stays, also within one
+    document. Runs of fewer than ``min_words`` words stay as they are: a common header is no repeated passage. Ranges of several
+    copies that overlap are deleted together, but each is long enough for itself.
 
-    A run is a sequence of units; "later" goes by id, then by place in the text, so the first copy
-    stays, also within one document. Runs of fewer than ``min_words`` words stay as they are: a common
-    header is no repeated passage. A copy of ``window`` + 1 units or more, or with a unit of ``long_words``
-    words, is sure to be found around its earliest copy; where a part of a run has an earlier copy in
-    other surroundings, that part is compared there. The edges of a run that are no whole unit stay.
+    A copy with ``window`` + 1 whole units in it, or with a unit of ``long_words`` words, is sure to be found at the earliest place
+    of one of these, and goes there from its first word to its last, up to ``REACH`` units beyond the units found. Where a part
+    of a run has an earlier copy elsewhere, that part is compared there.
 
     Documents are never dropped: a document that is a copy throughout ends with an empty text. A NULL or
     empty text stays, without deletions. NULL ids come last in order. Repeated rows (the same id and text)
@@ -161,32 +306,16 @@ def dedup_lines(docs: DataFrame, window: int = 2, min_words: int = 25, long_word
     hash of the text. An empty table gives no rows. Other columns stay; those named as the result's are replaced.
     """
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).withColumn("version", F.hash("text"))
-    runs = repeated_runs(rows.where("text IS NOT NULL"), window, long_words)
-    _id, _version, _runs = free(docs, "id"), free(docs, "version"), free(docs, "runs")
-    runs = small_enough(stored(runs.toDF(_id, _version, _runs), "runs"), _runs)
+    found = repeated_ranges(rows.where("text IS NOT NULL"), window, min_words, long_words)
+    _id, _version, _ranges = free(docs, "id"), free(docs, "version"), free(docs, "ranges")
+    found = small_enough(stored(found.toDF(_id, _version, _ranges), "ranges"), _ranges, _ranges, _ranges, _ranges, _ranges)
     keyed = docs.withColumns({_version: F.hash(text)})
-    found = keyed.join(runs, keyed[id].eqNullSafe(runs[_id]) & (keyed[_version] == runs[_version]), "left")
-    found = found.select(*[keyed[f"`{c}`"] for c in docs.columns], runs[_runs])
-
-    def edited(parts: Column, runs: Column) -> Column:
-        def of(run: Column) -> Column:
-            return F.slice(parts, run["first"] + 1, run["last"] - run["first"] + 1)
-
-        def outcome(gone: Column) -> Column:
-            deleted = F.flatten(F.transform(gone, lambda run: F.sequence(run["first"], run["last"])))
-            left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), deleted)
-            return F.struct(
-                joined(F.transform(left, lambda i: parts[i])).alias("text"),
-                F.size(deleted).alias("n_deleted"),
-                F.transform(gone, lambda run: joined(of(run))).alias("deleted"),
-            )
-
-        return let(F.filter(runs, lambda run: words(joined(of(run))) >= min_words), outcome)
+    both = keyed.join(found, keyed[id].eqNullSafe(found[_id]) & (keyed[_version] == found[_version]), "left")
+    both = both.select(*[keyed[f"`{c}`"] for c in docs.columns], found[_ranges])
 
     _edit = free(docs, "edit")
-    untouched = F.struct(F.col(text).alias("text"), F.lit(0).alias("n_deleted"), F.array().cast("array<string>").alias("deleted"))
-    edit = F.when(F.col(_runs).isNull(), untouched).otherwise(let(units(F.col(text)), lambda parts: edited(parts, F.col(_runs))))
-    units_of = F.when(F.col(text).isNull() | (F.col(text) == ""), 0).otherwise(count_units(F.col(text)))
-    out = found.withColumns({_edit: edit, "n_units": units_of})
-    out = out.withColumns({"n_deleted": F.col(_edit)["n_deleted"], "deleted": F.col(_edit)["deleted"], text: F.when(F.col(_edit)["n_deleted"] > 0, F.col(_edit)["text"]).otherwise(F.col(text))})
-    return out.drop(_runs, _edit)
+    untouched = F.struct(F.col(text).alias("text"), _nothing("string").alias("deleted"))
+    edit = F.when(F.col(_ranges).isNull(), untouched).otherwise(let(units(F.col(text)), lambda parts: edited(parts, F.col(_ranges))))
+    deleted = F.aggregate(_ranges, F.lit(0), lambda a, r: a + r["n_words"])
+    out = both.withColumn(_edit, edit).withColumns({"n_deleted": F.coalesce(deleted, F.lit(0)), "deleted": F.col(_edit)["deleted"], text: F.col(_edit)["text"]})
+    return out.drop(_ranges, _edit)

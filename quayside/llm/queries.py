@@ -31,7 +31,7 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts without later repeated runs of 25 words or more, as digests."""
     edited = lines.dedup_lines(table(spark, sf_dir, "documents"))
-    return edited.select("doc_id", "n_units", "n_deleted", F.size("deleted").alias("n_runs"), F.sha2("text", 256).alias("text_sha256"))
+    return edited.select("doc_id", "n_deleted", F.size("deleted").alias("n_runs"), F.sha2("text", 256).alias("text_sha256"))
 
 
 @query

@@ -1,89 +1,133 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
-import xxhash
+from pyspark.sql import functions as F
 
 from quayside.llm import lines
 
 
-def prose(number: int, words: int = 60) -> str:
+def prose(number: int, words: int = 60, every: int = 8) -> str:
     """Different words for each number, in sentences of eight."""
     listed = [f"w{number}x{i}" for i in range(words)]
-    return " ".join(word + ("." if i % 8 == 7 else "") for i, word in enumerate(listed)) + "."
-
-
-def cut(text):
-    out, start = [], 0
-    for i, c in enumerate(text):
-        if c == "\n" or (c == " " and i and text[i - 1] in ".!?"):
-            out.append(text[start : i + 1])
-            start = i + 1
-    return [*out, text[start:]]
-
-
-def by_hand(rows, window, least, long):
-    """Plain reading of the definition over (doc_id, text) rows with different ids."""
-    docs = [(d, cut(t)) for d, t in sorted(rows)]
-    keys = [[u.replace("\n", " ").strip(" ") for u in units] for _, units in docs]
-    def number(key):
-        value = xxhash.xxh64_intdigest(key.encode(), 42)
-        return value - (1 << 64) if value >> 63 else value
-
-    def gram(a, b):
-        first = xxhash.xxh64_intdigest(number(a).to_bytes(8, "little", signed=True), 42)
-        value = xxhash.xxh64_intdigest(number(b).to_bytes(8, "little", signed=True), first)
-        return value - (1 << 64) if value >> 63 else value
-
-    first, out = {}, {}
-    for d, k in enumerate(keys):
-        grams = [gram(k[i], k[i + 1]) for i in range(len(k) - 1)]
-        places = []
-        for i, g in enumerate(grams):
-            starts = range(max(0, len(grams) - window) + 1)
-            if any(s <= i < s + window and min(grams[s : s + window]) == g for s in starts):
-                places.append((i, 2, g))
-        places += [(i, 1, ("alone", u)) for i, u in enumerate(k) if len(docs[d][1][i].split(" ")) >= long]
-        covered = set()
-        for i, size, g in sorted(places, key=lambda p: p[0]):
-            if g not in first:
-                first[g] = (d, i)
-                continue
-            e, j = first[g]
-            low = high = 0
-            while low < window - 1 and i - low > 0 and j - low > 0 and k[i - low - 1] == keys[e][j - low - 1]:
-                low += 1
-            while high < window - 1 and i + size + high < len(k) and j + size + high < len(keys[e]) and k[i + size + high] == keys[e][j + size + high]:
-                high += 1
-            covered |= set(range(i - low, i + size + high))
-        units, gone = docs[d][1], set()
-        for start in sorted(p for p in covered if p - 1 not in covered):
-            end = start
-            while end + 1 in covered:
-                end += 1
-            if len("".join(units[start : end + 1]).split()) >= least:
-                gone |= set(range(start, end + 1))
-        out[docs[d][0]] = ("".join(u for i, u in enumerate(units) if i not in gone), len(gone))
+    return " ".join(word + ("." if i % every == every - 1 else "") for i, word in enumerate(listed)) + "."
+
+
+def words_of(text):
+    return (text or "").replace("\n", " ").split()
+
+
+def common(rows):
+    """For each document the word places that lie in common runs, as (length of the longest run there) by place: the definition itself."""
+    docs = [(d, words_of(t)) for d, t in sorted(rows)]
+    out = {}
+    for d, (name, mine) in enumerate(docs):
+        longest = [0] * len(mine)
+        for e, (_, its) in enumerate(docs[: d + 1]):
+            before = {}
+            for j, word in enumerate(its):
+                before.setdefault(word, []).append(j)
+            length: dict[tuple[int, int], int] = {}
+            for i, word in enumerate(mine):
+                for j in before.get(word, ()):
+                    if e == d and j >= i:
+                        continue
+                    length[i, j] = length.pop((i - 1, j - 1), 0) + 1
+                    if i + 1 == len(mine) or j + 1 == len(its) or mine[i + 1] != its[j + 1] or (e == d and j + 1 >= i + 1):
+                        n = length[i, j]
+                        for k in range(i - n + 1, i + 1):
+                            longest[k] = max(longest[k], n)
+        out[name] = longest
     return out
 
 
-@pytest.mark.parametrize("window", [2, 3])
-def test_as_by_hand(documents, window):
-    pick = random.Random(window)
-    passages = [prose(i, pick.choice([30, 60, 90])) for i in range(6)] + ["one long sentence of words " * 9]
+def gone_of(before, after, deleted):
+    """Which words of a text are gone: the places of the deleted texts, in order, between which the edited text is left."""
+
+    def place(at, left, k):
+        if k == len(deleted):
+            return [] if before[at:] == after[left:] else None
+        start = before.find(deleted[k], at)
+        while start >= 0 and before[at:start] == after[left : left + start - at]:
+            more = place(start + len(deleted[k]), left + start - at, k + 1)
+            if more is not None:
+                return [start, *more]
+            start = before.find(deleted[k], start + 1)
+        return None
+
+    gone, at = [], 0
+    starts = place(0, 0, 0)
+    assert starts is not None
+    for start, part in zip(starts, deleted):
+        gone += [False] * len(words_of(before[at:start])) + [True] * len(words_of(part))
+        at = start + len(part)
+    return gone + [False] * len(words_of(before[at:]))
+
+
+def check(rows, found):
+    """Nothing goes but what lies in a run of 25 words that occurs earlier. How many words are gone."""
+    longest = common(rows)
+    edited = {r["doc_id"]: (r["text"], r["deleted"], r["n_deleted"]) for r in found.collect()}
+    removed = 0
+    for name, text in rows:
+        after, deleted, n = edited[name]
+        gone = gone_of(text, after, deleted)
+        assert n == sum(gone) == sum(len(words_of(part)) for part in deleted)
+        assert words_of(after) == [w for w, g in zip(words_of(text), gone) if not g]
+        assert all(run >= 25 for run, g in zip(longest[name], gone) if g), name
+        removed += n
+    return removed
+
+
+@pytest.mark.parametrize("parts_of_passages", [False, True])
+def test_every_long_run_goes_and_nothing_else(documents, parts_of_passages):
+    """Passages cut inside sentences. Of several that overlap, a part is compared with its own first copy, so some words may stay."""
+    pick = random.Random(3)
+    passages = [prose(i, pick.choice([30, 60, 120, 300]), [4, 8, 13, 200][i % 4]).split(" ") for i in range(8)]
+    passages = [listed[pick.randrange(8) :] for listed in passages]
     rows = []
     for i in range(40):
-        parts = [prose(1000 + i, pick.randrange(5, 50))]
+        parts = [prose(1000 + i, pick.randrange(5, 80), pick.choice([3, 8, 100]))]
         for _ in range(pick.randrange(4)):
-            parts.insert(pick.randrange(len(parts) + 1), pick.choice(passages))
+            some = pick.choice(passages)
+            if parts_of_passages:
+                some = some[pick.randrange(len(some) // 2) :][: pick.choice([20, 26, 60, 500])]
+            parts.insert(pick.randrange(len(parts) + 1), " ".join(some))
             parts.append(pick.choice(["Les.", "De la.", "Short header line"]))
-        rows.append((i, pick.choice(["\n", " ", "\n\n"]).join(parts)))
-    rows += [(90, "same line again\n" * 50), (91, "Les. De la. Les. De la. " * 30)]
-    found = {r["doc_id"]: (r["text"], r["n_deleted"]) for r in lines.dedup_lines(documents(*rows), window, 25, 12).collect()}
-    expected = by_hand(rows, window, 25, 12)
-    assert sum(n for _, n in expected.values()) > 50
-    assert found == expected
+        rows.append((i, pick.choice(["\n", " ", "\n\n", "  "]).join(parts)))
+    rows += [(90, "same line again\n" * 50), (91, "Les. De la. Les. De la. " * 30), (92, "")]
+    found = lines.dedup_lines(documents(*rows)).cache()
+    assert check(rows, found) > 1000
+    if not parts_of_passages:
+        left = Counter(word for r in found.collect() for word in words_of(r["text"]))
+        used = Counter(word for _, text in rows for word in words_of(text))
+        long = [word for listed in passages if len(listed) > 50 for word in listed]
+        assert max(used[word] for word in long) > 3 and {word for word in long if left[word] != 1} == {word for word in long if not used[word]}
+
+
+def test_pieces_from_several_places_are_no_run(documents):
+    """Six sentences that occur earlier, but only in pairs of 16 words, stay."""
+    sentences = [prose(i, 8) for i in range(6)]
+    first = "\n".join(f"{sentences[i]} {sentences[i + 1]}\n{prose(100 + i, 8)} {prose(200 + i, 8)}" for i in range(0, 6, 2))
+    rows = [(0, first), (1, " ".join(sentences))]
+    assert check(rows, lines.dedup_lines(documents(*rows))) == 0
+
+
+def test_a_copy_on_a_line_without_sentence_ends(documents):
+    shared = " ".join(f"shared{i}" for i in range(300))
+    rows = [(0, f"{prose(1, 50, 999)} {shared} {prose(2, 50, 999)}"), (1, f"other start {shared} other end")]
+    assert check(rows, lines.dedup_lines(documents(*rows))) >= 300
+    found = {r["doc_id"]: r["text"] for r in lines.dedup_lines(documents(*rows)).collect()}
+    assert found == {0: rows[0][1], 1: "other start other end"}
+
+
+def test_both_sides_of_a_changed_sentence_go(documents):
+    text = prose(1, 160)
+    rows = [(1, text), (2, text.replace("w1x75 ", "changed "))]
+    found = {r["doc_id"]: (r["text"], r["n_deleted"]) for r in lines.dedup_lines(documents(*rows)).collect()}
+    assert found == {1: (text, 0), 2: ("changed ", 159)}
 
 
 def test_passage_inside_a_line_is_found(documents):
@@ -91,8 +135,22 @@ def test_passage_inside_a_line_is_found(documents):
     rows = [(2, f"{prose(5)} {passage} {prose(6)}"), (1, f"some words before {passage}"), (3, prose(7))]
     found = {r["doc_id"]: r for r in lines.dedup_lines(documents(*rows)).collect()}
     assert found[1]["text"] == rows[1][1] and found[3]["text"] == rows[2][1]
-    assert "w1x30" not in found[2]["text"] and "w5x30" in found[2]["text"] and "w6x30" in found[2]["text"]
-    assert any("w1x30" in run for run in found[2]["deleted"])
+    assert found[2]["text"] == f"{prose(5)} {prose(6)}" and found[2]["deleted"] == [f"{passage} "]
+
+
+def test_wording_counts_not_white_space(documents):
+    passage = prose(1, 64)
+    rows = [(1, passage), (2, passage.replace(". ", ".\n")), (3, passage.replace(" ", "  "))]
+    found = lines.dedup_lines(documents(*rows)).cache()
+    assert check(rows, found) == 128 and [r["text"] for r in found.orderBy("doc_id").collect()] == [passage, "", ""]
+
+
+def test_equal_hashes_are_not_enough(documents, monkeypatch):
+    """Were all fingerprints equal, still only equal words would go."""
+    monkeypatch.setattr(lines.F, "xxhash64", lambda *columns: F.lit(7).cast("long"))
+    rows = [(1, prose(1, 80)), (2, prose(2, 80)), (3, f"{prose(3, 16)} {prose(1, 80)}")]
+    found = {r["doc_id"]: r["n_deleted"] for r in lines.dedup_lines(documents(*rows)).collect()}
+    assert found[1] == found[2] == 0
 
 
 def test_copies_nulls_repeated_rows_and_other_columns(spark):
@@ -105,6 +163,13 @@ def test_copies_nulls_repeated_rows_and_other_columns(spark):
     assert found == expected
 
 
+def test_units_put_together_are_the_text(spark):
+    texts = ["", " ", "\n\n", "a. b! c? d\n e", "a\x01b. c\x01", prose(1, 200, 999), "  " + " ".join(f"v{i}" for i in range(90)) + "  ", "x " * 60, "é𝄞. " * 40]
+    table = spark.createDataFrame([(t,) for t in texts], "text string")
+    for row in table.select("text", lines.units(F.col("text")).alias("u")).collect():
+        assert "".join(row["u"]) == row["text"]
+
+
 def test_empty_table(documents):
     assert lines.dedup_lines(documents().limit(0)).collect() == []
 
