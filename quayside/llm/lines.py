@@ -9,7 +9,7 @@ what is deleted was compared word by word with its earlier copy. DataFrame opera
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from quayside.llm.shared import free, let, small_enough, stored
 MARK = "\x01"
 ENDS = ("\n", ". ", "! ", "? ")
 END = r"(?<=\n|[.!?] )"
-LONG = 24  # blanks of a sentence that is cut further
+LONG = 32  # blanks of a sentence that is cut further
 ONE_IN = 8  # words of a long sentence, one of which ends a unit
 REACH = 2  # units on either side of a common run that are compared word by word
 KEY = ["doc_id", "version"]
@@ -52,14 +52,13 @@ def shorter(unit: Column) -> Column:
 
     def of(words: Column) -> Column:
         inner = F.sequence(F.lit(0), F.size(words) - 3)
-        ends = F.concat(F.filter(inner, lambda i: (words[i] != "") & (F.pmod(F.xxhash64(words[i]), F.lit(ONE_IN)) == 0)), F.array(F.size(words) - 1))
+        chosen = F.filter(inner, lambda i: (words[i] != "") & (F.pmod(F.xxhash64(words[i]), F.lit(ONE_IN)) == 0))
+        return let(F.concat(chosen, F.array(F.size(words) - 1)), lambda ends: F.transform(ends, lambda end, i: piece(words, ends, end, i)))
 
-        def piece(end: Column, i: Column) -> Column:
-            start = F.when(i == 0, 0).otherwise(F.get(ends, i - 1) + 1)
-            joined = F.array_join(F.slice(words, start + 1, end - start + 1), " ")
-            return F.when(end < F.size(words) - 1, F.concat(joined, F.lit(" "))).otherwise(joined)
-
-        return F.transform(ends, piece)
+    def piece(words: Column, ends: Column, end: Column, i: Column) -> Column:
+        start = F.when(i == 0, 0).otherwise(F.get(ends, i - 1) + 1)
+        joined = F.array_join(F.slice(words, start + 1, end - start + 1), " ")
+        return F.when(end < F.size(words) - 1, F.concat(joined, F.lit(" "))).otherwise(joined)
 
     return let(F.split(unit, " "), of)
 
@@ -74,12 +73,13 @@ def words(text: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, window: int, long_words: int) -> DataFrame:
-    """Selected places: ``gram``, ``KEY``, ``pos`` (first unit), ``size`` (units), ``n`` (words, or a few more), ``left``, ``right``.
+    """Selected places: ``gram``, ``KEY``, ``pos`` (first unit), ``size`` (units), ``room``, ``back``.
 
     A gram is two units in a row. Of each ``window`` grams in a row the one with the least hash is
     selected (all of equal ones), which depends on those grams alone: two copies of a run of
     ``window`` + 1 units have a selected gram in common. A unit of ``long_words`` words or more is
-    selected besides, as a gram of its own. ``left`` and ``right`` are hashes of the words next to the place.
+    selected besides, as a gram of its own. ``room`` is the words there and in ``REACH`` units on either side, or a few more; ``back`` the ``pos`` of
+    the place before it in the text that has the same gram, if there is one.
     """
 
     def hashed(unit: Column) -> Column:
@@ -101,12 +101,8 @@ def fingerprints(docs: DataFrame, window: int, long_words: int) -> DataFrame:
 
     def selected(parts: Column, own: Column) -> Column:
         def place(gram: Column, i: Column, size: int, n: Column) -> Column:
-            before = F.hash(F.substring_index(bare(F.get(parts, i - 1)), " ", -1))
-            after = F.hash(F.substring_index(bare(F.get(parts, i + size)), " ", 1))
-            return F.struct(
-                gram.alias("gram"), i.alias("pos"), F.lit(size).alias("size"), n.alias("n"),
-                F.when(i > 0, before).alias("left"), F.when(i + size < F.size(parts), after).alias("right"),
-            )
+            beside = [F.coalesce(F.get(own, i + k)["n"], F.lit(0)) for k in (*range(-REACH, 0), *range(size, size + REACH))]
+            return F.struct(gram.alias("gram"), i.alias("pos"), F.lit(size).alias("size"), reduce(add, beside, n).alias("room"))
 
         def places(grams: Column, minima: Column) -> Column:
             chosen = F.filter(_upto(F.size(grams)), lambda i: least(grams, minima, i))
@@ -115,7 +111,11 @@ def fingerprints(docs: DataFrame, window: int, long_words: int) -> DataFrame:
         pairs = F.transform(_upto(F.size(own) - 1), lambda i: F.xxhash64(own[i]["h"], own[i + 1]["h"]))
         alone = F.filter(_upto(F.size(own)), lambda i: own[i]["n"] >= long_words)
         alone = F.transform(alone, lambda i: place(F.xxhash64(F.lit(1), own[i]["h"]), i, 1, own[i]["n"]))
-        return F.concat(let(pairs, lambda grams: let(minima(grams), lambda low: places(grams, low))), alone)
+        every = F.concat(let(pairs, lambda grams: let(minima(grams), lambda low: places(grams, low))), alone)
+        return let(F.sort_array(every), lambda p: F.transform(p, lambda x, i: x.withField("back", back(p, x, i))))
+
+    def back(p: Column, x: Column, i: Column) -> Column:
+        return F.when((i > 0) & (F.get(p, i - 1)["gram"] == x["gram"]), F.get(p, i - 1)["pos"])
 
     places = F.explode(let(units(F.col("text")), of))
     return docs.select(*KEY, places.alias("p")).select(*KEY, "p.*")
@@ -124,23 +124,22 @@ def fingerprints(docs: DataFrame, window: int, long_words: int) -> DataFrame:
 def common_runs(docs: DataFrame, window: int, min_words: int, long_words: int) -> DataFrame:
     """``KEY``, ``f_doc``, ``f_version``, ``lag``, ``lo``, ``hi``: units lo to hi - 1 look like those ``lag`` before them in a first copy.
 
-    Each selected place but the first of its gram is joined with the first. Places of one document, one first copy and one
-    lag that touch are a run; one of another copy never adds to it. Only the first place of a gram takes part as a
-    partner, so a hot line gives a row per place, not per pair. A run of under ``min_words`` words with other words around it
-    on both sides is left out, as no extension can make it longer.
+    A place whose gram came before in the same text is one with the place before; of the others, each but the first of its gram
+    is joined with the first. Places of one document, one such copy and one lag that touch are a run; one of another copy never adds
+    to it. A place has one partner, so a hot line gives a row per place, not per pair, and a line repeated over and over one run. Runs that cannot have ``min_words`` words are left out.
     """
     places = stored(fingerprints(docs, window, long_words), "places")
-    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "pos", "left", "right")
-    first = places.groupBy("gram").agg(F.min(at).alias("first"), F.count("*").alias("n_places")).where("n_places > 1").select("gram", "first")
+    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "pos")
+    once = places.where("back IS NULL")
+    first = once.groupBy("gram").agg(F.min(at).alias("first"), F.count("*").alias("n_places")).where("n_places > 1").select("gram", "first")
     first = stored(first, "first")  # so that the join below has two plain sides, and Spark can split a hot gram
-    found = places.join(first, "gram")
+    found = once.join(first, "gram")
     later = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("version") == F.col("first.version")) & (F.col("pos") == F.col("first.pos")))
-    same = [F.coalesce(F.col(side) == F.col(f"first.{side}"), F.lit(False)).alias(side) for side in ("left", "right")]
-    place = F.struct(F.col("pos").alias("lo"), (F.col("pos") + F.col("size")).alias("hi"), "n", *same)
-    met = found.where(later).select(
-        *KEY, F.col("first.doc_id").alias("f_doc"), F.col("first.version").alias("f_version"), (F.col("pos") - F.col("first.pos")).alias("lag"), place.alias("p")
-    )
-    listed = met.groupBy(*KEY, "f_doc", "f_version", "lag").agg(F.array_sort(F.collect_list("p")).alias("p"))
+    place = F.struct(F.col("pos").alias("lo"), (F.col("pos") + F.col("size")).alias("hi"), "room")
+    copy = [F.col("first.doc_id").alias("f_doc"), F.col("first.version").alias("f_version"), (F.col("pos") - F.col("first.pos")).alias("lag")]
+    again = [F.col("doc_id").alias("f_doc"), F.col("version").alias("f_version"), (F.col("pos") - F.col("back")).alias("lag")]
+    met = found.where(later).select(*KEY, *copy, place.alias("p")).unionByName(places.where("back IS NOT NULL").select(*KEY, *again, place.alias("p")))
+    listed = met.groupBy(*KEY, "f_doc", "f_version", "lag").agg(F.sort_array(F.collect_list("p")).alias("p"))
 
     def runs(p: Column) -> Column:
         def end(i: Column) -> Column:
@@ -150,16 +149,14 @@ def common_runs(docs: DataFrame, window: int, min_words: int, long_words: int) -
         def run(start: Column, j: Column, starts: Column) -> Column:
             last = F.coalesce(F.get(starts, j + 1), F.size(p)) - 1
             own = F.slice(p, start + 1, last - start + 1)
-            hi = F.array_max(F.transform(own, lambda x: x["hi"]))
-            n = F.aggregate(own, F.lit(0), lambda a, x: a + x["n"])
-            right = F.exists(own, lambda x: (x["hi"] == hi) & x["right"])
-            return F.struct(p[start]["lo"].alias("lo"), hi.alias("hi"), (p[start]["left"] | right | (n >= min_words)).alias("keep"))
+            room = F.aggregate(own, F.lit(0), lambda a, x: a + x["room"])
+            return F.struct(p[start]["lo"].alias("lo"), end(last).alias("hi"), room.alias("room"))
 
         starts = F.filter(_upto(F.size(p)), lambda i: (i == 0) | (p[i]["lo"] > end(i - 1)))
         return let(starts, lambda s: F.transform(s, lambda start, j: run(start, j, s)))
 
     found = listed.select(*KEY, "f_doc", "f_version", "lag", F.inline(let(F.col("p"), runs)))
-    return stored(found.where("keep").drop("keep"), "runs")
+    return stored(found.where(F.col("room") >= min_words).drop("room"), "runs")
 
 
 def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -171,15 +168,15 @@ def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 def _equal(one: Column, other: Column) -> Column:
     """How many of the first words of two lists agree."""
-    off = F.array_position(F.zip_with(one, other, lambda a, b: a.eqNullSafe(b)), False)
-    return F.when(off == 0, F.size(one)).otherwise(off - 1).cast("int")
+    same = F.zip_with(one, other, lambda a, b: a.eqNullSafe(b))
+    return let(same, lambda s: let(F.array_position(s, False), lambda off: F.when(off == 0, F.size(s)).otherwise(off - 1).cast("int")))
 
 
 def _around(parts: Column, lo: Column, hi: Column) -> Column:
-    """The text of the units before ``lo``, and that from ``lo`` on, ``REACH`` units beyond ``hi``, as far as there are any."""
+    """The text of units ``lo`` to ``hi`` - 1, and of the ``REACH`` units on either side, as far as there are any."""
     start = F.greatest(lo - REACH, F.lit(0))
-    before = F.array_join(F.slice(parts, start + 1, lo - start), "")
-    return F.struct(before.alias("before"), F.array_join(F.slice(parts, lo + 1, hi + REACH - lo), "").alias("on"))
+    texts = {"before": F.slice(parts, start + 1, lo - start), "core": F.slice(parts, lo + 1, hi - lo), "after": F.slice(parts, hi + 1, F.lit(REACH))}
+    return F.struct(*[F.array_join(own, "").alias(name) for name, own in texts.items()])
 
 
 def repeated_ranges(docs: DataFrame, window: int, min_words: int, long_words: int) -> DataFrame:
@@ -202,55 +199,66 @@ def repeated_ranges(docs: DataFrame, window: int, min_words: int, long_words: in
     def point(unit: Column, word: Column) -> Column:
         return F.struct(unit.cast("int").alias("unit"), word.cast("int").alias("word"))
 
-    def compared(parts: Column, sizes: Column, run: Column) -> Column:
+    def compared(parts: Column, run: Column) -> Column:
         def size(i: Column) -> Column:
-            return F.when(i >= 0, F.coalesce(F.get(sizes, i), F.lit(0))).otherwise(0)
+            return F.when(i >= 0, F.size(words(F.coalesce(F.get(parts, i), F.lit(""))))).otherwise(0)
 
         def start(left: Column) -> Column:
-            near, lo = size(run["lo"] - 1), run["lo"]
-            far = point(lo - 2, size(lo - 2) - (left - near))
-            return F.when(left == 0, point(lo, F.lit(0))).when(left <= near, point(lo - 1, near - left)).otherwise(far)
+            def back(near: Column) -> Column:
+                far = point(run["lo"] - 2, size(run["lo"] - 2) - (left - near))
+                return F.when(left <= near, point(run["lo"] - 1, near - left)).otherwise(far)
+
+            return F.when(left == 0, point(run["lo"], F.lit(0))).otherwise(let(size(run["lo"] - 1), back))
+
+        def end(since: Column, right: Column) -> Column:
+            """The place ``right`` words after the start of unit ``since``."""
 
-        def end(right: Column) -> Column:
-            def step(at: Column, n: Column) -> Column:
-                goes_on = (at["word"] >= n) & (at["word"] > 0) & ~at["stop"]
-                return F.struct((at["unit"] + goes_on.cast("int")).alias("unit"), (at["word"] - F.when(goes_on, n).otherwise(0)).alias("word"), (~goes_on).alias("stop"))
+            def step(at: Column, unit: Column) -> Column:
+                n = F.when(at["stop"], 0).otherwise(F.size(words(unit)))
+                return let(n, lambda n: let(~at["stop"] & (at["word"] > 0) & (at["word"] >= n), lambda on: moved(at, n, on)))
 
-            first = F.struct(run["lo"].alias("unit"), right.alias("word"), F.lit(False).alias("stop"))
-            return F.aggregate(F.slice(sizes, run["lo"] + 1, run["hi"] + REACH - run["lo"]), first, step, lambda at: point(at["unit"], at["word"]))
+            def moved(at: Column, n: Column, on: Column) -> Column:
+                return F.struct((at["unit"] + on.cast("int")).alias("unit"), (at["word"] - F.when(on, n).otherwise(0)).alias("word"), (~on).alias("stop"))
 
-        own = _around(parts, run["lo"], run["hi"])
-        left = _equal(F.reverse(words(own["before"])), F.reverse(words(run["copy"]["before"])))
-        both = F.struct(left.alias("left"), _equal(words(own["on"]), words(run["copy"]["on"])).alias("right"))
-        copy = F.struct(run["f_doc"].alias("f_doc"), run["f_version"].alias("f_version"), run["lag"].alias("lag"))
-        return let(both, lambda n: F.struct(copy.alias("copy"), start(n["left"]).alias("start"), end(n["right"]).alias("end")))
+            first = F.struct(since.alias("unit"), right.alias("word"), F.lit(False).alias("stop"))
+            beyond = F.slice(parts, since + 1, run["hi"] + REACH - since)
+            return F.aggregate(beyond, first, step, lambda at: point(at["unit"], at["word"]))
+
+        def agree(own: Column) -> Column:
+            copy = run["copy"]
+            left = _equal(F.reverse(words(own["before"])), F.reverse(words(copy["before"])))
+            # Mostly the units are equal as they are, and only the words after them need to be looked at.
+            after = let(_equal(words(own["after"]), words(copy["after"])), lambda n: end(run["hi"], n))
+            whole = [F.concat(x["core"], x["after"]) for x in (own, copy)]
+            word_by_word = let(_equal(words(whole[0]), words(whole[1])), lambda n: end(run["lo"], n))
+            return F.struct(let(left, start).alias("start"), F.when(own["core"] == copy["core"], after).otherwise(word_by_word).alias("end"))
+
+        name = F.struct(run["f_doc"].alias("f_doc"), run["f_version"].alias("f_version"), run["lag"].alias("lag"))
+        both = let(_around(parts, run["lo"], run["hi"]), agree)
+        return let(both, lambda r: F.struct(name.alias("copy"), r["start"].alias("start"), r["end"].alias("end")))
 
     def united(ranges: Column, alike) -> Column:
         """Sorted ranges with those that touch, and are ``alike``, put together."""
 
-        def add(done: Column, new: Column) -> Column:
+        def joined(done: Column, new: Column) -> Column:
             last = F.element_at(done, -1)
             longer = F.struct(last["copy"].alias("copy"), last["start"].alias("start"), F.greatest(last["end"], new["end"]).alias("end"))
             touch = (F.size(done) > 0) & alike(last, new) & (new["start"] <= last["end"])
             return F.when(touch, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(new)))
 
-        return F.aggregate(F.slice(ranges, 2, F.size(ranges)), F.slice(ranges, 1, 1), add)
+        return let(ranges, lambda r: F.aggregate(F.slice(r, 2, F.size(r)), F.slice(r, 1, 1), joined))
 
-    def count(sizes: Column, r: Column) -> Column:
-        whole = F.aggregate(F.slice(sizes, r["start"]["unit"] + 1, r["end"]["unit"] - r["start"]["unit"]), F.lit(0), lambda a, n: a + n)
-        return whole - r["start"]["word"] + r["end"]["word"]
+    def long_enough(text: Column) -> Column:
+        """Whether a text has ``min_words`` words; most show it in their first characters, of which the last word may be cut."""
+        return (F.size(words(F.substring(text, F.lit(1), F.lit(40 * min_words)))) > min_words) | (F.size(words(text)) >= min_words)
 
-    def ranges(parts: Column, sizes: Column, runs: Column) -> Column:
-        own = F.array_sort(F.transform(runs, lambda run: compared(parts, sizes, run)))
-        one = united(own, lambda a, b: a["copy"] == b["copy"])
-        enough = F.filter(one, lambda r: count(sizes, r) >= min_words)
-        plain = F.array_sort(F.transform(enough, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"))))
-        plain = F.transform(plain, lambda r: F.struct(F.lit(0).alias("copy"), r["start"].alias("start"), r["end"].alias("end")))
-        done = united(plain, lambda a, b: F.lit(True))
-        return F.transform(done, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), count(sizes, r).alias("n_words")))
+    def ranges(parts: Column, runs: Column) -> Column:
+        one = united(F.sort_array(F.transform(runs, lambda run: compared(parts, run))), lambda a, b: a["copy"] == b["copy"])
+        enough = F.filter(one, lambda r: let(between(parts, r["start"], r["end"]), long_enough))
+        plain = F.transform(enough, lambda r: F.struct(F.lit(0).alias("copy"), r["start"].alias("start"), r["end"].alias("end")))
+        return F.transform(united(F.sort_array(plain), lambda a, b: F.lit(True)), lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end")))
 
-    sized = let(F.col("parts"), lambda parts: let(F.transform(parts, lambda u: F.size(words(u))), lambda sizes: ranges(parts, sizes, F.col("runs"))))
-    return found.select(*KEY, sized.alias("ranges")).where(F.size("ranges") > 0)
+    return found.select(*KEY, let(F.col("parts"), lambda parts: ranges(parts, F.col("runs"))).alias("ranges")).where(F.size("ranges") > 0)
 
 
 def _tokens(unit: Column) -> Column:
@@ -258,23 +266,24 @@ def _tokens(unit: Column) -> Column:
     return F.split(unit, r"(?<=\S[ \n]{1,9})(?=[^ \n])|(?<=[ \n]{10})(?=[^ \n])")
 
 
-def edited(parts: Column, ranges: Column) -> Column:
-    """``text`` without the ranges, and the texts of the ``deleted`` ones."""
+def between(parts: Column, a: Column, b: Column) -> Column:
+    """The text from one place, a unit and a word in it, to another."""
 
     def head(at: Column) -> Column:
         """A unit's text up to a word; nothing if there is no such unit."""
-        unit = F.coalesce(F.get(parts, at["unit"]), F.lit(""))
-        return F.when(at["word"] == 0, F.lit("")).otherwise(F.array_join(F.slice(_tokens(unit), 1, at["word"]), ""))
+        return F.when(at["word"] == 0, F.lit("")).otherwise(F.array_join(F.slice(_tokens(F.get(parts, at["unit"])), 1, at["word"]), ""))
 
     def tail(at: Column) -> Column:
         unit = F.coalesce(F.get(parts, at["unit"]), F.lit(""))
         return F.when(at["word"] == 0, unit).otherwise(let(_tokens(unit), lambda t: F.array_join(F.slice(t, at["word"] + 1, F.size(t)), "")))
 
-    def between(a: Column, b: Column) -> Column:
-        """The text from one place to another."""
-        within = let(_tokens(F.get(parts, a["unit"])), lambda t: F.array_join(F.slice(t, a["word"] + 1, b["word"] - a["word"]), ""))
-        inner = F.array_join(F.slice(parts, a["unit"] + 2, F.greatest(b["unit"] - a["unit"] - 1, F.lit(0))), "")
-        return F.when(a["unit"] == b["unit"], within).otherwise(F.concat(tail(a), inner, head(b)))
+    within = let(_tokens(F.get(parts, a["unit"])), lambda t: F.array_join(F.slice(t, a["word"] + 1, b["word"] - a["word"]), ""))
+    inner = F.array_join(F.slice(parts, a["unit"] + 2, F.greatest(b["unit"] - a["unit"] - 1, F.lit(0))), "")
+    return F.when(a == b, F.lit("")).when(a["unit"] == b["unit"], within).otherwise(F.concat(tail(a), inner, head(b)))
+
+
+def edited(parts: Column, ranges: Column) -> Column:
+    """``text`` without the ranges, and the texts of the ``deleted`` ones."""
 
     def place(unit: Column) -> Column:
         return F.struct(unit.alias("unit"), F.lit(0).alias("word"))
@@ -282,10 +291,10 @@ def edited(parts: Column, ranges: Column) -> Column:
     def gap(i: Column) -> Column:
         """What is left before range ``i``, or after the last one."""
         start = F.when(i == 0, place(F.lit(0))).otherwise(F.get(ranges, i - 1)["end"])
-        return between(start, F.coalesce(F.get(ranges, i)["start"], place(F.size(parts))))
+        return between(parts, start, F.coalesce(F.get(ranges, i)["start"], place(F.size(parts))))
 
     left = F.transform(F.sequence(F.lit(0), F.size(ranges)), gap)
-    return F.struct(F.array_join(left, "").alias("text"), F.transform(ranges, lambda r: between(r["start"], r["end"])).alias("deleted"))
+    return F.struct(F.array_join(left, "").alias("text"), F.transform(ranges, lambda r: between(parts, r["start"], r["end"])).alias("deleted"))
 
 
 def dedup_lines(docs: DataFrame, window: int = 2, min_words: int = 25, long_words: int = 16, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -308,7 +317,7 @@ def dedup_lines(docs: DataFrame, window: int = 2, min_words: int = 25, long_word
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).withColumn("version", F.hash("text"))
     found = repeated_ranges(rows.where("text IS NOT NULL"), window, min_words, long_words)
     _id, _version, _ranges = free(docs, "id"), free(docs, "version"), free(docs, "ranges")
-    found = small_enough(stored(found.toDF(_id, _version, _ranges), "ranges"), _ranges, _ranges, _ranges, _ranges, _ranges)
+    found = small_enough(stored(found.toDF(_id, _version, _ranges), "ranges"), *[_ranges] * 4)  # four numbers a range
     keyed = docs.withColumns({_version: F.hash(text)})
     both = keyed.join(found, keyed[id].eqNullSafe(found[_id]) & (keyed[_version] == found[_version]), "left")
     both = both.select(*[keyed[f"`{c}`"] for c in docs.columns], found[_ranges])
@@ -316,6 +325,6 @@ def dedup_lines(docs: DataFrame, window: int = 2, min_words: int = 25, long_word
     _edit = free(docs, "edit")
     untouched = F.struct(F.col(text).alias("text"), _nothing("string").alias("deleted"))
     edit = F.when(F.col(_ranges).isNull(), untouched).otherwise(let(units(F.col(text)), lambda parts: edited(parts, F.col(_ranges))))
-    deleted = F.aggregate(_ranges, F.lit(0), lambda a, r: a + r["n_words"])
-    out = both.withColumn(_edit, edit).withColumns({"n_deleted": F.coalesce(deleted, F.lit(0)), "deleted": F.col(_edit)["deleted"], text: F.col(_edit)["text"]})
+    n_deleted = F.aggregate(F.col(_edit)["deleted"], F.lit(0), lambda a, t: a + F.size(words(t)))
+    out = both.withColumn(_edit, edit).withColumns({"n_deleted": n_deleted, "deleted": F.col(_edit)["deleted"], text: F.col(_edit)["text"]})
     return out.drop(_ranges, _edit)

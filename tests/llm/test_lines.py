@@ -49,12 +49,11 @@ def gone_of(before, after, deleted):
     def place(at, left, k):
         if k == len(deleted):
             return [] if before[at:] == after[left:] else None
-        start = before.find(deleted[k], at)
-        while start >= 0 and before[at:start] == after[left : left + start - at]:
+        starts = [i for i in range(at, len(before)) if before.startswith(deleted[k], i) and before[at:i] == after[left : left + i - at]]
+        for start in reversed(starts):  # of a line over and over, the first copies stay
             more = place(start + len(deleted[k]), left + start - at, k + 1)
             if more is not None:
                 return [start, *more]
-            start = before.find(deleted[k], start + 1)
         return None
 
     gone, at = [], 0
