@@ -7,6 +7,7 @@ ANDing the slices of an n-gram's few positions gives at once the set of language
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -23,7 +24,10 @@ UNKNOWN = "und"
 SIZE = 3  # characters of an n-gram; a word is framed by spaces
 HASHES = 4
 BITS_PER_GRAM = 12
-WORDS = re.compile(r"[^\W\d_]+")
+MOST_WORDS = 1 << 23  # masks of all slices, eight bytes each
+#: Letters and digits that are neither a letter nor a decimal digit: fractions, superscripts, Roman numerals and the like.
+NUMBER_SIGNS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+WORDS = re.compile(rf"[^\W\d_{re.escape(NUMBER_SIGNS)}]+")  # runs of letters
 PIECE = 1 << 20  # characters of a text that are looked at together; a piece begins where a word does
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -79,7 +83,8 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 by_lang.setdefault(lang, []).append(np.unique(np.concatenate(own)) if own else np.empty(0, dtype=np.uint64))
             for lang, lists in by_lang.items():
                 found, n = np.unique(np.concatenate(lists), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array([lang] * len(found)), pa.array(n)], names=["gram", "lang", "n"])
+                columns = [pa.array(found.astype(np.int64)), pa.array([lang] * len(found), pa.string()), pa.array(n.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["gram", "lang", "n"])
 
     return docs.select("text", "lang").mapInArrow(counted, schema).groupBy("gram", "lang").agg(F.sum("n").alias("n"))
 
@@ -94,30 +99,32 @@ class Filters:
     rates: tuple[float, ...]
 
 
-def train(docs: DataFrame, least_share: float = 0.002, least_ratio: float = 0.1, lang: str = "lang", text: str = "text") -> Filters:
+def train(docs: DataFrame, least_docs: int = 1, least_ratio: float = 0.1, most_languages: int = 512, lang: str = "lang", text: str = "text") -> Filters:
     """Filters from the texts of ``docs`` whose language is known; all of them, whole.
 
-    A language contains an n-gram if it is in ``least_share`` of its documents at least and the share is
-    ``least_ratio`` of that of any other language at least: what a few quotations bring in is no part of it.
-    The first bound also limits the model, whatever the corpus: a language has at most 1 / ``least_share``
-    times the mean number of different n-grams of a document. The filters are filled by Spark;
-    the driver gets the slices that are not zero.
+    A language contains an n-gram if ``least_docs`` of its documents have it and their share of all its documents is
+    ``least_ratio`` of that in any other language at least: however rare it is, unless it is another language's, as what
+    quotations bring in is. Only the ``most_languages`` with most documents are learned (of as many, those first by name), which bounds
+    what a dirty column can add; and filters have ``MOST_WORDS`` masks at most, beyond which they only get fuller, and
+    the correction larger. A language whose texts have no letters is learned with an empty filter. The filters are filled
+    by Spark; the driver gets the slices that are not zero.
     """
     known = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    sizes = {row["lang"]: row["n"] for row in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counted = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages)
+    sizes = {row["lang"]: row["n"] for row in counted.collect()}
     languages = tuple(sorted(sizes))
     if not languages:
         return Filters((), 64, b"", ())
     order = docs.sparkSession.createDataFrame([(name, i, sizes[name]) for i, name in enumerate(languages)], "lang string, number int, docs long")
-    shares = gram_counts(known).join(F.broadcast(order), "lang").select("gram", "number", (F.col("n") / F.col("docs")).alias("share"))
-    frequent = shares.where(F.col("share") >= least_share)
+    shares = gram_counts(known).where(F.col("n") >= least_docs).join(F.broadcast(order), "lang")
+    frequent = shares.select("gram", "number", (F.col("n") / F.col("docs")).alias("share"))
     top = F.collect_list(F.struct("number", "share"))
     listed = frequent.groupBy("gram").agg(top.alias("all"), F.max("share").alias("most"))
     own = F.filter("all", lambda x: x["share"] >= least_ratio * F.col("most"))
     members = stored(listed.select("gram", F.transform(own, lambda x: x["number"]).alias("numbers")), "grams")
     largest = members.select(F.explode("numbers").alias("number")).groupBy("number").count().agg(F.max("count")).first()[0] or 1
-    size = 1 << max(6, int(np.ceil(np.log2(BITS_PER_GRAM * largest))))
     groups = (len(languages) + 63) // 64
+    size = 1 << max(6, min(int(np.ceil(np.log2(BITS_PER_GRAM * largest))), int(np.log2(MOST_WORDS // groups))))
 
     @F.pandas_udf("array<int>")
     def places(values: pd.Series) -> pd.Series:

@@ -136,6 +136,7 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     good = labels.where("quality = 1 AND toxic = 0").select(F.col("doc_id").alias("good_id")).distinct()
     good = small_enough(stored(good, "good"))
+    docs = docs.select("doc_id", "text")  # other columns may have any name
     marked = docs.join(good, docs["doc_id"] == good["good_id"], "left").select(docs["text"], F.col("good_id").isNotNull().alias("target"))
     return scoring.score(docs, scoring.train(marked))
 
@@ -145,7 +146,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of each document by filters learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
     known = docs.where(~langid.held_out("doc_id")).select("text", "lang")
-    found = langid.identify(docs, langid.train(known))
+    found = langid.identify(docs, langid.train(known, least_docs=5))
     return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 

@@ -126,6 +126,39 @@ def test_many_languages_need_more_than_one_mask(spark):
     assert found == {i: lang for i, _, lang in rows}
 
 
+def test_languages_without_letters_and_number_signs(spark):
+    rows = [(1, "hello world", "en"), (2, "123", "fr"), (3, "", "fr"), (4, "½ ² ⅷ ①", "de"), (5, "guten tag", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    only_numbers = langid.train(docs.where("lang = 'fr'"))
+    assert only_numbers.languages == ("fr",) and langid.judge("hello", only_numbers) == ("fr", 0.0)
+    filters = langid.train(docs)
+    assert filters.languages == ("de", "en", "fr")
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(docs, filters).collect()}
+    assert found == {1: ("en", 1.0), 2: ("und", 0.0), 3: ("und", 0.0), 4: ("und", 0.0), 5: ("de", 1.0)}
+
+
+def test_filters_agree_with_plain_sets(spark):
+    """Popcounts less false positives against sets of n-grams, for rare words and short texts too."""
+    pick = random.Random(12)
+    rows = [(i, text(pick, lang, pick.randrange(5, 60)), lang) for i in range(200) for lang in [pick.choice(list(SYLLABLES))]] + [(900, "qzx rare", "fr"), (901, "rare qzx", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    filters = langid.train(docs, least_docs=2, least_ratio=0.0)
+    sets = {lang: Counter(g for _, t, of in rows if of == lang for g in set(langid.grams(t).tolist())) for lang in SYLLABLES}
+    asked = [*[text(pick, lang, n) for lang in SYLLABLES for n in (1, 2, 3, 40)], "qzx", "never zzz"]
+    for t in asked:
+        grams = langid.grams(t).tolist()
+        shares = {lang: sum(c[g] >= 2 for g in grams) / len(grams) for lang, c in sets.items()}
+        lang, score = langid.judge(t, filters)
+        assert score == pytest.approx(max(shares.values()), abs=0.05) and shares[lang] >= max(shares.values()) - 0.05, t
+    assert langid.judge("qzx", filters)[0] == "fr"
+
+
+def test_a_dirty_language_column_is_bounded(spark):
+    rows = [(i, "some words here", f"junk {i}") for i in range(50)] + [(100 + i, "autres mots", "fr") for i in range(5)]
+    filters = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_languages=3)
+    assert filters.languages == ("fr", "junk 0", "junk 1")
+
+
 def test_scores_as_by_hand(spark):
     pick = random.Random(9)
     rows = [(i, text(pick, "en", pick.randrange(1, 40)).upper() if i % 3 else text(pick, "de", 20), i % 3 == 0) for i in range(60)]

@@ -10,6 +10,7 @@ import pytest
 
 import corpus_pipeline
 from quayside.llm.queries import ORACLES, QUERIES
+from quayside.llm.shared import stored
 
 FOLDER = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no test tables")
@@ -31,6 +32,32 @@ def test_stages_in_order(spark):
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(FOLDER)).collect()} == last
 
 
+def test_stages_take_odd_rows_and_empty_tables(spark, tmp_path):
+    """NULLs in any column, empty and repeated rows, a very long text, and columns named as the operators' own."""
+    words = "the small dog runs over a green field and sleeps under old trees near our house".split()
+    plain = [(i, " ".join(words[i % 7 :] + [f"word{i}"] * (i % 5) + words[: i % 9]), "en", f"s{i % 3}", None) for i in range(40)]
+    odd = [(1, plain[1][1], "en", "s1", None)] * 2 + [(None, None, None, None, None), (None, "no id here", None, "s1", 3), (50, "", "en", None, 0), (51, None, "fr", "s1", None), (52, "long text " * 60_000, None, "s0", None)]
+    rows = [(*row, 1, 2, 3) for row in [*plain, *odd]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, version int, topic int, tokens int")
+    tables = {
+        "labels": spark.createDataFrame([(i, i % 2, int(i % 9 == 0)) for i in range(30)] + [(None, 1, 0), (3, None, None)], "doc_id long, quality int, toxic int"),
+        "benchmark": spark.createDataFrame([(0, "nothing of this is in any document"), (None, None), (1, "")], "item_id long, text string"),
+        "embeddings": spark.createDataFrame([(i, [0.1, 0.2], i % 3) for i in range(20)] + [(None, None, None)], "vec_id long, embedding array<float>, label int"),
+    }
+    for name, table in tables.items():
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    for some in (docs, docs.limit(0)):
+        left = some.count()
+        for name, stage in corpus_pipeline.STAGES:
+            some = stored(stage(spark, some, str(tmp_path)), name)
+            assert some.columns[:5] == corpus_pipeline.COLUMNS and some.count() <= left, name
+            left = some.count()
+            if name == "line_dedup":  # (1, ...) three times: edited alike
+                assert some.where("doc_id = 1").distinct().count() <= 1
+            if name == "near_dedup":
+                assert some.groupBy("doc_id", "text").count().where("count > 1").count() == 0
+
+
 @pytest.mark.parametrize("name", ORACLES)
 def test_against_sql(spark, name):
     duck = duckdb.connect()
