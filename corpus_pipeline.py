@@ -13,32 +13,53 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def rated_well(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on the rated ones among them, expects to be good."""
+    """Documents that the classifier, trained on the rated ones among them, expects to be good.
+
+    The text alone decides, so repeated rows go or stay together; a NULL text counts as empty. Without usable ratings
+    every document stays. An empty table stays empty. Columns beyond ``COLUMNS`` end here.
+    """
     reachable(spark)
     ratings = quality.ratings(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.graded(docs, quality.train(docs, ratings), keep_grade=2).where("keep").select(*COLUMNS)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without passages that occur earlier; ``n_chars`` follows the text."""
+    """All documents, without passages of 25 words or more that occur earlier; ``n_chars`` follows an edited text.
+
+    Earlier goes by ``doc_id``, NULL last, then by place. Repeated rows are edited alike. A NULL or empty text stays as it is;
+    a text that is a copy throughout becomes empty, its row stays. An empty table stays empty.
+    """
     edited = lines.dedup_lines(docs)
     return edited.selectExpr("doc_id", "text", "lang", "source", "IF(n_deleted > 0, CAST(length(text) AS BIGINT), n_chars) AS n_chars")
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: that of the smallest ``doc_id``, of repeated rows one.
+
+    NULL and empty texts are near-duplicates of each other. A row without id stays only if its group has no other. An empty
+    table stays empty.
+    """
     reachable(spark)
     return simhash.keep_one(docs, size=3, bits=3).select(*COLUMNS)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by benchmark items."""
+    """Documents that are not contaminated by benchmark items, by the text alone.
+
+    A NULL or empty text is not; without benchmark items no document is. Repeated rows go or stay together. An empty
+    table stays empty.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.contamination(docs, benchmark).where("NOT contaminated").select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sampled documents, with topic, tokens and probability."""
+    """The sampled documents, with topic, tokens and probability.
+
+    A NULL source, language or topic (an id without vector or label) is a value like any other. A NULL or empty text has
+    no tokens, which weighs nothing, and stays by its cell's probability. Whether a row stays follows from its id and
+    text, so repeated rows agree. An empty table stays empty.
+    """
     labelled = mixing.with_topic(docs, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     found = mixing.mix(labelled, {"source": 0.5, "lang": 0.7, "topic": 0.7})
     return found.where("sampled").select(*COLUMNS, "topic", "tokens", "probability")
