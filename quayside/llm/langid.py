@@ -26,8 +26,8 @@ HASHES = 4
 BITS_PER_GRAM = 12
 MOST_WORDS = 1 << 23  # masks of all slices, eight bytes each
 #: Letters and digits that are neither a letter nor a decimal digit: fractions, superscripts, Roman numerals and the like.
-NUMBER_SIGNS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-WORDS = re.compile(rf"[^\W\d_{re.escape(NUMBER_SIGNS)}]+")  # runs of letters
+NUMBER_SIGNS = {c: " " for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()}
+WORDS = re.compile(r"[^\W\d_]+")  # runs of letters, in text without such signs
 PIECE = 1 << 20  # characters of a text that are looked at together; a piece begins where a word does
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -45,7 +45,10 @@ def pieces(text: str) -> Iterator[str]:
 
 def grams(text: str) -> np.ndarray:
     """The n-grams of a piece of text, one number each (21 bits a character), as often as they occur."""
-    words = WORDS.findall(text.lower())
+    text = text.lower()
+    if not text.isascii() and not NUMBER_SIGNS.keys().isdisjoint(set(text)):
+        text = text.translate(str.maketrans(NUMBER_SIGNS))
+    words = WORDS.findall(text)
     if not words:
         return np.empty(0, dtype=np.uint64)
     codes = np.frombuffer((" " + "  ".join(words) + " ").encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
