@@ -137,8 +137,8 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = labels.where("quality = 1 AND toxic = 0").select(F.col("doc_id").alias("good_id")).distinct()
     good = small_enough(stored(good, "good"))
     docs = docs.select("doc_id", "text")  # other columns may have any name
-    marked = docs.join(good, docs["doc_id"] == good["good_id"], "left").select(docs["text"], F.col("good_id").isNotNull().alias("target"))
-    return scoring.score(docs, scoring.train(marked))
+    marked = docs.join(good, docs["doc_id"] == good["good_id"], "left").select(docs["doc_id"], docs["text"], F.col("good_id").isNotNull().alias("target"))
+    return scoring.score(marked, scoring.train(marked))
 
 
 @query

@@ -240,3 +240,24 @@ def test_rare_words_and_pairs_count_at_any_size(spark):
         assert got["target_loss"] == pytest.approx(loss(r["text"], 0)) and got["background_loss"] == pytest.approx(loss(r["text"], 1))
     assert found[6]["n_words"] == 0 and found[6]["difference"] is None
     assert found[5]["n_words"] == 2 and found[5]["difference"] == pytest.approx(found[1]["difference"])
+
+
+def test_scores_do_not_depend_on_batches_and_ranges(spark, monkeypatch):
+    pick = random.Random(12)
+    rows = [(i, text(pick, "en", pick.randrange(0, 60)), i % 3 == 0, "x", 1) for i in range(80)]
+    rows += [(200, "long " * 5000 + "end", False, "y", 2), (200, "long " * 5000 + "end", False, "y", 2), (201, "  ", True, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, target boolean, batch string, size int").coalesce(2)
+    whole = {tuple(r) for r in scoring.score(docs, scoring.train(docs, least_share=0.001)).collect()}
+    asked = docs.drop("target").where("doc_id < 30 OR doc_id > 100")
+    apart = {tuple(r) for r in scoring.score(asked, scoring.train(docs, least_share=0.001)).collect()}
+    monkeypatch.setattr(scoring, "AT_ONCE", 100)
+    monkeypatch.setattr(scoring, "PER_RANGE", 500)
+    packs = scoring.batches(docs.selectExpr("doc_id AS id", "CAST(text AS BINARY) AS text", "5 AS kind"))
+    assert packs.count() > 10 and packs.agg({"n_words": "sum"}).first()[0] == packs.agg({"n_counted": "sum"}).first()[0]
+    cut = {tuple(r) for r in scoring.score(docs, scoring.train(docs, least_share=0.001)).collect()}
+    for found in (cut, apart):
+        mine = {r[0]: r for r in whole if any(r[0] == other[0] for other in found)}
+        assert len(found) == len(mine)
+        for r in found:
+            assert r == pytest.approx(mine[r[0]]) if r[2] is not None else r == mine[r[0]]
+    assert {r[0]: r[1] for r in cut}[200] == 5001 and {r[0]: r[2] for r in cut}[201] is None
