@@ -33,15 +33,17 @@ CUE = re.compile(CUES, re.IGNORECASE)
 WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 SCHEMA = "array<struct<start:int,license:string,plain_bytes:int,given_bytes:int,missing:array<string>,added:array<string>,exact:boolean>>"
 LEVEL = 9
+WINDOW = 6  # times the reach of a cue: what of a block is compressed at once
 
 
 def blocks(text: str, reach: int) -> list[tuple[int, str]]:
     """Places that may hold a notice: ``reach`` characters around each cue, within the paragraph, joined where they touch."""
     found: list[list[int]] = []
     for cue in CUE.finditer(text):
-        low = max(text.rfind("\n\n", 0, cue.start()) + 1, cue.start() - reach, 0)
-        high = text.find("\n\n", cue.end())
-        high = min(high if high >= 0 else len(text), cue.end() + reach)
+        near = max(cue.start() - reach, 0)
+        low = max(text.rfind("\n\n", near, cue.start()) + 1, near)
+        high = text.find("\n\n", cue.end(), cue.end() + reach + 1)
+        high = high if high >= 0 else min(len(text), cue.end() + reach)
         if found and low <= found[-1][1]:
             found[-1][1] = max(found[-1][1], high)
         else:
@@ -88,29 +90,45 @@ class Scanner:
         return low + first, low + last, missing, added
 
     def scan(self, text: str) -> list[tuple]:
-        """The confirmed notices of a text. Of a block the template with the largest reduction is tried first; what it
-        confirms is taken out, and the rest of the block is scanned again, until nothing is confirmed."""
+        """The confirmed notices of a text, in time proportional to its length.
+
+        A block of over ``WINDOW`` reaches is gone through in windows that overlap by two reaches; what begins in the overlap
+        is left to the next window, which has it whole.
+        """
         out = []
         for start, block in blocks(text, self.reach):
-            pending = [(start, block)]
-            while pending:
-                at, part = pending.pop()
-                if not CUE.search(part):
-                    continue
-                data = part.lower().encode(errors="replace")
-                plain = len(self.plain.compress(data))
-                sizes = sorted((len(c.compress(data)), -len(self.templates[name]), name) for name, c in self.given.items())
-                words, places = wording(part)
-                for size, _, name in sizes:
-                    found = self.notice(words, name) if size < plain else None
-                    if found and len(found[2]) + len(found[3]) <= self.most_changes * len(self.templates[name]):
-                        first, last, missing, added = found
-                        end = places[last - 1] + len(words[last - 1])
-                        out.append((at + places[first], name, plain, size, missing, added, not missing and not added))
-                        pending += [(at, part[: places[first]]), (at + end, part[end:])]
-                        break
+            at = 0
+            while at < len(block):
+                last = at + WINDOW * self.reach >= len(block)
+                limit = len(block) if last else at + (WINDOW - 2) * self.reach
+                found = [notice for notice in self.notices(block[at : at + WINDOW * self.reach]) if at + notice[0] < limit]
+                out += [(start + at + low, *rest) for low, _, *rest in found]
+                at = max([limit, *(at + high for _, high, *_ in found)])
         return sorted(out)
 
+    def notices(self, window: str) -> list[tuple]:
+        """The notices of a window, with their start and end. The template with the largest reduction is tried first; what it
+        confirms is taken out, and the rest of the window is scanned again, until nothing is confirmed."""
+        out = []
+        pending = [(0, window)]
+        while pending:
+            at, part = pending.pop()
+            if not CUE.search(part):
+                continue
+            data = part.lower().encode(errors="replace")
+            plain = len(self.plain.compress(data))
+            sizes = sorted((len(c.compress(data)), -len(self.templates[name]), name) for name, c in self.given.items())
+            words, places = wording(part)
+            for size, _, name in sizes:
+                found = self.notice(words, name) if size < plain else None
+                if found and len(found[2]) + len(found[3]) <= self.most_changes * len(self.templates[name]):
+                    first, last, missing, added = found
+                    end = places[last - 1] + len(words[last - 1])
+                    out.append((at + places[first], at + end, name, plain, size, missing, added, not missing and not added))
+                    pending += [(at, part[: places[first]]), (at + end, part[end:])]
+                    break
+        return out
+
 
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, most_changes: float = 0.2, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per licence notice: ``doc_id``, ``start`` (character), ``license``, ``plain_bytes``, ``given_bytes``, ``missing``, ``added``, ``exact``.

@@ -151,3 +151,26 @@ def test_wrapped_and_commented_notices(documents):
     found = licenses.scan_licenses(documents(*rows)).collect()
     expected = [(i, "rights-reserved", True) for i in range(len(wrapped))] + [(i, "MIT-permission", True) for i in (10, 11)]
     assert sorted((r["doc_id"], r["license"], r["exact"]) for r in found) == expected
+
+
+def test_notices_in_a_row_are_found_one_by_one_whatever_the_length(documents):
+    """Half a megabyte of notices without a paragraph between them: each at its place, as when it stands alone."""
+    pick = random.Random(14)
+    names, text, expected = list(licenses.TEMPLATES), "", []
+    while len(text) < 500_000:
+        name = pick.choice(names)
+        expected.append((len(text), name))
+        text += licenses.TEMPLATES[name] + pick.choice([" ", "\n", " ; ", " and so on "])
+    found = licenses.scan_licenses(documents((1, text))).collect()
+    assert [(r["start"], r["license"]) for r in found] == expected and all(r["exact"] for r in found)
+
+
+def test_a_block_of_several_windows_is_cut_between_notices():
+    """Whatever stands before it, a notice is found whole, also where a window ends in it."""
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.2)
+    header = licenses.TEMPLATES["Apache-2.0-header"]
+    for n in range(0, 4 * scanner.reach, 7):
+        before = ("licence " * 500)[: 2 * scanner.reach + n]
+        found = scanner.scan(before + " " + header + " licence" * 300)
+        assert [(r[0], r[1], r[-1]) for r in found] == [(len(before) + 1, "Apache-2.0-header", True)], n
+    assert scanner.scan("licence " * 50_000) == []
