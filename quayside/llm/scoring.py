@@ -23,6 +23,7 @@ from quayside.llm.shared import ASCII_LOWER, stored
 MIX = np.uint64(0x9E3779B97F4A7C15)
 AT_ONCE = 1_000_000  # words of a batch; a longer text is a batch of its own
 PER_RANGE = 2_000_000  # words of the whole input for each range of hashes, of which pairs and words have one each
+PER_PIECE = 2  # full batches in a piece of the last shuffle
 REMEMBERED = 500_000  # words whose hash a task remembers
 COUNTED, TARGET, ASKED = 1, 2, 4  # what a text is there for
 
@@ -244,7 +245,9 @@ def score(docs: DataFrame, models: Models, weight: float = 0.5, id: str = "doc_i
     if not total[1]:
         return docs.select(F.col(id).alias("doc_id"), F.lit(0).cast("long").alias("n_words"), *[none.alias(c) for c in ("target_loss", "background_loss", "difference")])
     least_n, least_pair_n = models.least_share * total[1], models.least_pair_share * total[1]
-    found = answers(requests(packs, bits=(n_words // PER_RANGE).bit_length()), least_n)
+    bits = (n_words // PER_RANGE).bit_length()
+    # As many shuffle pieces as there are ranges, and one for some batches, so that they do not grow with the input.
+    found = answers(requests(packs, bits).repartition(1 << bits, "size", "range"), least_n)
     sums = found.where("batch IS NULL AND size = 1").agg(F.sum("inside_target"), F.sum("inside"), F.sum("different")).first()
     rest, different = (total[0] - sums[0], total[1] - sums[1]), sums[2]
     smooth = 0.5
@@ -277,5 +280,7 @@ def score(docs: DataFrame, models: Models, weight: float = 0.5, id: str = "doc_i
 
     asking = packs.where(F.exists("kinds", lambda kind: kind >= ASKED)).select("batch", "ids", "sizes", "kinds", "texts")
     replies = found.where("batch IS NOT NULL").select("batch", "size", "range", "payload")
+    pieces = 1 + n_words // (PER_PIECE * AT_ONCE)
+    asking, replies = asking.repartition(pieces, "batch"), replies.repartition(pieces, "batch")
     scored = asking.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(losses, schema)
     return scored.withColumn("difference", F.col("target_loss") - F.col("background_loss"))
