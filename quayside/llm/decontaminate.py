@@ -55,7 +55,8 @@ def rarest(docs: DataFrame, places: DataFrame, lists: int) -> DataFrame:
     """Of each window the ``lists`` places whose terms are the rarest in the corpus: ``item``, ``start``, ``size``, ``at``, ``term``."""
     wanted = stored(places.select("term").distinct(), "terms")
     counts = corpus_terms(docs).join(small_enough(wanted), "term").groupBy("term").agg(F.count("*").alias("n"))
-    ranked = places.join(counts, "term", "left").fillna(0, ["n"])
+    # A plain side: if the counts are many, Spark can split the places of a hot term.
+    ranked = places.join(small_enough(stored(counts, "counts")), "term", "left").fillna(0, ["n"])
     # An item's window has a handful of words, so each group is small.
     rank = F.row_number().over(Window.partitionBy("item", "start").orderBy("n", "term", "at"))
     return ranked.withColumn("rank", rank).where(F.col("rank") <= lists).drop("rank", "n")
