@@ -36,6 +36,25 @@ def test_search_as_by_hand(spark, count, monkeypatch):
     assert found == best_by_hand(rows, 20, 10)
 
 
+def test_every_row_is_a_candidate_but_the_query_itself(spark, tmp_path, monkeypatch):
+    from quayside.llm.queries import QUERIES
+
+    pick = np.random.default_rng(12)
+    rows = [(int(i), [float(x) for x in pick.normal(size=4)]) for i in range(250)]
+    rows += [rows[100], rows[100], rows[200], rows[7], rows[7], *[(300, [2.0, 2.0])] * 12, (300, [2.0, 2.0, 0.0]), (300, [-1.0, 0.5, 3.0, 1.0])]
+    rows += [(100, [9.0, 9.0, 9.0, 9.0]), (None, [9.0, 9.0, 9.0, 9.0]), (400, None)]
+    monkeypatch.setattr(mtree, "PAGE", 32)
+    monkeypatch.setattr(mtree, "GROUP_PAGES", 2)
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    whole = [(i, [int(np.floor(1024 * np.float64(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v is not None]
+    wanted = []
+    for at, (query, v) in enumerate(whole):
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for n, (i, w) in enumerate(whole) if n != at)[:10]
+        wanted += [(query, rank, i, -s) for rank, (s, i) in enumerate(scored, 1) if query % 100 == 0]
+    found = QUERIES["op3_topk_search"](spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in found) == sorted(wanted)
+
+
 def test_search_in_an_empty_table(spark):
     table = spark.createDataFrame([(1, None)], "vec_id long, embedding array<float>")
     assert mtree.top_k(table, F.lit(True)).collect() == []
