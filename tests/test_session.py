@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from quayside import session
 from quayside.session import MOST_CUTS, OWN_CUTS, SHUFFLE_CUTS, input_bytes, shuffle_cuts, size_shuffles
@@ -33,3 +34,17 @@ def test_a_report_gets_its_own_cut_unless_the_session_sets_one(spark, settings,
     spark.conf.set(SHUFFLE_CUTS, "7")
     size_shuffles(rows)
     assert spark.conf.get(SHUFFLE_CUTS) == "7"
+
+
+def test_a_task_gets_small_pieces_of_shuffles_and_files(spark, tmp_path):
+    numbers = spark.range(8_000_000).select(F.xxhash64("id").alias("h"))  # 60 MB that do not pack
+    assert numbers.repartition("h").rdd.getNumPartitions() >= 4
+    numbers.coalesce(1).write.option("parquet.block.size", 8 * MB).parquet(f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").repartition("h").count() == 8_000_000
+    assert spark.read.parquet(f"{tmp_path}/t").rdd.getNumPartitions() >= 2
+
+
+def test_sizes_that_the_session_sets_stay(spark, settings):
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="5MB", spark__sql__files__maxPartitionBytes="7MB")
+    session.prepare(spark)
+    assert (spark.conf.get(session.ADVISORY), spark.conf.get("spark.sql.files.maxPartitionBytes")) == ("5MB", "7MB")
