@@ -7,13 +7,27 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.session import size_shuffles
+from quayside.session import input_bytes, shuffle_cuts, size_shuffles
 from quayside.sources.schemas import SCHEMAS, conform
 
 #: The column of each table that holds the order id.
 ORDER_IDS = {"move_task": "task_id", "order_header": "order_id", "order_line": "order_id", "order_container": "order_id"}
 
 
+#: Unpacked bytes of input, as Spark estimates them, that a bucket of the largest table may come from.
+BUCKET_BYTES = 32 << 20
+#: Spark's own limit, ``spark.sql.sources.bucketing.maxBuckets``.
+MOST_BUCKETS = 100_000
+
+
+def enough_buckets(tables: Mapping[str, DataFrame], least: int = 8) -> int:
+    """As many buckets as the largest table of ``ORDER_IDS`` needs for each to stay small, whatever its size.
+
+    A bucket is read and sorted by one task. Sizes are those of the scans; for inputs of unknown size (a database) choose yourself.
+    """
+    return min(MOST_BUCKETS, shuffle_cuts(max(input_bytes(tables[name]) for name in ORDER_IDS), BUCKET_BYTES, least))
+
+
 def write_by_order(tables: Mapping[str, DataFrame], database: str, root: str, buckets: int, most: float = 4.0) -> None:
     """Store the tables of ``ORDER_IDS`` under ``root`` as tables of ``database`` with ``buckets`` files each, by order id.
 

@@ -9,7 +9,7 @@ import pytest
 
 from quayside import plans
 from quayside.sample import ARGUMENTS, SampleTables
-from quayside.sources import SCHEMAS, BucketedTables, ParquetTables, bucketed, write_by_order
+from quayside.sources import SCHEMAS, BucketedTables, ParquetTables, bucketed, enough_buckets, write_by_order
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
@@ -76,3 +76,31 @@ def test_a_hot_order_is_not_put_into_one_bucket(spark, both, tmp_path, monkeypat
     with pytest.raises(ValueError, match="order_line: one of 64 buckets would hold 6000 of 6000 rows"):
         write_by_order(hot, "by_order", f"{tmp_path}/again", buckets=64)
     assert not Path(f"{tmp_path}/again").exists()
+
+
+def test_buckets_grow_in_number_not_in_size(spark, both, monkeypatch):
+    plain, _ = both
+    assert enough_buckets(plain) == 8
+    monkeypatch.setattr(bucketed, "input_bytes", lambda rows: 37 << 30)  # 6 GB of files
+    assert enough_buckets(plain) == 37 * 32
+    monkeypatch.setattr(bucketed, "input_bytes", lambda rows: 1 << 50)
+    assert enough_buckets(plain) == bucketed.MOST_BUCKETS
+
+
+def test_the_load_list_takes_as_many_buckets_as_its_tables_need(spark, tmp_path, monkeypatch):
+    import checks.reports
+
+    monkeypatch.setattr(bucketed, "BUCKET_BYTES", 1)
+    monkeypatch.setattr(bucketed, "MOST_BUCKETS", 13)
+    asked = []
+    monkeypatch.setattr(checks.reports, "write_by_order", lambda tables, database, root, buckets: asked.append(buckets))
+    monkeypatch.setattr(checks.reports, "report", lambda name, tables: None)
+    sizes = dict.fromkeys(bucketed.ORDER_IDS, spark.range(10))
+
+    class Tables(dict):
+        pass
+
+    tables = Tables(sizes)
+    tables.spark = spark
+    checks.reports.loadlist_by_order(tables)
+    assert asked == [13]
