@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from quayside.files import Folder, Replacement, publish_all
 from quayside.functions import yymm
 from quayside.operators.filters import DAY, MONTH_FOLDER
+from quayside.session import size_shuffles
 from quayside.sources.schemas import SCHEMAS, conform
 
 
@@ -61,6 +62,7 @@ def write_by_month(rows: DataFrame, path: str, stamp: str = "dstamp", whole: boo
     files = Folder(rows.sparkSession, path)
     new = Folder(rows.sparkSession, files.beside(f"new-{uuid.uuid4().hex}"))
     dated = rows.withColumns({MONTH_FOLDER: yymm(stamp), DAY: F.to_date(stamp)}).hint("rebalance", MONTH_FOLDER)
+    size_shuffles(dated)
     try:
         dated.sortWithinPartitions(MONTH_FOLDER, DAY).write.partitionBy(MONTH_FOLDER).parquet(new.path)
         months = [child.name for child in new.children() if child.name.startswith(f"{MONTH_FOLDER}=")]
