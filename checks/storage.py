@@ -5,6 +5,7 @@ Reading over JDBC has no query here: it needs a database that all executors can
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
@@ -19,7 +20,7 @@ from quayside.functions import ratio
 from quayside.operators import since, union_distinct
 from quayside.sample import ARGUMENTS
 from quayside.sample.arguments import SINCE
-from quayside.session import scratch
+from quayside.session import input_bytes, scratch, size_shuffles
 from quayside.sinks import write_snapshot
 from quayside.sources import SCHEMAS, ParquetTables, write_by_month
 
@@ -66,9 +67,13 @@ def row_digest(schema: T.StructType) -> Column:
 def scan_table(tables):
     root = scratch(tables.spark, "tables")
     stored = ParquetTables(tables.spark, root)
+    derived = {name: tables[name] for name in SCHEMAS}
+    size_shuffles(max(derived.values(), key=input_bytes))
+    # All at once, as small tables and the last tasks of large ones leave cores idle.
+    with ThreadPoolExecutor(len(derived)) as writers:
+        list(writers.map(lambda name: derived[name].write.parquet(f"{root}/{name}"), derived))
     found = []
     for name, schema in SCHEMAS.items():
-        tables[name].write.parquet(f"{root}/{name}")
         sums = [F.count("*").alias("n_rows"), F.sum(row_digest(schema)).alias("digest")]
         found.append(stored[name].agg(*sums).select(F.lit(name).alias("name"), "n_rows", "digest"))
     return reduce(DataFrame.unionAll, found)
@@ -84,7 +89,9 @@ def scan_table(tables):
 )
 def scan_live_archive(tables):
     root = scratch(tables.spark, "history")
-    tables["inventory_transaction"].write.parquet(f"{root}/inventory_transaction")
+    live = tables["inventory_transaction"]
+    size_shuffles(live)
+    live.write.parquet(f"{root}/inventory_transaction")
     archive = tables["inventory_transaction_archive"]
     old = F.col("dstamp") < F.lit(date(1998, 1, 1))
     write_by_month(archive.where(old), f"{root}/inventory_transaction_archive")

@@ -159,3 +159,30 @@ def test_prepare_leaves_chosen_settings_alone(spark, settings):
     prepare(spark)
     assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "1MB"
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+
+
+def test_a_history_is_cut_by_its_size_before_it_is_written(table, tmp_path, monkeypatch):
+    from quayside.sources import parquet
+
+    cut = []
+    monkeypatch.setattr(parquet, "size_shuffles", lambda rows: cut.append(rows.columns[-1]))
+    parquet.write_by_month(table("inventory_transaction", {"dstamp": datetime(2022, 3, 1), "sku_id": "1"}), f"{tmp_path}/history")
+    assert cut == ["stamp_day"]
+
+
+def test_all_tables_are_written_at_the_same_time(spark, tmp_path, monkeypatch):
+    """Each write waits until all sixteen have begun."""
+    import threading
+
+    from pyspark.sql import DataFrameWriter
+    from checks import storage
+
+    class Tables(dict):
+        pass
+
+    tables = Tables((name, spark.createDataFrame([], schema)) for name, schema in SCHEMAS.items())
+    tables.spark = spark
+    together, plain = threading.Barrier(len(SCHEMAS), timeout=60), DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (together.wait(), plain(self, path))[1])
+    found = storage.scan_table(tables).collect()
+    assert sorted((row["name"], row["n_rows"]) for row in found) == sorted((name, 0) for name in SCHEMAS)
