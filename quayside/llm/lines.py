@@ -22,6 +22,7 @@ END = r"(?<=\n|[.!?] )"
 LONG = 32  # blanks of a sentence that is cut further
 ONE_IN = 8  # words of a long sentence, one of which ends a unit
 REACH = 2  # units on either side of a common run that are compared word by word
+UPPER = 32  # bits of a slot, above which its earlier place is
 KEY = ["doc_id", "version"]
 
 
@@ -34,8 +35,10 @@ def _upto(size: Column) -> Column:
     return F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(_nothing("int"))
 
 
-def _blanks(unit: Column) -> Column:
-    return F.octet_length(unit) - F.octet_length(F.replace(unit, F.lit(" "), F.lit("")))
+def _long(unit: Column) -> Column:
+    """Whether a unit has ``LONG`` blanks."""
+    size = F.octet_length(unit)
+    return (size >= 2 * LONG) & (F.octet_length(F.substring_index(unit, " ", LONG)) < size)
 
 
 def units(text: Column) -> Column:
@@ -44,7 +47,7 @@ def units(text: Column) -> Column:
     for end in ENDS:
         marked = F.replace(marked, F.lit(end), F.lit(end + MARK))
     parts = F.when(F.contains(text, F.lit(MARK)), F.split(text, END)).otherwise(F.split(marked, MARK))
-    return F.flatten(F.transform(parts, lambda u: F.when((F.octet_length(u) >= 2 * LONG) & (_blanks(u) >= LONG), shorter(u)).otherwise(F.array(u))))
+    return F.flatten(F.transform(parts, lambda u: F.when(_long(u), shorter(u)).otherwise(F.array(u))))
 
 
 def shorter(unit: Column) -> Column:
@@ -69,7 +72,7 @@ def bare(unit: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text, which blanks and line feeds separate."""
-    return F.array_remove(F.split(F.translate(text, "\n", " "), " "), "")
+    return F.array_remove(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), "")
 
 
 def fingerprints(docs: DataFrame, window: int, long_words: int) -> DataFrame:
@@ -80,45 +83,61 @@ def fingerprints(docs: DataFrame, window: int, long_words: int) -> DataFrame:
     ``window`` + 1 units have a selected gram in common. A unit of ``long_words`` words or more is
     selected besides, as a gram of its own. ``room`` is the words there and in ``REACH`` units on either side, or a few more; ``back`` the ``pos`` of
     the place before it in the text that has the same gram, if there is one.
-    """
-
-    def hashed(unit: Column) -> Column:
-        """A hash of what is no white space, and how many words there are at most."""
-        solid = F.replace(unit, F.lit(" "), F.lit(""))
-        return let(solid, lambda s: F.struct(F.xxhash64(F.btrim(s, F.lit("\n"))).alias("h"), (F.octet_length(unit) - F.octet_length(s) + 1).alias("n")))
-
-    def minima(grams: Column) -> Column:
-        """The least gram of each window; of all grams if there are fewer."""
-        last = F.greatest(F.lit(0), F.size(grams) - window)
-        return F.transform(F.sequence(F.lit(0), last), lambda s: F.least(F.lit(None).cast("long"), *[F.get(grams, s + k) for k in range(window)]))
-
-    def least(grams: Column, minima: Column, i: Column) -> Column:
-        """Whether gram ``i`` is the least of a window that holds it."""
-        return reduce(or_, [F.coalesce(F.get(minima, i - k) == grams[i], F.lit(False)) for k in range(window)])
-
-    def of(parts: Column) -> Column:
-        return let(F.transform(parts, hashed), lambda own: selected(parts, own))
 
-    def selected(parts: Column, own: Column) -> Column:
-        def place(gram: Column, i: Column, size: int, n: Column) -> Column:
-            beside = [F.coalesce(F.get(own, i + k)["n"], F.lit(0)) for k in (*range(-REACH, 0), *range(size, size + REACH))]
-            return F.struct(gram.alias("gram"), i.alias("pos"), F.lit(size).alias("size"), reduce(add, beside, n).alias("room"))
-
-        def places(grams: Column, minima: Column) -> Column:
-            chosen = F.filter(_upto(F.size(grams)), lambda i: least(grams, minima, i))
-            return F.transform(chosen, lambda i: place(grams[i], i, 2, own[i]["n"] + own[i + 1]["n"]))
-
-        pairs = F.transform(_upto(F.size(own) - 1), lambda i: F.xxhash64(own[i]["h"], own[i + 1]["h"]))
-        alone = F.filter(_upto(F.size(own)), lambda i: own[i]["n"] >= long_words)
-        alone = F.transform(alone, lambda i: place(F.xxhash64(F.lit(1), own[i]["h"]), i, 1, own[i]["n"]))
-        every = F.concat(let(pairs, lambda grams: let(minima(grams), lambda low: places(grams, low))), alone)
-        return let(F.sort_array(every), lambda p: F.transform(p, lambda x, i: x.withField("back", back(p, x, i))))
-
-    def back(p: Column, x: Column, i: Column) -> Column:
-        return F.when((i > 0) & (F.get(p, i - 1)["gram"] == x["gram"]), F.get(p, i - 1)["pos"])
-
-    places = F.explode(let(units(F.col("text")), of))
-    return docs.select(*KEY, places.alias("p")).select(*KEY, "p.*")
+    At first a text's units are arrays of numbers: hashes ``h``, words ``n`` (at most), ``grams`` and the ``least`` of each window. Its
+    places are then listed by slots, two a unit, for the gram that starts there and for the unit alone; what is done a place is compiled.
+    """
+    size, n_grams, slot = F.size("h"), F.size("grams"), F.col("slot")
+
+    def pos(slot: Column) -> Column:
+        return F.shiftright(slot, 1).cast("int")
+
+    def alone(slot: Column) -> Column:
+        return slot.bitwiseAND(F.lit(1)) == 1
+
+    def selected(slot: Column) -> Column:
+        least = [F.get("grams", pos(slot)) == F.get("least", pos(slot) - k) for k in range(window)]
+        return F.when(alone(slot), F.get("n", pos(slot)) >= long_words).otherwise(reduce(or_, least))
+
+    def gram(slot: Column) -> Column:
+        return F.when(alone(slot), F.xxhash64(F.lit(1), F.get("h", pos(slot)))).otherwise(F.get("grams", pos(slot)))
+
+    def with_back() -> Column:
+        """The selected slots; those whose gram was there before have the ``back`` (plus one) in the upper half."""
+
+        def named(gram: Column, slot: Column) -> Column:
+            return F.struct(gram.alias("gram"), slot.cast("long").alias("slot"))
+
+        def of(p: Column, x: Column, i: Column) -> Column:
+            before = F.when(F.get(p, i - 1)["gram"] == x["gram"], F.shiftleft(F.shiftright(F.get(p, i - 1)["slot"], 1) + 1, UPPER))
+            return x["slot"] + F.coalesce(before, F.lit(0).cast("long"))
+
+        two = F.transform("grams", lambda g, i: F.when(reduce(or_, [g == F.get("least", i - k) for k in range(window)]), named(g, 2 * i)))
+        one = F.transform("n", lambda n, i: F.when(n >= long_words, named(F.xxhash64(F.lit(1), F.get("h", i)), 2 * i + 1)))
+        places = F.sort_array(F.concat(F.array_compact(two), F.array_compact(one)))
+        return let(places, lambda p: F.transform(p, lambda x, i: of(p, x, i)))
+
+    def twice(hashes: Column) -> Column:
+        return F.size(F.array_distinct(hashes)) < F.size(hashes)
+
+    rows = docs.select(*KEY, units(F.col("text")).alias("parts"))
+    rows = rows.select(*KEY, "parts", F.transform("parts", lambda u: F.replace(u, F.lit(" "), F.lit(""))).alias("solid"))
+    n = F.zip_with("parts", "solid", lambda u, s: F.octet_length(u) - F.octet_length(s) + 1)
+    rows = rows.select(*KEY, F.transform("solid", lambda s: F.xxhash64(F.replace(s, F.lit("\n"), F.lit("")))).alias("h"), n.alias("n"))
+    pairs = F.zip_with(F.slice("h", 1, size - 1), F.slice("h", 2, size - 1), lambda a, b: F.xxhash64(a, b))
+    rows = rows.select(*KEY, "h", "n", pairs.alias("grams"))
+    windows = [F.slice("grams", k + 1, n_grams - (window - 1)) for k in range(window)]
+    least = F.when(n_grams < window, F.array(F.array_min("grams"))).otherwise(reduce(lambda one, other: F.zip_with(one, other, lambda a, b: F.least(a, b)), windows))
+    rows = rows.select(*KEY, "h", "n", "grams", least.alias("least"))
+    slots = F.sequence(F.lit(0).cast("long"), 2 * size.cast("long") - 1)
+    repeats = twice(F.col("h")) & (twice(F.col("grams")) | twice(F.filter("h", lambda h, i: F.get("n", i) >= long_words)))
+    rows = rows.select("*", F.when(repeats, with_back()).otherwise(slots).alias("slots"))
+    rows = rows.select(*KEY, "h", "n", "grams", "least", F.explode_outer("slots").alias("at"))
+    rows = rows.select("*", F.col("at").bitwiseAND(F.lit((1 << UPPER) - 1)).alias("slot")).where(selected(slot))
+    rows = rows.select(*KEY, "n", gram(slot).alias("gram"), pos(slot).alias("pos"), F.when(alone(slot), 1).otherwise(2).alias("size"), (F.shiftright("at", UPPER) - 1).cast("int").alias("back"))
+    near = [F.get("n", F.col("pos") + k) for k in range(-REACH, REACH + 1)] + [F.when(F.col("size") == 2, F.get("n", F.col("pos") + REACH + 1))]
+    room = reduce(add, [F.coalesce(n, F.lit(0)) for n in near])
+    return rows.select(*KEY, "gram", "pos", "size", room.alias("room"), F.when(F.col("back") >= 0, F.col("back")).alias("back"))
 
 
 def common_runs(docs: DataFrame, window: int, min_words: int, long_words: int) -> DataFrame:
@@ -159,11 +178,10 @@ def common_runs(docs: DataFrame, window: int, min_words: int, long_words: int) -
     return stored(found.where(F.col("room") >= min_words).drop("room"), "runs")
 
 
-def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """``KEY`` and ``text`` of the documents that ``keys`` names, each once."""
+def _named(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of the documents that ``keys`` names."""
     wanted = small_enough(stored(keys.distinct().toDF("k_doc", "k_version"), "keys"))
-    found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["k_doc"]) & (docs["version"] == wanted["k_version"]), "left_semi")
-    return found.groupBy(*KEY).agg(F.min("text").alias("text"))
+    return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["k_doc"]) & (docs["version"] == wanted["k_version"]), "left_semi")
 
 
 def _equal(one: Column, other: Column) -> Column:
@@ -188,12 +206,14 @@ def repeated_ranges(docs: DataFrame, window: int, min_words: int, long_words: in
     """
     runs = common_runs(docs, window, min_words, long_words)
     lo, hi = F.col("lo") - F.col("lag"), F.col("hi") - F.col("lag")
-    copies = _texts(docs, runs.select("f_doc", "f_version")).select(F.col("doc_id").alias("c_doc"), F.col("version").alias("c_version"), units(F.col("text")).alias("c_units"))
+    copies = _named(docs, runs.select("f_doc", "f_version")).groupBy(*KEY).agg(F.min("text").alias("text"))
+    copies = copies.select(F.col("doc_id").alias("c_doc"), F.col("version").alias("c_version"), units(F.col("text")).alias("c_units"))
     met = runs.join(copies, F.col("f_doc").eqNullSafe(F.col("c_doc")) & (F.col("f_version") == F.col("c_version")))
     run = F.struct("f_doc", "f_version", "lag", "lo", "hi", _around(F.col("c_units"), lo, hi).alias("copy"))
     listed = met.select(*KEY, run.alias("run")).groupBy(*KEY).agg(F.collect_list("run").alias("runs"))
     listed = stored(listed.select(F.col("doc_id").alias("r_doc"), F.col("version").alias("r_version"), "runs"), "compared")
-    texts = _texts(docs, runs.select(*KEY)).select(*KEY, units(F.col("text")).alias("parts"))
+    # Texts are cut after the shuffle, which takes each once, and repeated rows are compared each for itself.
+    texts = _named(docs, runs.select(*KEY)).select(*KEY, "text")
     found = texts.join(listed, F.col("doc_id").eqNullSafe(F.col("r_doc")) & (F.col("version") == F.col("r_version")))
 
     def point(unit: Column, word: Column) -> Column:
@@ -250,7 +270,7 @@ def repeated_ranges(docs: DataFrame, window: int, min_words: int, long_words: in
 
     def long_enough(text: Column) -> Column:
         """Whether a text has ``min_words`` words; most show it in their first characters, of which the last word may be cut."""
-        return (F.size(words(F.substring(text, F.lit(1), F.lit(40 * min_words)))) > min_words) | (F.size(words(text)) >= min_words)
+        return (F.size(words(F.substring(text, F.lit(1), F.lit(10 * min_words)))) > min_words) | (F.size(words(text)) >= min_words)
 
     def ranges(parts: Column, runs: Column) -> Column:
         one = united(F.sort_array(F.transform(runs, lambda run: compared(parts, run))), lambda a, b: a["copy"] == b["copy"])
@@ -258,7 +278,8 @@ def repeated_ranges(docs: DataFrame, window: int, min_words: int, long_words: in
         plain = F.transform(enough, lambda r: F.struct(F.lit(0).alias("copy"), r["start"].alias("start"), r["end"].alias("end")))
         return F.transform(united(F.sort_array(plain), lambda a, b: F.lit(True)), lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end")))
 
-    return found.select(*KEY, let(F.col("parts"), lambda parts: ranges(parts, F.col("runs"))).alias("ranges")).where(F.size("ranges") > 0)
+    found = found.select(*KEY, let(units(F.col("text")), lambda parts: ranges(parts, F.col("runs"))).alias("ranges"))
+    return found.dropDuplicates(KEY).where(F.size("ranges") > 0)
 
 
 def _tokens(unit: Column) -> Column:

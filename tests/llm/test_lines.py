@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -176,3 +177,55 @@ def test_empty_table(documents):
 def test_no_python_in_the_plan(documents):
     plan = lines.dedup_lines(documents((1, "a. b. c."), (2, "a. b. c.")))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def with_versions(docs):
+    return docs.withColumn("version", F.hash("text"))
+
+
+def test_places_are_listed_in_compiled_code(documents):
+    """A lambda a place took most of the operator's time."""
+    found = lines.fingerprints(with_versions(documents((1, prose(1)))), 2, 16)
+    assert re.search(r"\*\(\d+\) Generate explode", found._jdf.queryExecution().executedPlan().toString())
+
+
+def test_texts_are_cut_after_the_shuffle(documents):
+    """Units of a text were shuffled once more after its text, with more bytes."""
+    rows = [(i, f"{prose(1)} {prose(10 + i)}") for i in range(4)]
+    plan = lines.repeated_ranges(with_versions(documents(*rows)), 2, 25, 16)._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" in plan and "split(" not in plan[plan.index("Join") :]
+
+
+@pytest.mark.parametrize("window", [1, 2, 3])
+def test_selected_places_are_those_of_the_definition(documents, spark, window):
+    pick = random.Random(window)
+    texts = ["", "one.", "one. two.", "a. b. c.", "x\n" * 30, "p. q. " * 9 + prose(4, 20, 20), prose(2, 90, 200), prose(5) + "\n\n" + prose(5)]
+    texts += [pick.choice([" ", "\n"]).join(pick.choice(["a b.", "c.", "d e f!", prose(3, 17, 99)]) for _ in range(pick.randrange(2, 30))) for _ in range(20)]
+    docs = with_versions(documents(*enumerate(texts)))
+    solid = F.btrim(F.replace("unit", F.lit(" "), F.lit("")), F.lit("\n"))
+    cut = docs.select("doc_id", F.posexplode(lines.units(F.col("text"))).alias("i", "unit")).select("doc_id", "i", "unit", F.xxhash64(solid).alias("h"))
+    units = {}
+    for r in cut.orderBy("doc_id", "i").collect():
+        units.setdefault(r["doc_id"], []).append((r["h"], r["unit"].count(" ") + 1))
+    two = [(d, i, own[i][0], own[i + 1][0]) for d, own in units.items() for i in range(len(own) - 1)]
+    grams = {(d, i): g for d, i, g in spark.createDataFrame(two, "d int, i int, a long, b long").select("d", "i", F.xxhash64("a", "b")).collect()}
+    expected = set()
+    for d, own in units.items():
+        listed = [grams[d, i] for i in range(len(own) - 1)]
+        windows = [range(s, min(s + window, len(listed))) for s in range(max(1, len(listed) - window + 1))] if listed else []
+        chosen = sorted({i for w in windows for i in w if listed[i] == min(listed[j] for j in w)})
+        places = [(listed[i], i, 2) for i in chosen] + [(("alone", h), i, 1) for i, (h, n) in enumerate(own) if n >= 16]
+        before = {}
+        for gram, i, size in places:
+            room = sum(n for _, n in own[max(0, i - lines.REACH) : i + size + lines.REACH])
+            expected.add((d, i, size, room, before.get(gram)))
+            before[gram] = i
+    found = [tuple(r) for r in lines.fingerprints(docs, window, 16).select("doc_id", "pos", "size", "room", "back").collect()]
+    assert len(found) == len(set(found)) and set(found) == expected
+
+
+def test_repeated_rows_are_edited_alike(documents):
+    text = f"{prose(1)} {prose(2)}"
+    rows = [(1, prose(1)), (2, text), (2, text), (2, text), (3, text)]
+    found = sorted((r["doc_id"], r["text"], r["n_deleted"]) for r in lines.dedup_lines(documents(*rows)).collect())
+    assert [(d, n) for d, _, n in found] == [(1, 0), (2, 60), (2, 60), (2, 60), (3, 120)] and {t for d, t, _ in found if d == 2} == {prose(2)}
