@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from checks import relations
 from quayside import plans
 from quayside.operators import keep_listed, lookup, single_value_lookup
 from quayside.sample import ARGUMENTS
@@ -166,6 +167,20 @@ def test_gate_putaway_sums_a_hot_item_before_joining(hot):
     assert [(row["YYMM"], row["SKU_ID"], int(row["UPDATE_QTY"])) for row in rows] == [(2203, "K0", ROWS // 2 * 5_000)]
 
 
+def test_agg_join_then_sum_splits_a_hot_item(hot):
+    moves = {"sku_id": hot_key("K"), "update_qty": F.col("id")}
+    items = {"sku_id": each_key("K"), "gate_id": same("E3")}
+    tables = {
+        "inventory_transaction": hot("inventory_transaction", moves),
+        "inventory_transaction_archive": hot("inventory_transaction_archive", moves),
+        "v_sku_properties": hot("v_sku_properties", items, KEYS),
+    }
+    rows = relations.agg_join_then_sum(tables)
+    found = joins(rows)
+    assert split(found, "sku_id"), found
+    assert int(rows.agg(F.sum("quantity")).first()[0]) == ROWS * (ROWS - 1)
+
+
 def test_loadlist_splits_hot_docks_orders_and_items(hot):
     boxed = F.col("id") % 2 == 0
     here = {"site_id": same("S1"), "client_id": same("C1")}
